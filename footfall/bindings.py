@@ -53,11 +53,9 @@ def ev_view(spark, sf_dir):
 
 def ev_pay_stream(spark, sf_dir, files_per_batch=1000):
     schema = table(spark, sf_dir, "events").schema
-    events = (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(f"{sf_dir}/events.parquet")
-    )
+    # A pattern, as a streaming source takes a plain path for a folder and the table may be one file.
+    path = f"{sf_dir}/[e]vents.parquet"
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
     return events_of(events, "purchase")
 
 
