@@ -149,14 +149,20 @@ def _key_counters_batch(spark, sf_dir):
     return streaming.key_counts(_records(spark, sf_dir), _lookup(spark, sf_dir))
 
 
+def _stored_counters(spark, sf_dir):
+    path = shared_folder(spark, "counters")
+    streaming.upsert_counters(_key_counters_batch(spark, sf_dir), 0, path)
+    return streaming.read_counters(spark, path)
+
+
 def _shop_report(spark, sf_dir):
     shops = bindings.ev_shop(spark, sf_dir).select("shop_id", "ordinal")
-    return streaming.shop_counter_report(shops, _key_counters_batch(spark, sf_dir))
+    return streaming.shop_counter_report(shops, _stored_counters(spark, sf_dir))
 
 
 def _city_report(spark, sf_dir):
     cities = bindings.ev_shop(spark, sf_dir).groupBy("city_name").agg(F.min("ordinal").alias("ordinal"))
-    return streaming.city_counter_report(cities, _key_counters_batch(spark, sf_dir))
+    return streaming.city_counter_report(cities, _stored_counters(spark, sf_dir))
 
 
 # Readers and records
@@ -236,12 +242,12 @@ def _last_line_lookup(spark, sf_dir):
 
 
 def _distinct_shops(spark, sf_dir):
-    shops = sources.distinct_shops(_repeated_shop_lines(spark, sf_dir))
+    shops = sources.first_appearance(_repeated_shop_lines(spark, sf_dir), "shop_id")
     return operators.appearance_index(shops).select("idx", "shop_id")
 
 
 def _distinct_cities(spark, sf_dir):
-    cities = sources.distinct_cities(_shop_city_lines(spark, sf_dir))
+    cities = sources.first_appearance(_shop_city_lines(spark, sf_dir), "city_name")
     return operators.appearance_index(cities).select("idx", "city_name")
 
 

@@ -24,13 +24,13 @@ def shop_info(spark, sf_dir):
 
 
 def user_pay(spark, sf_dir):
-    """Line items as payments, by the customer of the order."""
+    """Line items as payments, by the customer of the order. The time stamp keeps its type."""
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
         F.col("o_custkey").cast("string").alias("user_id"),
         F.col("l_partkey").cast("string").alias("shop_id"),
-        F.col("l_shipdate").cast("string").alias("time_stamp"),
+        F.col("l_shipdate").alias("time_stamp"),
     )
 
 
@@ -39,7 +39,7 @@ def events_of(events, event_type):
     return events.where(F.col("event_type") == event_type).select(
         F.col("user_id").cast("string").alias("user_id"),
         F.get_json_object("props", "$.k").alias("shop_id"),
-        F.col("ts").cast("string").alias("time_stamp"),
+        F.col("ts").alias("time_stamp"),
     )
 
 

@@ -1,6 +1,7 @@
 """Column expressions for delimited text. All run inside generated code; none needs Python."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 
 def line_fields(line):
@@ -25,8 +26,15 @@ def tolerant_int(text):
     return F.when(text.rlike(r"^[+-]?[0-9]+\z"), text.try_cast("int"))
 
 
-def day_of(time_stamp):
-    return F.substring(time_stamp, 1, 10)
+def day_of(records):
+    """Grouping column for the day of ``time_stamp``: its first ten characters, well-formed or not.
+
+    A table that stores typed time stamps is grouped by date, which gives the same days without formatting every
+    row as text. Cast the day to a string once grouped.
+    """
+    if isinstance(records.schema["time_stamp"].dataType, (TimestampType, TimestampNTZType, DateType)):
+        return F.col("time_stamp").cast("date")
+    return F.substring("time_stamp", 1, 10)
 
 
 def non_empty(text):

@@ -25,8 +25,16 @@ def city_pay_top(user_pay, shop_info, k=10):
     return top_k(totals, F.col("totalPay").desc_nulls_last(), F.col("cityName").asc_nulls_last(), k=k)
 
 
+def _per_day(records, name):
+    return records.groupBy(day_of(records).alias("day")).agg(F.count("*").alias(name))
+
+
+def _day_as_text(df):
+    return df.withColumn("day", F.col("day").cast("string"))
+
+
 def daily_count(records, name):
-    return records.groupBy(day_of(F.col("time_stamp")).alias("day")).agg(F.count("*").alias(name))
+    return _day_as_text(_per_day(records, name))
 
 
 def _busiest_days(records, name, k):
@@ -51,12 +59,11 @@ def day_view_all(user_view):
 
 def _day_pay_view(user_pay, user_view):
     """Days with payments and their views, 0 if none; both sides are hashed by day already when they join."""
-    views = daily_count(user_view, "countView")
-    return (
-        daily_count(user_pay, "countPay")
-        .join(views, "day", "left")
-        .select("day", "countPay", F.coalesce("countView", F.lit(0)).alias("countView"))
-    )
+    payments, views = _per_day(user_pay, "countPay"), _per_day(user_view, "countView")
+    if payments.schema["day"].dataType != views.schema["day"].dataType:
+        payments, views = _day_as_text(payments), _day_as_text(views)
+    joined = payments.join(views, "day", "left")
+    return _day_as_text(joined.select("day", "countPay", F.coalesce("countView", F.lit(0)).alias("countView")))
 
 
 def day_pay_view_last(user_pay, user_view, k=10):

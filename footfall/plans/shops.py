@@ -17,7 +17,7 @@ def shop_activity(user_pay):
     """
     return user_pay.groupBy("shop_id").agg(
         F.count("user_id").alias("countPay"),
-        F.countDistinct(day_of(F.col("time_stamp"))).alias("countDay"),
+        F.countDistinct(day_of(user_pay)).alias("countDay"),
     )
 
 

@@ -1,10 +1,11 @@
 from .files import parse_shop_info, parse_user_pay, read_lines, read_shop_info, read_user_pay
-from .lookup import distinct_cities, distinct_shops, shop_city_lookup
+from .lookup import distinct_cities, distinct_shops, first_appearance, shop_city_lookup
 from .warehouse import province_totals, register_tables, warehouse_table
 
 __all__ = [
     "distinct_cities",
     "distinct_shops",
+    "first_appearance",
     "parse_shop_info",
     "parse_user_pay",
     "province_totals",

@@ -18,13 +18,14 @@ def shop_city_lookup(lines):
     return _shop_city(lines).groupBy("shop_id").agg(F.max_by("city_name", "ordinal").alias("city_name"))
 
 
-def _in_first_appearance_order(lines, column):
-    return _shop_city(lines).groupBy(column).agg(F.min("ordinal").alias("ordinal")).orderBy("ordinal")
+def first_appearance(lines, column):
+    """Distinct ``shop_id`` or ``city_name`` with the ordinal of its first line, in no order."""
+    return _shop_city(lines).groupBy(column).agg(F.min("ordinal").alias("ordinal"))
 
 
 def distinct_shops(lines):
-    return _in_first_appearance_order(lines, "shop_id")
+    return first_appearance(lines, "shop_id").orderBy("ordinal")
 
 
 def distinct_cities(lines):
-    return _in_first_appearance_order(lines, "city_name")
+    return first_appearance(lines, "city_name").orderBy("ordinal")

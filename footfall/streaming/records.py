@@ -11,7 +11,7 @@ def pay_to_records(user_pay, copies=1):
     A parsed line has its third field only if it has the first two. ``copies`` publishes each record more than
     once.
     """
-    value = F.concat(F.coalesce("shop_id", F.lit("")), F.lit(","), F.col("time_stamp"))
+    value = F.concat(F.coalesce("shop_id", F.lit("")), F.lit(","), F.col("time_stamp").cast("string"))
     records = user_pay.where(F.col("time_stamp").isNotNull()).select(F.col("user_id").alias("key"), value.alias("value"))
     if copies == 1:
         return records
