@@ -12,12 +12,13 @@ from ..operators import top_k, top_k_per_group
 def shop_activity(user_pay):
     """Payments and distinct payment days per shop.
 
-    The distinct count is planned as an aggregate by (shop, day) before the one by shop: each with a map-side
-    combine, so a hot shop arrives as one row per task and day.
+    Counted per shop and day, then per shop: both steps combine on the map side, so a hot shop crosses the first
+    shuffle as one row per task and day, and never gathers its payments in one place.
     """
-    return user_pay.groupBy("shop_id").agg(
-        F.count("user_id").alias("countPay"),
-        F.countDistinct(day_of(user_pay)).alias("countDay"),
+    per_day = user_pay.groupBy("shop_id", day_of(user_pay).alias("day")).agg(F.count("user_id").alias("payments"))
+    return per_day.groupBy("shop_id").agg(
+        F.sum("payments").alias("countPay"),
+        F.count("day").alias("countDay"),
     )
 
 

@@ -1,0 +1,201 @@
+"""Counter stream: equal to one batch count, whatever is restarted, replayed or compacted."""
+
+import json
+import random
+from collections import Counter
+from functools import partial
+
+import pytest
+from pyspark.sql import functions as F
+
+from footfall import operators, streaming
+from footfall.fixed import RECORD_SCHEMA, USER_PAY_SCHEMA
+from footfall.streaming import counters as counters_module
+
+LOOKUP = {"s1": "A", "s2": "A", "s3": "", "s9": "unused"}
+
+
+def _payments(n, seed):
+    rng = random.Random(seed)
+    return [("s1" if i % 3 == 0 else f"s{rng.randrange(1, 6)}", f"2016-01-0{rng.randrange(1, 9)} 10:00") for i in range(n)]
+
+
+def _expected(payments):
+    totals = Counter()
+    for shop, _ in payments:
+        totals[f"jiaoyi{shop}"] += 1
+        totals[f"交易{LOOKUP.get(shop, 'null')}"] += 1
+    return dict(totals)
+
+
+class Stream:
+    def __init__(self, spark, folder):
+        self.spark, self.root, self.inbox = spark, str(folder / "run"), folder / "inbox"
+        self.inbox.mkdir()
+        self.payments, self.files = [], 0
+        self.lookup = spark.createDataFrame(list(LOOKUP.items()), "shop_id string, city_name string")
+
+    def feed(self, payments):
+        lines = [json.dumps({"key": f"u{i}", "value": f"{s},{t}"}) for i, (s, t) in enumerate(payments)]
+        (self.inbox / f"{self.files:03d}.json").write_text("\n".join(lines))
+        self.files += 1
+        self.payments += payments
+
+    def run(self, **options):
+        source = {"format": "json", "path": str(self.inbox), "maxFilesPerTrigger": 1}
+        records = streaming.read_pay_stream(self.spark, source)
+        query = streaming.start_counter_stream(records, self.lookup, self.root, trigger={"availableNow": True}, **options)
+        query.awaitTermination()
+        return query
+
+    def counters(self):
+        rows = streaming.read_counters(self.spark, f"{self.root}/counters").collect()
+        assert len({r.k for r in rows}) == len(rows)
+        return {r.k: r["count"] for r in rows}
+
+
+@pytest.fixture
+def stream(spark, tmp_path):
+    return Stream(spark, tmp_path)
+
+
+def test_stream_equals_batch_across_restarts(spark, stream):
+    for seed in range(3):
+        stream.feed(_payments(200, seed))
+    stream.run()
+    assert stream.counters() == _expected(stream.payments)
+    stream.run()  # nothing new
+    assert stream.counters() == _expected(stream.payments)
+    stream.feed(_payments(100, 9))
+    stream.run()
+    assert stream.counters() == _expected(stream.payments)
+    batch = spark.createDataFrame([("u", f"{s},{t}") for s, t in stream.payments], RECORD_SCHEMA)
+    rows = streaming.key_counts(batch, stream.lookup).collect()
+    assert {r.k: r["count"] for r in rows} == stream.counters()
+
+
+def test_a_failed_batch_runs_again_without_double_counting(stream):
+    for seed in range(3):
+        stream.feed(_payments(50, seed))
+
+    def fail_after_write(df, batch_id):
+        streaming.upsert_counters(df, batch_id, f"{stream.root}/counters")
+        if batch_id == 1:
+            raise RuntimeError("lost after the write")
+
+    with pytest.raises(Exception, match="lost after the write"):
+        stream.run(sink=fail_after_write)
+    stream.run()
+    assert stream.counters() == _expected(stream.payments)
+
+
+def test_replayed_batch_replaces_itself(spark, tmp_path):
+    path = str(tmp_path / "counters")
+    first = spark.createDataFrame([("a", 1), ("b", 2)], "k string, count long")
+    second = spark.createDataFrame([("a", 5)], "k string, count long")
+    for _ in range(2):
+        streaming.upsert_counters(first, 0, path)
+        streaming.upsert_counters(second, 1, path)
+    streaming.upsert_counters(first, 0, path)  # late replay of an old batch
+    assert {tuple(r) for r in streaming.read_counters(spark, path).collect()} == {("a", 5), ("b", 2)}
+
+
+def test_compaction_keeps_totals(spark, stream):
+    for seed in range(4):
+        stream.feed(_payments(60, seed))
+    stream.run()
+    folder = f"{stream.root}/counters"
+    for _ in range(2):
+        streaming.compact_counters(spark, folder)
+        assert stream.counters() == _expected(stream.payments)
+    slices = {r[0] for r in spark.read.parquet(folder).select("slice").distinct().collect()}
+    assert len(slices) == 2  # all past batches in one, the newest beside it
+    stream.feed(_payments(60, 7))
+    stream.feed(_payments(60, 8))
+    stream.run()
+    streaming.compact_counters(spark, folder)
+    assert stream.counters() == _expected(stream.payments)
+    assert len({r[0] for r in spark.read.parquet(folder).select("slice").distinct().collect()}) == 2
+
+
+def test_large_lookup_is_salted(stream, monkeypatch):
+    monkeypatch.setattr(counters_module, "lookup_join", partial(operators.lookup_join, broadcast_bytes=0, salts=4))
+    for seed in range(2):
+        stream.feed(_payments(300, seed))
+    stream.run()
+    assert stream.counters() == _expected(stream.payments)
+
+
+def test_external_store(spark, stream, tmp_path):
+    store = tmp_path / "store"
+    store.mkdir()
+
+    def connect(folder=str(store)):
+        class Client:
+            def set(self, key, count):
+                with open(f"{folder}/{key}", "w") as f:
+                    f.write(str(count))
+
+            def close(self):
+                open(f"{folder}/closed", "w").close()
+
+        return Client()
+
+    for seed in range(2):
+        stream.feed(_payments(50, seed))
+    stream.run(sink=partial(streaming.set_counters, connect=connect))
+    got = {p.name: int(p.read_text()) for p in store.iterdir() if p.name != "closed"}
+    assert got == _expected(stream.payments) and (store / "closed").exists()
+
+
+def test_record_without_shop_or_value_is_counted(spark):
+    records = spark.createDataFrame([("u", ",t"), ("u", None), ("u", "s1")], RECORD_SCHEMA)
+    lookup = spark.createDataFrame([("s1", "A")], "shop_id string, city_name string")
+    got = {tuple(r) for r in streaming.key_counts(records, lookup).collect()}
+    assert got == {("jiaoyi", 1), ("jiaoyinull", 1), ("jiaoyis1", 1), ("交易null", 2), ("交易A", 1)}
+
+
+def test_reports_number_only_what_has_a_counter(spark):
+    shops = spark.createDataFrame([("s5", 30), ("s2", 7), ("s9", 9)], "shop_id string, ordinal long")
+    cities = spark.createDataFrame([("B", 2), ("A", 1)], "city_name string, ordinal long")
+    counters = spark.createDataFrame(
+        [("jiaoyis2", 4), ("jiaoyis5", 6), ("jiaoyizzz", 1), ("交易A", 3), ("交易B", None)], "k string, count long"
+    )
+    assert [tuple(r) for r in streaming.shop_counter_report(shops, counters).collect()] == [(1, "s2", 4), (2, "s5", 6)]
+    assert [tuple(r) for r in streaming.city_counter_report(cities, counters).collect()] == [(1, "A", 3)]
+
+
+def test_records_from_payments(spark):
+    pay = spark.createDataFrame(
+        [("u", "s", "t"), ("u2", "s2", None), ("u3", None, None), ("", "", "t3")], USER_PAY_SCHEMA
+    )
+    assert [tuple(r) for r in streaming.pay_to_records(pay).collect()] == [("u", "s,t"), ("", ",t3")]
+    assert streaming.pay_to_records(pay, copies=2).count() == 4
+
+
+def test_write_records(spark, tmp_path):
+    records = spark.createDataFrame([("u", "s,t")], RECORD_SCHEMA)
+    path = str(tmp_path / "topic")
+    streaming.write_records(records, {"format": "parquet", "path": path})
+    streaming.write_records(records, {"format": "parquet", "path": path})
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_topic_shapes(spark):
+    """No broker and no connector here: the topic source is checked for its options and columns only."""
+    source = streaming.kafka_source("host:1", "pay,pay2", minPartitions=50)
+    assert source == {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "host:1",
+        "subscribe": "pay,pay2",
+        "startingOffsets": "latest",
+        "minPartitions": 50,
+    }
+    raw = spark.createDataFrame(
+        [(bytearray(b"u"), bytearray("s,时".encode()), "pay", 0, 7)],
+        "key binary, value binary, topic string, partition int, offset long",
+    ).withColumn("timestamp", F.lit("2016-01-01").cast("timestamp"))
+    assert tuple(streaming.record_view(raw).first()) == ("u", "s,时")
+    audit = streaming.event_audit(raw)
+    assert audit.columns == ["topic", "offset", "key", "value", "timestamp"]
+    assert tuple(audit.first())[:4] == ("pay", 7, "u", "s,时")
