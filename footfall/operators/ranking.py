@@ -49,7 +49,9 @@ def appearance_index(df, ordinal="ordinal", name="idx"):
     page, plus the rows of earlier pages on the shelf, plus the rows of earlier shelves. No page or shelf holds
     more than 2^16 entries; only the shelf totals meet in one task (2^16 of them for ordinals up to 2^48).
     """
-    rows = df.withColumn("_page", F.shiftright(F.col(ordinal).cast("long"), _PAGE_BITS))
+    # Never null, so that no null filters creep in and the page counts of both levels are one shared shuffle.
+    position = F.coalesce(F.col(ordinal).cast("long"), F.lit(0))
+    rows = df.withColumn("_page", F.shiftright(position, _PAGE_BITS))
     pages = rows.groupBy("_page").agg(F.count("*").alias("_rows"))
     pages = pages.withColumn("_shelf", F.shiftright("_page", _PAGE_BITS))
     earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
