@@ -61,7 +61,7 @@ def welcome_documented(shop_info, cities=WELCOME_CITIES, category=WELCOME_CATEGO
     )
     candidates = shop_info.where(F.col("city_name").isin(*cities) & in_category)
     largest = candidates.agg(F.max("per_pay")).scalar()
-    score = F.lit(0.7) * F.col("score") / 5 + F.lit(0.3) * F.col("per_pay") / largest
+    score = F.lit(0.7) * F.col("score") / 5 + F.try_divide(F.lit(0.3) * F.col("per_pay"), largest)
     scored = candidates.select(F.round(score, 6).alias("welcomeScore"), "*")
     return top_k_per_group(scored, "city_name", [F.col("welcomeScore").desc_nulls_last()], key="shop_id", k=k)
 

@@ -55,13 +55,13 @@ def read_lines(spark, path):
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("row"),
     )
-    # One row per file split, so the single-task window below ranks file size / split size rows.
+    # One row per file split. The driver plans the scan from that very list, so the list fits one task and a broadcast.
     splits = (
         lines.select("file", "start")
         .distinct()
         .withColumn("split", F.row_number().over(Window.orderBy("file", "start")).cast("long"))
     )
     row_in_partition = F.col("row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return lines.join(splits, ["file", "start"]).select(
+    return lines.join(F.broadcast(splits), ["file", "start"]).select(
         "value", F.shiftleft("split", _ROW_BITS).bitwiseOR(row_in_partition).alias("ordinal")
     )

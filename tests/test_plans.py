@@ -93,6 +93,8 @@ def test_welcome_scores(spark):
         ("d", 0.57, 1), ("f", 0.57, 2), ("a", 1.0, 1), ("c", None, 2)
     ]
     assert plans.welcome_documented(shops, category="none").count() == 0
+    free = _shops(spark, ("a", "北京", 0, 5, "火锅"))
+    assert _tuples(plans.welcome_documented(free), "shop_id", "welcomeScore") == [("a", None)]
 
 
 @pytest.mark.parametrize("column", ["cate_1_name", "cate_2_name", "cate_3_name"])

@@ -69,6 +69,8 @@ def test_line_fields(spark, line, fields):
     [
         ("5", 5), ("+5", 5), ("-1", -1), ("007", 7), ("2147483647", 2147483647), ("2147483648", N), ("4.5", N),
         (" 5", N), ("5 ", N), ("", N), (N, N), ("+", N), ("1e3", N), ("5\u0085", N), ("5\n", N), ("5L", N),
+        ("9999999999", N), ("10000000000", N), ("-2147483648", -2147483648), ("-2147483649", N),
+        ("000000000002147483647", 2147483647), ("99999999999999999999", N), ("0", 0), ("00000000000", 0), ("-0", 0),
     ],
 )
 def test_tolerant_int(spark, text, value):
