@@ -117,13 +117,17 @@ def _day_view_all(spark, sf_dir):
 
 
 def _province_totals(spark, sf_dir):
-    return sources.province_totals(bindings.province_counts(spark, sf_dir))
+    return sources.province_totals(bindings.province_customers(spark, sf_dir))
 
 
-def _province_relabel(spark, sf_dir):
+def _province_totals_relabelled(spark, sf_dir):
     return operators.relabel(_province_totals(spark, sf_dir), REGION_NAMES)
 
 
+def _province_relabel(spark, sf_dir):
+    return operators.relabel(bindings.province_counts(spark, sf_dir), REGION_NAMES)
+
+
 # Counters
 
 
@@ -272,6 +276,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "day_view_all": _day_view_all,
         "city_rank_labels": _city_rank_labels,
         "province_totals": _province_totals,
+        "province_totals_relabelled": _province_totals_relabelled,
         "province_relabel": _province_relabel,
         "key_counters_stream": _key_counters_stream,
         "key_counters_batch": _key_counters_batch,
@@ -348,6 +353,13 @@ DAY_VIEW_SQL = "select substr(time_stamp,1,10) as day, count(*) countView from e
 DAYS_SQL = f"from ({DAY_PAY_SQL}) tp left join ({DAY_VIEW_SQL}) tv on tp.day = tv.day"
 
 
+PROVINCES_SQL = """
+select r_name province, count(*) price
+from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
+group by r_name
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     bodies = {
         "top_shops_by_daily_amount":
@@ -387,8 +399,10 @@ def oracle_sql() -> dict[str, str]:
         "city_rank_labels":
             "select concat('top', cast(row_number() over (order by totalPay desc, cityName) as string), ':', cityName) "
             f"label, totalPay price from ({CITY_PAY_SQL}) t",
-        "province_totals":
-            "select r_name province, count(*) price from region join nation on r_regionkey = n_regionkey group by r_name",
+        "province_totals": PROVINCES_SQL,
+        "province_totals_relabelled":
+            f"select v province, price from ({PROVINCES_SQL}) t "
+            "join (values ('ASIA','亚洲'), ('AFRICA','非洲'), ('NOWHERE','无')) as m(r, v) on t.province = m.r",
         "province_relabel":
             "select v province, price from (select r_name, cast(count(*) as bigint) price from region "
             "join nation on r_regionkey = n_regionkey group by r_name) t "

@@ -5,7 +5,7 @@ import sys
 
 from . import operators, plans, sources, streaming
 from .fixed import WELCOME_CATEGORY, WELCOME_CITIES
-from .session import build_session
+from .session import build_session, write_shared
 
 
 def _shops(spark, data):
@@ -22,14 +22,16 @@ def _shop_lines(spark, data):
 
 def batch(spark, args):
     """Shop rankings from the text files."""
-    shops, payments = _shops(spark, args.data), _payments(spark, args.data)
+    shops, payments = _shops(spark, args.data).persist(), _payments(spark, args.data)
+    activity = write_shared(plans.shop_activity(payments), "activity")  # one pass over the payments for both
     plans.shop_base_top(shops).show(truncate=False)
-    plans.shop_activity_top(payments).show(truncate=False)
-    plans.top_shops_by_daily_amount(shops, payments).show(truncate=False)
+    plans.shop_activity_top(payments, activity=activity).show(truncate=False)
+    plans.top_shops_by_daily_amount(shops, payments, activity=activity).show(truncate=False)
     by_city = plans.welcome_top_per_city(shops, args.cities)
     by_city.orderBy("city_name", "rk").show(10 * len(args.cities), truncate=False)
     documented = plans.welcome_documented(shops, args.cities, args.category)
     documented.orderBy("city_name", "rk").show(10 * len(args.cities), truncate=False)
+    shops.unpersist()
 
 
 def dashboard(spark, args):
@@ -37,9 +39,10 @@ def dashboard(spark, args):
     pay, view, shops = (
         sources.warehouse_table(spark, name, args.database) for name in ("user_pay", "user_view", "shop_info")
     )
-    cities = plans.city_pay_top(pay, shops)
+    cities = plans.city_pay_top(pay, shops).persist()
     cities.show(truncate=False)
     operators.rank_labels(cities).show(truncate=False)
+    cities.unpersist()
     plans.day_pay_top(pay).show(truncate=False)
     plans.day_view_top(view).show(truncate=False)
     plans.day_pay_view_last(pay, view).show(truncate=False)

@@ -81,6 +81,19 @@ def province_counts(spark, sf_dir):
     )
 
 
+def province_customers(spark, sf_dir):
+    """Regions as provinces; the number of customers is the price. Customers are counted per nation first."""
+    per_nation = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count("*").alias("customers"))
+    nations = table(spark, sf_dir, "nation")
+    regions = table(spark, sf_dir, "region")
+    return (
+        per_nation.join(nations, per_nation["c_nationkey"] == nations["n_nationkey"])
+        .join(regions, nations["n_regionkey"] == regions["r_regionkey"])
+        .groupBy(F.col("r_name").alias("province"))
+        .agg(F.sum("customers").alias("price"))
+    )
+
+
 def as_lines(df, *columns):
     """Rows as comma-separated lines, the form of the reader's input."""
     return df.select(F.concat_ws(",", *columns).alias("value"))

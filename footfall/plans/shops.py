@@ -22,17 +22,23 @@ def shop_activity(user_pay):
     )
 
 
-def shop_activity_top(user_pay, k=10):
-    return top_k(shop_activity(user_pay), F.col("countPay").desc_nulls_last(), F.col("shop_id").asc_nulls_last(), k=k)
+def shop_activity_top(user_pay, k=10, activity=None):
+    """Shops with the most payments. Pass a kept ``activity`` to spare the pass over the payments."""
+    activity = shop_activity(user_pay) if activity is None else activity
+    return top_k(activity, F.col("countPay").desc_nulls_last(), F.col("shop_id").asc_nulls_last(), k=k)
 
 
-def top_shops_by_daily_amount(shop_info, user_pay, k=10):
-    """Shops by average amount per payment day; payments are aggregated before they meet the shops."""
+def top_shops_by_daily_amount(shop_info, user_pay, k=10, activity=None):
+    """Shops by average amount per payment day; payments are aggregated before they meet the shops.
+
+    Pass a kept ``activity`` to spare the pass over the payments.
+    """
+    activity = shop_activity(user_pay) if activity is None else activity
     shops = shop_info.select("shop_id", *[c for c in shop_info.columns if c != "shop_id"])
     per_day = F.when(
         F.col("countDay") > 0, F.col("countPay") * F.col("per_pay") / F.col("countDay")
     ).otherwise(F.lit(0.0))
-    ranked = shop_activity(user_pay).join(shops, "shop_id").select(per_day.alias("avgAmountPerDay"), "*")
+    ranked = activity.join(shops, "shop_id").select(per_day.alias("avgAmountPerDay"), "*")
     return top_k(ranked, F.col("avgAmountPerDay").desc_nulls_last(), F.col("shop_id").asc_nulls_last(), k=k)
 
 

@@ -14,6 +14,8 @@ DEFAULTS = {
     # One state row per shop and city for ever: keep it off the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Commit what a micro-batch changed, not all of the state.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 _local_root = None
