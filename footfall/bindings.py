@@ -3,8 +3,15 @@
 from pyspark.sql import functions as F
 
 
+_schemas = {}
+
+
 def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the test tables; its schema is looked up once, as every look-up is a Spark job."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def shop_info(spark, sf_dir):
