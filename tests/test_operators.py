@@ -75,6 +75,20 @@ def test_lookup_join_is_the_same_either_way(spark, broadcast_bytes):
     assert ("BroadcastHashJoin" in plan) == (broadcast_bytes > 0)
 
 
+def test_salted_lookup_spreads_a_hot_key(spark):
+    """A third of all facts on one key end in several tasks."""
+    facts = spark.createDataFrame([(g, k) for g, k, _ in _skewed_rows()], "shop_id string, n string").repartition(4)
+    lookup = spark.createDataFrame([("hot", "H")], "shop_id string, city_name string")
+    joined = operators.lookup_join(facts, lookup, "shop_id", broadcast_bytes=0, salts=16)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = joined.where(F.col("city_name") == "H").groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in hot) == 1000
+    assert len(hot) >= 5 and max(r["count"] for r in hot) < 500
+
+
 def test_series(spark):
     df = spark.createDataFrame([("d1", 1, 2), ("d2", 3, 4)], "day string, countPay long, countView long")
     assert operators.series(df).columns == ["label", "value", "value2"]

@@ -50,7 +50,8 @@ def test_activity_ties_and_malformed_days(spark):
 
 def test_typed_time_stamps_give_the_days_of_their_text(spark):
     stamps = [datetime.datetime(2016, 1, 1 + i % 3, i % 24, 5, 0, i) for i in range(50)] + [None]
-    typed = spark.createDataFrame([("u", f"s{i % 4}", s) for i, s in enumerate(stamps)], "user_id string, shop_id string, time_stamp timestamp_ntz")
+    rows = [("u", f"s{i % 4}", s) for i, s in enumerate(stamps)]
+    typed = spark.createDataFrame(rows, "user_id string, shop_id string, time_stamp timestamp_ntz")
     text = typed.withColumn("time_stamp", F.col("time_stamp").cast("string"))
     for plan in (plans.shop_activity, plans.day_pay_all, plans.day_pay_top):
         assert sorted(map(str, plan(typed).collect())) == sorted(map(str, plan(text).collect()))
@@ -60,7 +61,8 @@ def test_typed_time_stamps_give_the_days_of_their_text(spark):
 
 
 def test_city_pay_edges(spark):
-    shops = _shops(spark, ("a", "X", 10, 1, "p"), ("b", "X", None, 1, "p"), ("c", "Y", None, 1, "p"), ("d", "Z", 1, 1, "p"), ("d", "Z", 2, 1, "p"))
+    amounts = [("a", "X", 10), ("b", "X", None), ("c", "Y", None), ("d", "Z", 1), ("d", "Z", 2)]
+    shops = _shops(spark, *[(shop, city, amount, 1, "p") for shop, city, amount in amounts])
     pay = _pay(spark, *[("u", s, "t") for s in "aabbcdd?"])
     assert _tuples(plans.city_pay_top(pay, shops), "cityName", "totalPay") == [("X", 20), ("Z", 6), ("Y", None)]
 

@@ -32,9 +32,8 @@ def _fields(line):
 
 
 def _integer(text):
-    if text is None or not text or not all(c in "0123456789" for c in text.lstrip("+-")) or len(text) - len(text.lstrip("+-")) > 1:
-        return None
-    if not text.lstrip("+-"):
+    digits = text[1:] if text and text[0] in "+-" else text
+    if not digits or any(c not in "0123456789" for c in digits):
         return None
     value = int(text)
     return value if -(2**31) <= value < 2**31 else None

@@ -137,5 +137,7 @@ def test_warehouse_tables_by_name(spark):
     assert sources.warehouse_table(spark, "user_view", "default").collect() == pay.collect()
     with pytest.raises(ValueError):
         sources.warehouse_table(spark, "other")
+    by_sql = spark.sql("select substr(time_stamp, 1, 10) as day, count(*) as n from user_pay group by 1")
+    assert [tuple(r) for r in by_sql.collect()] == [("2016-01-01", 1)]
     spark.sql("drop table default.user_view")
     spark.catalog.dropTempView("user_pay")
