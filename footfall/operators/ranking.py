@@ -47,7 +47,8 @@ def appearance_index(df, ordinal="ordinal", name="idx"):
 
     Rows fall into pages of 2^16 ordinals and pages into shelves of 2^16 pages. A row's index is its place in the
     page, plus the rows of earlier pages on the shelf, plus the rows of earlier shelves. No page or shelf holds
-    more than 2^16 entries; only the shelf totals meet in one task (2^16 of them for ordinals up to 2^48).
+    more than 2^16 entries; only the shelf totals meet in one task (2^16 of them for ordinals up to 2^48). ``df`` is
+    computed twice, for the counts and for the rows: pass stored data if it is costly.
     """
     # Never null, so that no null filters creep in and the page counts of both levels are one shared shuffle.
     position = F.coalesce(F.col(ordinal).cast("long"), F.lit(0))

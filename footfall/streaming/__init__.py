@@ -1,5 +1,13 @@
 from .counters import key_counts, start_counter_stream
-from .records import event_audit, kafka_source, pay_to_records, read_pay_stream, record_view, write_records
+from .records import (
+    event_audit,
+    kafka_source,
+    pay_to_records,
+    read_pay_stream,
+    read_raw_stream,
+    record_view,
+    write_records,
+)
 from .report import city_counter_report, shop_counter_report
 from .store import compact_counters, read_counters, set_counters, upsert_counters
 
@@ -12,6 +20,7 @@ __all__ = [
     "pay_to_records",
     "read_counters",
     "read_pay_stream",
+    "read_raw_stream",
     "record_view",
     "set_counters",
     "shop_counter_report",

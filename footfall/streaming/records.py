@@ -43,18 +43,23 @@ def record_view(raw):
     return raw.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
-def read_pay_stream(spark, source):
-    """Streaming (key, value) strings; ``source`` is from ``kafka_source`` or names a file format and path."""
+def read_raw_stream(spark, source):
+    """Streaming frame with all columns of the source; from ``kafka_source`` or a file format and path."""
     options = dict(source)
     source_format = options.pop("format")
     reader = spark.readStream.format(source_format).options(**options)
     if source_format != "kafka":
         reader = reader.schema(RECORD_SCHEMA)
-    return record_view(reader.load())
+    return reader.load()
+
+
+def read_pay_stream(spark, source):
+    """Streaming (key, value) strings of ``read_raw_stream``."""
+    return record_view(read_raw_stream(spark, source))
 
 
 def event_audit(raw):
-    """Each record with its topic, offset and timestamp, from the raw frame of a topic source."""
+    """Each record with its topic, offset and timestamp, from ``read_raw_stream`` on a topic."""
     return raw.select(
         "topic",
         "offset",
