@@ -19,6 +19,12 @@ from footfall import bindings, operators, plans, sources, streaming  # noqa: E40
 from footfall.functions import tolerant_int  # noqa: E402
 from footfall.session import shared_folder  # noqa: E402
 
+try:  # the training-data subpackage and its pipeline may be absent
+    import corpus_pipeline  # noqa: E402
+    from footfall.llm import queries as llm_queries  # noqa: E402
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 CITIES = ("Brand#1", "Brand#2", "Brand#3")
 CATEGORY = "ECONOMY"
 REGION_NAMES = {"ASIA": "亚洲", "AFRICA": "非洲", "NOWHERE": "无"}
@@ -293,9 +299,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "last_line_lookup": _last_line_lookup,
         "distinct_shops": _distinct_shops,
         "distinct_cities": _distinct_cities,
+        **_llm_queries(),
     }
 
 
+def _llm_queries():
+    return {**llm_queries.queries(), "pipeline": corpus_pipeline.run} if llm_queries else {}
+
+
+def _llm_sql():
+    if not llm_queries:
+        return {}
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**llm_queries.oracle_sql(), **pipeline}
+
+
 TABLES_SQL = """
 with shop_info as (
   select cast(p_partkey as string) shop_id, p_brand city_name, p_name location_id,
@@ -446,4 +464,4 @@ def oracle_sql() -> dict[str, str]:
             "select cast(row_number() over (order by first) as int) idx, city_name from "
             "(select city_name, min(ordinal) first from ev_shop group by city_name) c",
     }
-    return {name: TABLES_SQL + body for name, body in bodies.items()}
+    return {**{name: TABLES_SQL + body for name, body in bodies.items()}, **_llm_sql()}
