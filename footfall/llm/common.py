@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_GAP = r"[\x20\x09-\x0D]+"
-CHUNK_CHARS = 16_000_000
+CHUNK_CHARS = 3_000_000
 
 
 def words(text):

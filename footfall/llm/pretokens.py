@@ -18,7 +18,7 @@ from footfall.llm.common import gather
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-KEPT_PIECES, KEPT_WORDS = 800_000, 500_000
+KEPT_PIECES, KEPT_WORDS = 350_000, 200_000
 ODD, NEW = -1, -2
 
 _WORDS = regex.compile(PATTERN)

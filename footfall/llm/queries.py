@@ -9,7 +9,9 @@ from pathlib import Path
 import public_tokenizers
 
 from footfall.bindings import table
-from footfall.llm import bpe, packing, token_files
+from footfall.llm import (
+    bpe, minhash, neighbours, packing, quality, secret_scan, shards, token_files, toxicity, urls,
+)
 
 ROOT = Path(__file__).resolve().parents[2]
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -35,10 +37,43 @@ def _documents(spark, sf_dir):
     return table(spark, sf_dir, "documents")
 
 
+def _labels(spark, sf_dir):
+    return table(spark, sf_dir, "labels")
+
+
+def _op1(spark, sf_dir):
+    ship(spark)
+    return neighbours.search(table(spark, sf_dir, "embeddings"), lambda id: id % 20 == 0)
+
+
+def _op2(spark, sf_dir):
+    return toxicity.predictions(_documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
+def _op3(spark, sf_dir):
+    return quality.verdicts(_documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
+def _op4(spark, sf_dir):
+    return urls.judge(table(spark, sf_dir, "pages"), _labels(spark, sf_dir))
+
+
+def _op5(spark, sf_dir):
+    return minhash.dedup_classes(_documents(spark, sf_dir))
+
+
+def _op6(spark, sf_dir):
+    return shards.assign(_documents(spark, sf_dir))
+
+
 def _op7(spark, sf_dir):
     return token_files.digests(_documents(spark, sf_dir), BYTE_BPE)
 
 
+def _op8(spark, sf_dir):
+    return secret_scan.digests(_documents(spark, sf_dir))
+
+
 def _op9(spark, sf_dir):
     return bpe.digests(_documents(spark, sf_dir), BYTE_BPE)
 
@@ -49,7 +84,14 @@ def _op10(spark, sf_dir):
 
 def queries():
     return {
+        "op1_hilbert_neighbours": _op1,
+        "op2_kneser_ney_toxicity": _op2,
+        "op3_risk_controlled_quality": _op3,
+        "op4_association_url_filter": _op4,
+        "op5_probminhash_dedup": _op5,
+        "op6_jump_hash_shards": _op6,
         "op7_token_files": _op7,
+        "op8_markov_secrets": _op8,
         "op9_pair_index_bpe": _op9,
         "op10_shortest_pack_first": _op10,
     }
