@@ -66,7 +66,7 @@ def _usable(vectors, id_column, vector):
 
 
 def _ordered(points, dims, seed):
-    """Rows (curve, id, query, v) of every curve in its order, with their place ``pos`` among all rows."""
+    """Rows (curve, id, query, v) of every curve, with their place ``pos`` in the order by curve and place on it."""
     sample = points.where("not query").orderBy(F.xxhash64("id")).limit(SAMPLE)
     base = _stack(sample.select("v").toPandas()["v"], dims)
     largest = points.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x))).alias("m")).first().m
@@ -101,16 +101,16 @@ def _ordered(points, dims, seed):
         for batch in batches:
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at, at + n)), *map(batch.column, ("id", "query", "v"))],
-                names=["part", "at", "id", "query", "v"],
+                [pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at, at + n)), *map(batch.column, ("curve", "id", "query", "v"))],
+                names=["part", "at", "curve", "id", "query", "v"],
             )
             at += n
 
-    stored = write_shared(ranged.mapInArrow(place, "part int, at long, id long, query boolean, v array<double>"), "hilbert")
+    stored = write_shared(ranged.mapInArrow(place, "part int, at long, curve int, id long, query boolean, v array<double>"), "hilbert")
     sizes = stored.groupBy("part").agg(F.count("*").alias("n"))  # a row for each partition
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    return stored.join(offsets, "part").select("id", "query", "v", (F.col("offset") + F.col("at")).alias("pos"))
+    return stored.join(offsets, "part").select("curve", "id", "query", "v", (F.col("offset") + F.col("at")).alias("pos"))
 
 
 def _lift(v, query, largest):
@@ -168,9 +168,9 @@ def search(vectors, is_query, id_column="vec_id", vector="embedding", k=NEAREST,
 
     placed = _ordered(points, dims, seed).withColumn("block", F.floor(F.col("pos") / BLOCK))
     beside = F.array(*[F.col("block") + F.lit(i) for i in (-1, 0, 1)])
-    met = placed.select(F.explode(F.when(F.col("query"), beside).otherwise(F.array("block"))).alias("block"), "id", "query", "v")
-    # A group holds at most BLOCK candidates and the queries of three blocks.
-    found = met.groupBy("block").applyInPandas(_scores(dims, k), "query_id long, vec_id long, score double")
+    met = placed.select(F.explode(F.when(F.col("query"), beside).otherwise(F.array("block"))).alias("block"), "curve", "id", "query", "v")
+    # Blocks of one curve only, so that no vector is twice in a group, which holds at most BLOCK candidates and the queries of three blocks.
+    found = met.groupBy("curve", "block").applyInPandas(_scores(dims, k), "query_id long, vec_id long, score double")
     found = found.dropDuplicates(["query_id", "vec_id"])
     nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = found.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= k + 1).drop("n")

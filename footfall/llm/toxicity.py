@@ -1,27 +1,29 @@
-"""Toxicity by class-conditional Kneser-Ney bigram models.
-
-The toxic and the ordinary model each interpolate discounted bigrams and unigrams of their class; both back off to one
-distribution of continuation counts of all labelled texts, so an expression that neither class knows speaks for
-neither. A text is scored by the difference of its two log-likelihoods, normalised by length: over the whole text, and
-over the best window of each of a few lengths, as a long text may hold a few toxic lines. A logistic curve, fitted on
-labelled texts that the models have not seen, turns these into a score.
+"""Toxicity by class-conditional Kneser-Ney models of the characters of words.
+
+Each class has a model of its words, letter by letter with up to five letters before: discounted counts, backing off to
+continuation counts of shorter contexts and at last to letter counts that both classes share. So inflected and rare
+forms of an expression are known by the letters they share with others. A word speaks for toxicity by the difference
+of its two log-likelihoods; a text by the mean over its words, and over the best window of each of a few lengths, as a
+long text may hold a few toxic lines. A logistic curve, fitted on labelled texts by models that have not seen them, turns
+these into a score.
 """
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from footfall.session import write_shared
 
 # Labelled texts of each class, at most and on average, that the models are fitted on.
-SAMPLE = 20_000
-# The most frequent bigrams that the models keep; all their words are kept.
-KEPT_BIGRAMS = 1_000_000
+SAMPLE = 4_000
+ORDER = 6
 DISCOUNT = 0.75
 WINDOWS = (1, 3, 12)
-CALIBRATION_FOLD, FOLDS = 0, 4
+FOLDS = 3
+START, END = 1, 2
 STEP = np.uint64(0x9E3779B97F4A7C15)
-BITS = 24
 
 
 def held_out(doc_id):
@@ -30,151 +32,125 @@ def held_out(doc_id):
 
 
 def _words(text):
-    """Hashes of the words: runs of letters and digits, lower case."""
+    """Runs of letters and digits, in lower case."""
     split = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
-    return F.transform(F.filter(split, lambda word: word != ""), lambda word: F.xxhash64(word))
-
-
-def _runs(column):
-    offsets = column.offsets.to_numpy()
-    values = column.values.to_numpy()[offsets[0]:offsets[-1]]
-    return values.view(np.uint64), (offsets - offsets[0]).astype(np.int64)
-
-
-def _bigrams(words, bounds):
-    """A hash for each word with the one before it in its text; a text's first word follows a common start."""
-    before = np.empty_like(words)
-    before[1:] = words[:-1]
-    before[bounds[:-1][np.diff(bounds) > 0]] = 0
+    return F.filter(split, lambda word: word != "")
+
+
+def _grams(words):
+    """Hashes of the last 1 to ORDER letters at each letter of each word (0 where the word has fewer), the hashes of
+    the same without their last letter, and the bounds of the words. A start and an end sign count as letters."""
+    lengths = np.array([len(word) for word in words], np.int64) + 2
+    ends = np.cumsum(lengths)
+    codes = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint64)
+    starts = ends - lengths
+    inner = np.ones(len(codes), bool)
+    codes[starts], codes[ends - 1] = START, END
+    inner[starts] = inner[ends - 1] = False
+    codes[inner] = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+    at = np.arange(len(codes)) - np.repeat(starts, lengths)
+    keys = np.zeros((ORDER + 1, len(codes)), np.uint64)
     with np.errstate(over="ignore"):
-        x = before * STEP + words
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    return before, x ^ (x >> np.uint64(27))
-
-
-def _tally(rows):
-    """Counts of bigrams by class: (word, before, toxic, ordinary)."""
-    def run(batches):
-        for batch in batches:
-            words, bounds = _runs(batch.column("words"))
-            if not len(words):
-                continue
-            before, _ = _bigrams(words, bounds)
-            toxic = np.repeat(batch.column("toxic").to_numpy(zero_copy_only=False), np.diff(bounds))
-            order = np.lexsort((before, words))
-            words, before, toxic = words[order], before[order], toxic[order]
-            first = np.append(True, (words[1:] != words[:-1]) | (before[1:] != before[:-1]))
-            at = np.flatnonzero(first)
-            hits = np.add.reduceat(toxic.astype(np.int64), at)
-            counts = np.diff(np.append(at, len(words)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words[at].view(np.int64)), pa.array(before[at].view(np.int64)), pa.array(hits), pa.array(counts - hits)],
-                names=["word", "before", "toxic", "ordinary"],
-            )
-
-    tallied = rows.select("words", "toxic").mapInArrow(run, "word long, before long, toxic long, ordinary long")
-    return tallied.groupBy("word", "before").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-
-
-def _column(df, *names):
-    return [np.array(values) for values in zip(*df.select(*names).collect())] or [np.zeros(0, np.int64) for _ in names]
+        keys[0] = STEP
+        for n in range(1, ORDER + 1):
+            reach = at >= n - 1
+            x = keys[n - 1][reach] * STEP + codes[np.flatnonzero(reach) - (n - 1)] + np.uint64(n)
+            x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+            keys[n][reach] = x ^ (x >> np.uint64(31))
+    letters = at > 0  # the start sign is given
+    before = np.zeros_like(keys)
+    before[1:, 1:] = keys[:-1, :-1]
+    at = at[letters]
+    return keys[:, letters], before[:, letters], at, np.append(0, np.cumsum(lengths - 1))
 
 
 class Models:
-    """Both models as sorted arrays: log-likelihood parts for each word, context and kept bigram."""
-
-    def __init__(self, counts):
-        seen = lambda name: F.sum((F.col(name) > 0).cast("long"))
-        by_word = counts.groupBy("word").agg(
-            F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"), F.count("*").alias("contexts")
-        )
-        by_context = counts.groupBy("before").agg(
-            F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"),
-            seen("toxic").alias("toxic_kinds"), seen("ordinary").alias("ordinary_kinds"),
-        )
-        # Words of the bounded sample; a word or context met once is as good as unknown and not kept.
-        frequent = by_word.where(F.col("toxic") + F.col("ordinary") > 1)
-        words, toxic, ordinary, contexts = _column(frequent, "word", "toxic", "ordinary", "contexts")
-        total = by_word.agg(
-            F.sum("toxic"), F.sum("ordinary"), F.sum("contexts"), F.count("*"), seen("toxic"), seen("ordinary")
-        ).first()
-        n_toxic, n_ordinary, n_contexts, n_words, toxic_kinds, ordinary_kinds = (value or 0 for value in total)
-        order = np.argsort(words.view(np.uint64))
-        self.words = words.view(np.uint64)[order]
-        shared = np.append(contexts[order] + 1.0, 1.0) / (n_contexts + n_words + 1.0)
-        # The last entry is the unknown word. Reserved mass is taken as the mean of both classes, so that a class of
-        # fewer texts does not favour what it has not seen.
-        reserved = DISCOUNT * (toxic_kinds / max(n_toxic, 1) + ordinary_kinds / max(n_ordinary, 1)) / 2
-        part = lambda own, n: np.maximum(np.append(own[order], 0) - DISCOUNT, 0) / max(n, 1)
-        self.one = np.stack([part(toxic, n_toxic), part(ordinary, n_ordinary)]) + reserved * shared
-
-        frequent = by_context.where(F.col("toxic") + F.col("ordinary") > 1)
-        before, toxic, ordinary, tk, ok = _column(frequent, "before", "toxic", "ordinary", "toxic_kinds", "ordinary_kinds")
-        order = np.argsort(before.view(np.uint64))
-        self.contexts = before.view(np.uint64)[order]
-        totals = np.stack([np.append(toxic[order], 0), np.append(ordinary[order], 0)]).astype(float)
-        kinds = np.stack([np.append(tk[order], 0), np.append(ok[order], 0)]).astype(float)
-        self.back = np.where(totals > 0, DISCOUNT * kinds / np.maximum(totals, 1), 1.0)
-
-        pairs = counts.where(F.col("toxic") + F.col("ordinary") > 1)
-        pairs = pairs.orderBy(F.desc(F.col("toxic") + F.col("ordinary")), "word", "before").limit(KEPT_BIGRAMS)
-        word, before, toxic, ordinary = _column(pairs, "word", "before", "toxic", "ordinary")
-        with np.errstate(over="ignore"):
-            x = before.view(np.uint64) * STEP + word.view(np.uint64)
-            x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        keys = x ^ (x >> np.uint64(27))
-        order = np.argsort(keys)
-        self.pairs = keys[order]
-        context = self._find(self.contexts, before.view(np.uint64)[order])
-        counted = np.stack([toxic[order], ordinary[order]]).astype(float)
-        self.two = np.maximum(counted - DISCOUNT, 0) / np.maximum(totals[:, context], 1)
-        self.filter = np.zeros(1 << BITS, bool)
-        self.filter[self.pairs >> np.uint64(64 - BITS)] = True
-
-    @staticmethod
-    def _find(table, keys):
-        """Places of keys in a sorted table; its length for unknown ones."""
-        at = np.searchsorted(table, keys)
-        found = np.zeros(len(keys), bool)
-        inside = at < len(table)
-        found[inside] = table[at[inside]] == keys[inside]
-        return np.where(found, at, len(table))
-
-    def features(self, words, bounds):
-        """A row for each text: mean log-likelihood difference, the best window's for each length, log of the length."""
-        n = np.diff(bounds)
-        before, pairs = _bigrams(words, bounds)
-        kinds, of = np.unique(words, return_inverse=True)
-        place = self._find(self.words, kinds)[of]
-        kinds, of = np.unique(before, return_inverse=True)
-        context = self._find(self.contexts, kinds)[of]
-        likely = self.back[:, context] * self.one[:, place]
-        maybe = np.flatnonzero(self.filter[pairs >> np.uint64(64 - BITS)])
-        at = self._find(self.pairs, pairs[maybe])
-        hit = at < len(self.pairs)
-        likely[:, maybe[hit]] += self.two[:, at[hit]]
-        gain = np.log(likely[0]) - np.log(likely[1])
+    """Both models, from the words of each class and the number of texts that hold each (columns toxic, ordinary)."""
+
+    def __init__(self, words, counts):
+        keys, before, at, bounds = _grams(words)
+        weights = np.repeat(counts, np.diff(bounds), axis=0)
+        raw = {}
+        for n in range(ORDER, 0, -1):
+            own = np.flatnonzero(at >= n - 1)
+            grams, first, of = np.unique(keys[n][own], return_index=True, return_inverse=True)
+            totals = np.stack([np.bincount(of, weights[own, c], len(grams)) for c in (0, 1)], 1)
+            raw[n] = grams, own[first], totals
+        self.tables = {}
+        for n in range(ORDER, 1, -1):
+            grams, place, totals = raw[n]
+            if n < ORDER:
+                # How many letters come before: continuation counts. Grams at a word's start have none before them.
+                _, longer, seen = raw[n + 1]
+                which = np.searchsorted(grams, keys[n][longer])
+                extended = np.stack([np.bincount(which, seen[:, c] > 0, len(grams)) for c in (0, 1)], 1)
+                totals = np.where((at[place] == n - 1)[:, None], totals, extended)
+            contexts, of = np.unique(before[n][place], return_inverse=True)
+            sums = np.stack([np.bincount(of, totals[:, c], len(contexts)) for c in (0, 1)], 1)
+            kinds = np.stack([np.bincount(of, totals[:, c] > 0, len(contexts)) for c in (0, 1)], 1)
+            share = np.maximum(totals - DISCOUNT, 0) / np.maximum(sums[of], 1)
+            back = np.where(sums > 0, DISCOUNT * kinds / np.maximum(sums, 1), 1.0)
+            self.tables[n] = grams, _padded(share, 0.0), contexts, _padded(back, 1.0)
+        letters, _, _ = raw[1]
+        _, longer, _ = raw[2]
+        either = np.bincount(np.searchsorted(letters, keys[1][longer]), minlength=len(letters)) + 1.0
+        self.letters, self.shared = letters, np.append(either, 1.0) / (either.sum() + 1)
+
+    def gains(self, words):
+        """Log-likelihood ratio of each word."""
+        if not words:
+            return np.zeros(0)
+        keys, before, at, bounds = _grams(words)
+        likely = np.repeat(self.shared[_find(self.letters, keys[1])][:, None], 2, axis=1)
+        for n in range(2, ORDER + 1):
+            own = np.flatnonzero(at >= n - 1)
+            grams, share, contexts, back = self.tables[n]
+            likely[own] = share[_find(grams, keys[n][own])] + back[_find(contexts, before[n][own])] * likely[own]
+        ratio = np.log(likely[:, 0]) - np.log(likely[:, 1])
+        return np.add.reduceat(ratio, bounds[:-1])
+
+    def features(self, lists):
+        """A row for each text of an Arrow column of word lists: the mean gain of its words, the best mean of each
+        window length, and the logarithm of the number of words."""
+        lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+        coded = lists.flatten().dictionary_encode()
+        gain = self.gains(coded.dictionary.to_pylist())[coded.indices.to_numpy()] if len(coded) else np.zeros(0)
+        n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        bounds = np.append(0, np.cumsum(n))
         sums = np.append(0, np.cumsum(gain))
         full = n > 0
         rows = np.zeros((len(n), len(WINDOWS) + 2))
         rows[full, 0] = (sums[bounds[1:]] - sums[bounds[:-1]])[full] / n[full]
         for i, width in enumerate(WINDOWS):
-            # The mean of the window that starts at each word, cut at the text's end.
-            start = np.arange(len(words))
-            end = np.minimum(start + width, np.repeat(bounds[1:], n))
-            means = (sums[end] - sums[start]) / width
+            # The mean of the window that starts at each word, as if words without gain followed the text.
+            end = np.minimum(np.arange(len(gain)) + width, np.repeat(bounds[1:], n))
+            means = (sums[end] - sums[:-1]) / width
             if full.any():
                 rows[full, 1 + i] = np.maximum.reduceat(means, bounds[:-1][full])
         rows[:, -1] = np.log1p(n)
         return rows
 
 
+def _padded(values, last):
+    return np.vstack([values, np.full((1, values.shape[1]), last)])
+
+
+def _find(table, keys):
+    """Places of keys in a sorted table; its length for unknown ones."""
+    at = np.searchsorted(table, keys)
+    found = np.zeros(len(keys), bool)
+    inside = at < len(table)
+    found[inside] = table[at[inside]] == keys[inside]
+    return np.where(found, at, len(table))
+
+
 def _logistic(x, y):
     """Weights of a logistic curve on standardised features, by Newton steps with a small ridge."""
     mean, spread = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
     z = np.column_stack([(x - mean) / spread, np.ones(len(x))])
     weights = np.zeros(z.shape[1])
-    ridge = np.full(z.shape[1], 0.1)
+    ridge = np.full(z.shape[1], 1.0)
     ridge[-1] = 1e-6
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(z @ weights, -30, 30)))
@@ -189,7 +165,8 @@ def train(docs, labels, sample=SAMPLE):
     """The fitted scorer, or None without labels of both classes.
 
     Labels of the evaluation fold and null labels take no part. Where a class has more than ``sample`` labels, a hash
-    of doc_id chooses about as many. A quarter of the chosen texts is left to the logistic curve.
+    of doc_id chooses about as many. The logistic curve is fitted on each chosen text's features by models of the
+    other folds; the final models are of all folds.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", "toxic").distinct()
     sizes = {row.toxic: row.n for row in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -202,20 +179,35 @@ def train(docs, labels, sample=SAMPLE):
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     fold = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(FOLDS))
     rows = write_shared(rows.select(_words(F.col("text")).alias("words"), "toxic", fold.alias("fold")), "toxic-words")
-    models = Models(write_shared(_tally(rows.where(F.col("fold") != CALIBRATION_FOLD)), "toxic-counts"))
-    shared = docs.sparkSession.sparkContext.broadcast(models)  # bounded by the sample and KEPT_BIGRAMS
+    each = rows.select("toxic", "fold", F.explode(F.array_distinct("words")).alias("word"))
+    texts = [F.count_if((F.col("toxic") == toxic) & (F.col("fold") == fold)) for fold in range(FOLDS) for toxic in (1, 0)]
+    named = [column.alias(f"n{i}") for i, column in enumerate(texts)]
+    # The different words of the bounded sample.
+    table = each.groupBy("word").agg(*named).orderBy("word").toPandas()
+    if not len(table):
+        return None
+    counts = table.drop(columns="word").to_numpy(float).reshape(-1, FOLDS, 2)
+    words = table["word"].to_numpy(object)
+    models = [_fit(words, counts.sum(axis=1) - counts[:, fold]) for fold in range(FOLDS)]
+    context = docs.sparkSession.sparkContext
+    others, final = context.broadcast(models), context.broadcast(_fit(words, counts.sum(axis=1)))
 
     def run(batches):
         for batch in batches:
-            found = shared.value.features(*_runs(batch.column("words")))
-            yield pa.RecordBatch.from_arrays([batch.column("toxic").cast(pa.int32()), pa.array(list(found), pa.list_(pa.float64()))], names=["toxic", "x"])
+            folds = batch.column("fold").to_numpy()
+            for fold in np.unique(folds):
+                own = batch.filter(pa.array(folds == fold))
+                found = others.value[fold].features(own.column("words"))
+                rows = pa.array(list(found), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([own.column("toxic").cast(pa.int32()), rows], names=["toxic", "x"])
 
-    calibrated = rows.where(F.col("fold") == CALIBRATION_FOLD).select("words", "toxic")
-    found = calibrated.mapInArrow(run, "toxic int, x array<double>").collect()  # a quarter of the sample
-    y = np.array([row.toxic for row in found], float)
-    if len(set(y.tolist())) < 2:
-        return None
-    return shared, _logistic(np.array([row.x for row in found]), y)
+    found = rows.select("words", "toxic", "fold").mapInArrow(run, "toxic int, x array<double>").collect()  # the sample
+    return final, _logistic(np.array([row.x for row in found]), np.array([row.toxic for row in found], float))
+
+
+def _fit(words, counts):
+    held = counts.sum(axis=1) > 0
+    return Models(words[held].tolist(), counts[held])
 
 
 def score(docs, scorer, name="score"):
@@ -227,19 +219,20 @@ def score(docs, scorer, name="score"):
         return docs.withColumn(name, F.lit(0.0))
     shared, (mean, spread, weights) = scorer
 
-    @F.pandas_udf("double")
-    def run(words):
-        import pandas as pd
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for at in range(0, batch.num_rows, 2000):
+                x = (shared.value.features(batch.column("_words").slice(at, 2000)) - mean) / spread
+                rows.append(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -500, 500))))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(rows))], schema=_schema(batch.schema, name))
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
+    return docs.withColumn("_words", _words(F.col("text"))).mapInArrow(run, schema)
 
-        out = []
-        for at in range(0, len(words), 500):
-            part = [np.asarray(own, np.int64).view(np.uint64) for own in words[at:at + 500]]
-            bounds = np.append(0, np.cumsum([len(own) for own in part])).astype(np.int64)
-            x = (shared.value.features(np.concatenate(part), bounds) - mean) / spread
-            out.append(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -500, 500))))
-        return pd.Series(np.concatenate(out) if out else [], dtype=float)
 
-    return docs.withColumn(name, run(_words(F.col("text"))))
+def _schema(schema, name):
+    return pa.schema([*list(schema)[:-1], pa.field(name, pa.float64())])
 
 
 def predictions(docs, labels):
