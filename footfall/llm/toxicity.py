@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from footfall.session import write_shared
 
 # Labelled texts of each class, at most and on average, that the models are fitted on.
-SAMPLE = 4_000
+SAMPLE = 2_000
 ORDER = 6
 DISCOUNT = 0.75
 WINDOWS = (1, 3, 12)
@@ -38,8 +38,9 @@ def _words(text):
 
 
 def _grams(words):
-    """Hashes of the last 1 to ORDER letters at each letter of each word (0 where the word has fewer), the hashes of
-    the same without their last letter, and the bounds of the words. A start and an end sign count as letters."""
+    """Hashes of the last 1 to ORDER letters at each letter of each word (0 where the word has fewer), the places of
+    the letters among them, their places in their words, and the bounds of the words. A start and an end sign count as
+    letters; the hash of n letters without the last is that of n - 1 letters one place before."""
     lengths = np.array([len(word) for word in words], np.int64) + 2
     ends = np.cumsum(lengths)
     codes = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint64)
@@ -58,24 +59,21 @@ def _grams(words):
             x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
             x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
             keys[n][reach] = x ^ (x >> np.uint64(31))
-    letters = at > 0  # the start sign is given
-    before = np.zeros_like(keys)
-    before[1:, 1:] = keys[:-1, :-1]
-    at = at[letters]
-    return keys[:, letters], before[:, letters], at, np.append(0, np.cumsum(lengths - 1))
+    letters = np.flatnonzero(at > 0)  # the start sign is given
+    return keys, letters, at[letters], np.append(0, np.cumsum(lengths - 1))
 
 
 class Models:
     """Both models, from the words of each class and the number of texts that hold each (columns toxic, ordinary)."""
 
     def __init__(self, words, counts):
-        keys, before, at, bounds = _grams(words)
-        weights = np.repeat(counts, np.diff(bounds), axis=0)
+        keys, letter, at, bounds = _grams(words)
+        word = np.repeat(np.arange(len(words), dtype=np.int32), np.diff(bounds))
         raw = {}
         for n in range(ORDER, 0, -1):
             own = np.flatnonzero(at >= n - 1)
-            grams, first, of = np.unique(keys[n][own], return_index=True, return_inverse=True)
-            totals = np.stack([np.bincount(of, weights[own, c], len(grams)) for c in (0, 1)], 1)
+            grams, first, of = np.unique(keys[n][letter[own]], return_index=True, return_inverse=True)
+            totals = np.stack([np.bincount(of, counts[word[own], c], len(grams)) for c in (0, 1)], 1)
             raw[n] = grams, own[first], totals
         self.tables = {}
         for n in range(ORDER, 1, -1):
@@ -83,10 +81,10 @@ class Models:
             if n < ORDER:
                 # How many letters come before: continuation counts. Grams at a word's start have none before them.
                 _, longer, seen = raw[n + 1]
-                which = np.searchsorted(grams, keys[n][longer])
+                which = np.searchsorted(grams, keys[n][letter[longer]])
                 extended = np.stack([np.bincount(which, seen[:, c] > 0, len(grams)) for c in (0, 1)], 1)
                 totals = np.where((at[place] == n - 1)[:, None], totals, extended)
-            contexts, of = np.unique(before[n][place], return_inverse=True)
+            contexts, of = np.unique(keys[n - 1][letter[place] - 1], return_inverse=True)
             sums = np.stack([np.bincount(of, totals[:, c], len(contexts)) for c in (0, 1)], 1)
             kinds = np.stack([np.bincount(of, totals[:, c] > 0, len(contexts)) for c in (0, 1)], 1)
             share = np.maximum(totals - DISCOUNT, 0) / np.maximum(sums[of], 1)
@@ -94,19 +92,19 @@ class Models:
             self.tables[n] = grams, _padded(share, 0.0), contexts, _padded(back, 1.0)
         letters, _, _ = raw[1]
         _, longer, _ = raw[2]
-        either = np.bincount(np.searchsorted(letters, keys[1][longer]), minlength=len(letters)) + 1.0
+        either = np.bincount(np.searchsorted(letters, keys[1][letter[longer]]), minlength=len(letters)) + 1.0
         self.letters, self.shared = letters, np.append(either, 1.0) / (either.sum() + 1)
 
     def gains(self, words):
         """Log-likelihood ratio of each word."""
         if not words:
             return np.zeros(0)
-        keys, before, at, bounds = _grams(words)
-        likely = np.repeat(self.shared[_find(self.letters, keys[1])][:, None], 2, axis=1)
+        keys, letter, at, bounds = _grams(words)
+        likely = np.repeat(self.shared[_find(self.letters, keys[1][letter])][:, None], 2, axis=1)
         for n in range(2, ORDER + 1):
             own = np.flatnonzero(at >= n - 1)
             grams, share, contexts, back = self.tables[n]
-            likely[own] = share[_find(grams, keys[n][own])] + back[_find(contexts, before[n][own])] * likely[own]
+            likely[own] = share[_find(grams, keys[n][letter[own]])] + back[_find(contexts, keys[n - 1][letter[own] - 1])] * likely[own]
         ratio = np.log(likely[:, 0]) - np.log(likely[:, 1])
         return np.add.reduceat(ratio, bounds[:-1])
 
