@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import partial
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from footfall import bindings, operators, plans, sources, streaming  # noqa: E402
 from footfall.functions import tolerant_int  # noqa: E402
-from footfall.session import shared_folder  # noqa: E402
+from footfall.session import shared_folder, write_shared  # noqa: E402
 
 try:  # the training-data subpackage and its pipeline may be absent
     import corpus_pipeline  # noqa: E402
@@ -155,6 +156,66 @@ def _key_counters_stream(spark, sf_dir):
     return streaming.read_counters(spark, f"{root}/counters")
 
 
+def _key_counters_salted(spark, sf_dir):
+    root = shared_folder(spark, "key-counters")
+    records = streaming.pay_to_records(bindings.ev_pay_stream(spark, sf_dir))
+    query = streaming.start_counter_stream(
+        records, _lookup(spark, sf_dir), root, trigger={"availableNow": True}, broadcast_bytes=0
+    )
+    query.awaitTermination()
+    return streaming.read_counters(spark, f"{root}/counters")
+
+
+def _half_stream(spark, folder, half, lookup, root, checkpoint):
+    """Count one half of the purchases in a run of its own, into the counters that are there."""
+    records = streaming.read_pay_stream(spark, {"format": "parquet", "path": f"{folder}/{half}"})
+    path = f"{root}/counters"
+    run = streaming.run_of(spark, f"{root}/{checkpoint}", path)
+    sink = partial(streaming.upsert_counters, path=path, run=run)
+    writer = streaming.key_counts(records, lookup).writeStream.outputMode("update").foreachBatch(sink)
+    writer.option("checkpointLocation", f"{root}/{checkpoint}").trigger(availableNow=True).start().awaitTermination()
+
+
+def _restarted_counters(spark, sf_dir):
+    """The root of counters that two streams with separate checkpoints made of the halves of the purchases."""
+    root, folder = shared_folder(spark, "restarts"), shared_folder(spark, "halves")
+    records = _records(spark, sf_dir).withColumn("half", F.pmod(F.xxhash64("key", "value"), F.lit(2)))
+    lookup = write_shared(_lookup(spark, sf_dir), "lookup")
+    for half in (0, 1):
+        streaming.write_records(
+            records.where(F.col("half") == half).drop("half"), {"format": "parquet", "path": f"{folder}/{half}"}
+        )
+        _half_stream(spark, folder, half, lookup, root, f"checkpoint-{half}")
+    return f"{root}/counters"
+
+
+def _counters_after_restart(spark, sf_dir):
+    return streaming.read_counters(spark, _restarted_counters(spark, sf_dir))
+
+
+def _counters_compacted(spark, sf_dir):
+    path = shared_folder(spark, "compacted")
+    counts = write_shared(_key_counters_batch(spark, sf_dir), "counts")
+    for batch_id in range(3):
+        # Totals grow up to the last batch; a key's latest total counts.
+        grown = counts.select("k", F.ceil(F.col("count") * (batch_id + 1) / 3).alias("count"))
+        streaming.upsert_counters(grown, batch_id, path)
+    streaming.compact_counters(spark, path)
+    return streaming.read_counters(spark, path)
+
+
+def _records_round_trip(spark, sf_dir):
+    folder, root = shared_folder(spark, "records"), shared_folder(spark, "round-trip")
+    streaming.write_records(_records(spark, sf_dir), {"format": "parquet", "path": folder})
+    records = streaming.read_pay_stream(spark, {"format": "parquet", "path": folder})
+    streaming.start_counter_stream(records, _lookup(spark, sf_dir), root, trigger={"availableNow": True}).awaitTermination()
+    return streaming.read_counters(spark, f"{root}/counters")
+
+
+def _province_names(spark, sf_dir):
+    return operators.relabel(bindings.province_nations(spark, sf_dir))
+
+
 def _key_counters_batch(spark, sf_dir):
     return streaming.key_counts(_records(spark, sf_dir), _lookup(spark, sf_dir))
 
@@ -286,6 +347,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "province_relabel": _province_relabel,
         "key_counters_stream": _key_counters_stream,
         "key_counters_batch": _key_counters_batch,
+        "key_counters_salted": _key_counters_salted,
+        "counters_after_restart": _counters_after_restart,
+        "counters_compacted": _counters_compacted,
+        "records_round_trip": _records_round_trip,
+        "province_names": _province_names,
         "shop_counter_report": _shop_report,
         "city_counter_report": _city_report,
         "shop_info_parsed": _shop_info_parsed,
@@ -341,14 +407,16 @@ with shop_info as (
 """
 
 TOP_SHOPS_SQL = """
-from shop_info s join (
-  select shop_id, count(user_id) countPay, count(distinct substr(time_stamp,1,10)) countDay
-  from user_pay group by shop_id
-) p on s.shop_id = p.shop_id
-order by avgAmountPerDay desc, p.shop_id limit 10
+, days as (select distinct shop_id, substr(time_stamp, 1, 10) as day from user_pay)
+, dated as (select shop_id, count(day) countDay from days group by shop_id)
+, paid as (select shop_id, count(user_id) countPay from user_pay group by shop_id)
+, ranked as (
+  select if(countDay = 0, 0, countPay * per_pay / greatest(countDay, 1))::double avgAmountPerDay,
+    paid.shop_id, countPay, countDay, shop_info.* exclude (shop_id)
+  from paid join dated using (shop_id) join shop_info using (shop_id)
+)
 """
-
-AVG_AMOUNT_SQL = "cast(case when countDay > 0 then countPay * per_pay / countDay else 0.0 end as double) avgAmountPerDay"
+TOP_SHOPS_ORDER = "from ranked order by avgAmountPerDay desc, shop_id limit 10"
 
 WELCOME_SQL = "round(cast(0.7*score/5 + 0.3*per_pay as double), 6) welcomeScore"
 
@@ -368,7 +436,14 @@ group by s.city_name order by totalPay desc, cityName limit 10
 
 DAY_PAY_SQL = "select substr(time_stamp,1,10) as day, count(*) countPay from ev_pay group by substr(time_stamp,1,10)"
 DAY_VIEW_SQL = "select substr(time_stamp,1,10) as day, count(*) countView from ev_view group by substr(time_stamp,1,10)"
-DAYS_SQL = f"from ({DAY_PAY_SQL}) tp left join ({DAY_VIEW_SQL}) tv on tp.day = tv.day"
+# All events of both kinds as days, counted by kind; days without a payment go.
+DAYS_SQL = """
+, stamps as (select time_stamp, true paid from ev_pay union all select time_stamp, false paid from ev_view)
+, days as (
+  select substr(time_stamp, 1, 10) as day, count(*) filter (paid) countPay, count(*) filter (not paid) countView
+  from stamps group by all having count(*) filter (paid) > 0
+)
+"""
 
 
 PROVINCES_SQL = """
@@ -381,8 +456,8 @@ group by r_name
 def oracle_sql() -> dict[str, str]:
     bodies = {
         "top_shops_by_daily_amount":
-            f"select {AVG_AMOUNT_SQL}, p.shop_id, countPay, countDay, city_name, per_pay {TOP_SHOPS_SQL}",
-        "top_shops_all_columns": f"select {AVG_AMOUNT_SQL}, p.*, s.* exclude (shop_id) {TOP_SHOPS_SQL}",
+            f"{TOP_SHOPS_SQL} select avgAmountPerDay, shop_id, countPay, countDay, city_name, per_pay {TOP_SHOPS_ORDER}",
+        "top_shops_all_columns": f"{TOP_SHOPS_SQL} select * {TOP_SHOPS_ORDER}",
         "welcome_top10_city":
             f"select {WELCOME_SQL}, shop_id, city_name from shop_info where city_name = 'Brand#1' "
             "order by welcomeScore desc, shop_id limit 10",
@@ -407,11 +482,10 @@ def oracle_sql() -> dict[str, str]:
         "day_pay_top10": f"{DAY_PAY_SQL} order by countPay desc, day limit 10",
         "day_view_top10": f"{DAY_VIEW_SQL} order by countView desc, day limit 10",
         "day_pay_view_last10":
-            "select tp.day as day, countPay, case when countView is null then 0 else countView end countView "
-            f"{DAYS_SQL} order by day desc limit 10",
-        "day_pay_view_all": f"select tp.day as day, countPay, coalesce(countView, 0) countView {DAYS_SQL}",
+            f"{DAYS_SQL} select * from days order by day desc limit 10",
+        "day_pay_view_all": f"{DAYS_SQL} select * from days",
         "day_pay_view_series":
-            f"select tp.day as label, countPay as value, coalesce(countView, 0) as value2 {DAYS_SQL}",
+            f"{DAYS_SQL} select day as label, countPay as value, countView as value2 from days",
         "day_pay_all": DAY_PAY_SQL,
         "day_view_all": DAY_VIEW_SQL,
         "city_rank_labels":
@@ -427,6 +501,13 @@ def oracle_sql() -> dict[str, str]:
             "join (values ('ASIA','亚洲'), ('AFRICA','非洲'), ('NOWHERE','无')) as m(r, v) on t.r_name = m.r",
         "key_counters_stream": "select k, c as count from counters",
         "key_counters_batch": "select k, c as count from counters",
+        "key_counters_salted": "select k, c as count from counters",
+        "counters_after_restart": "select k, c as count from counters",
+        "counters_compacted": "select k, c as count from counters",
+        "records_round_trip": "select k, c as count from counters",
+        "province_names":
+            "select name province, count(*) price from customer join (values (0,'北京'), (1,'上海'), (2,'天津'), "
+            "(3,'重庆')) as names(n, name) on c_nationkey % 5 = n group by name",
         "shop_counter_report":
             "select cast(row_number() over (order by ordinal) as int) idx, shop_id, c as count "
             "from ev_shop join counters on k = concat('jiaoyi', shop_id)",

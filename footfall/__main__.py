@@ -46,6 +46,9 @@ def dashboard(spark, args):
     plans.day_pay_top(pay).show(truncate=False)
     plans.day_view_top(view).show(truncate=False)
     plans.day_pay_view_last(pay, view).show(truncate=False)
+    if spark.catalog.tableExists("province" if not args.database else f"{args.database}.province"):
+        totals = sources.province_totals(sources.warehouse_table(spark, "province", args.database))
+        operators.relabel(totals).show(operators.relabel(totals).count(), truncate=False)
 
 
 def publish(spark, args):
@@ -56,19 +59,27 @@ def publish(spark, args):
 
 def count(spark, args):
     """Keep the running counters of a topic until stopped."""
-    records = streaming.read_pay_stream(spark, streaming.kafka_source(args.servers, args.topic))
+    given = {"minPartitions": args.min_partitions, "maxOffsetsPerTrigger": args.max_offsets, "startingOffsets": args.start}
+    options = {name: value for name, value in given.items() if value}
+    records = streaming.read_pay_stream(spark, streaming.kafka_source(args.servers, args.topic, **options))
     lookup = sources.shop_city_lookup(_shop_lines(spark, args.data))
     streaming.start_counter_stream(records, lookup, args.root).awaitTermination()
 
 
 def report(spark, args):
-    """Show the counters of all shops and cities of the shop file."""
+    """Write the counters of all shops and cities of the shop file, or show all of them."""
     lines = _shop_lines(spark, args.data)
     counters = streaming.read_counters(spark, f"{args.root}/counters")
     shops = streaming.shop_counter_report(sources.first_appearance(lines, "shop_id"), counters)
     cities = streaming.city_counter_report(sources.first_appearance(lines, "city_name"), counters)
-    shops.show(args.rows, truncate=False)
-    cities.show(args.rows, truncate=False)
+    for name, found in (("shops", shops), ("cities", cities)):
+        if args.out:
+            found.write.csv(f"{args.out}/{name}", header=True)
+        elif args.preview:
+            found.show(args.preview, truncate=False)
+        else:
+            for row in found.toLocalIterator():
+                print(*row, sep="\t")
 
 
 def compact(spark, args):
@@ -92,8 +103,12 @@ def _parser():
     batch_job.add_argument("--category", default=WELCOME_CATEGORY)
     add(dashboard).add_argument("--database")
     add(publish, "--data", "--servers", "--topic").add_argument("--copies", type=int, default=1)
-    add(count, "--data", "--servers", "--topic", "--root")
-    add(report, "--data", "--root").add_argument("--rows", type=int, default=20)
+    count_job = add(count, "--data", "--servers", "--topic", "--root")
+    for flag in ("--min-partitions", "--max-offsets", "--start"):
+        count_job.add_argument(flag)
+    report_job = add(report, "--data", "--root")
+    report_job.add_argument("--out")
+    report_job.add_argument("--preview", type=int)
     add(compact, "--root")
     return parser
 

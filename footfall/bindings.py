@@ -101,6 +101,13 @@ def province_customers(spark, sf_dir):
     )
 
 
+def province_nations(spark, sf_dir):
+    """Customers as sales of four named provinces and an unnamed one, by their nation; their number is the price."""
+    names = F.array(*map(F.lit, ("BeiJing", "ShangHai", "TianJin", "ChongQing", "Nowhere")))
+    province = names[F.col("c_nationkey") % 5]
+    return table(spark, sf_dir, "customer").groupBy(province.alias("province")).agg(F.count("*").alias("price"))
+
+
 def as_lines(df, *columns):
     """Rows as comma-separated lines, the form of the reader's input."""
     return df.select(F.concat_ws(",", *columns).alias("value"))

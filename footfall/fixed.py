@@ -2,6 +2,7 @@
 
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
+# Names and types of the two files.
 SHOP_INFO_SCHEMA = StructType(
     [
         StructField("shop_id", StringType()),
@@ -33,6 +34,7 @@ COUNTER_SCHEMA = StructType(
         StructField("k", StringType()),
         StructField("count", LongType()),
         StructField("batch_id", LongType()),
+        StructField("run", LongType()),
     ]
 )
 

@@ -2,32 +2,37 @@
 
 from pyspark.sql import functions as F
 
+from ..fixed import PROVINCE_NAMES
+
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
+ROW_BYTES = 64  # what a row costs in a hash table besides its text
 
 
-def _text_bytes(df):
-    """Bytes of all columns as text: one distributed aggregate, one row back."""
+def _table_bytes(df):
+    """What a hash table of all rows takes, about: one distributed aggregate, one row back."""
     width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
-    return df.agg(F.sum(width.cast("long")).alias("bytes")).first()["bytes"] or 0
+    size = df.agg(F.sum(width.cast("long")).alias("bytes"), F.count("*").alias("rows")).first()
+    return (size["bytes"] or 0) + ROW_BYTES * size["rows"]
 
 
-def lookup_join(facts, lookup, key, broadcast_bytes=BROADCAST_BYTES, salts=SALTS):
+def lookup_join(facts, lookup, key, broadcast_bytes=BROADCAST_BYTES, salts=None, by=None):
     """Left join of raw, unaggregated facts with a lookup that holds one row per key.
 
-    The lookup is measured first. Up to ``broadcast_bytes`` it is broadcast and the facts do not move. A larger
-    one is copied once per salt and joined on (key, salt), so that a key with a third of all facts is spread over
-    ``salts`` tasks. The seeded salt is the same again when a task is retried.
+    The lookup is measured first. Up to ``broadcast_bytes`` it is broadcast and the facts do not move. A larger one is
+    copied once per salt and joined on (key, salt), so that a key with a third of all facts is spread over ``salts``
+    tasks, by default as many as the shuffle has partitions. The salt is a hash of the record, of column ``by`` or
+    else of all columns, so a task that runs again deals its rows as before; equal records share a salt.
     """
-    if _text_bytes(lookup) <= broadcast_bytes:
+    if _table_bytes(lookup) <= broadcast_bytes:
         return facts.join(F.broadcast(lookup), key, "left")
-    salted_facts = facts.withColumn("_salt", F.floor(F.rand(7) * salts).cast("int"))
+    salts = salts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64(*([by] if by else facts.columns)), F.lit(salts)).cast("int")
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_facts.join(copies.hint("merge"), [key, "_salt"], "left").drop("_salt")
+    return facts.withColumn("_salt", salt).join(copies.hint("shuffle_hash"), [key, "_salt"], "left").drop("_salt")
 
 
-def relabel(df, mapping, key="province"):
-    """Replace ``key`` by its mapped value; rows whose key is not mapped are dropped.
+def relabel(df, mapping=PROVINCE_NAMES, key="province"):
+    """Replace ``key`` by its mapped value, by default the province's name; rows whose key is not mapped are dropped.
 
     A dict is a literal of the program and is broadcast. A mapping given as a DataFrame ``(key, label)`` is
     joined the way the planner finds best for its size.

@@ -3,8 +3,8 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-SALTS = 64
-_PAGE_BITS = 16
+from ..session import write_shared
+
 
 
 def top_k(df, *order, k=10):
@@ -20,7 +20,8 @@ def top_k_per_group(df, group, order, key, k=10, rank="rk"):
     order = [*order, F.col(key).asc_nulls_last()]
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if k > threshold:
-        salt = F.pmod(F.xxhash64(key), F.lit(SALTS))
+        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salt = F.pmod(F.xxhash64(key), F.lit(salts))
         partial = Window.partitionBy(group, "_salt").orderBy(*order)
         df = (
             df.withColumn("_salt", salt)
@@ -43,34 +44,15 @@ def rank_labels(df, name="cityName", value="totalPay", k=10):
 
 
 def appearance_index(df, ordinal="ordinal", name="idx"):
-    """Number rows 1, 2, 3, ... by a unique, non-negative ``ordinal``, without sorting all rows in one task.
+    """Number rows 1, 2, 3, ... (bigint) by a unique ``ordinal`` of any type, without sorting all rows in one task.
 
-    Rows fall into pages of 2^16 ordinals and pages into shelves of 2^16 pages. A row's index is its place in the
-    page, plus the rows of earlier pages on the shelf, plus the rows of earlier shelves. No page or shelf holds
-    more than 2^16 entries; only the shelf totals meet in one task (2^16 of them for ordinals up to 2^48). ``df`` is
-    computed twice, for the counts and for the rows: pass stored data if it is costly.
+    Rows are range-partitioned by ordinal once and kept in the shared folder, each with its range and its place in it;
+    a row's index is that place plus the rows of earlier ranges. Only the ranges, one row each, meet in one task.
     """
-    # Never null, so that no null filters creep in and the page counts of both levels are one shared shuffle.
-    position = F.coalesce(F.col(ordinal).cast("long"), F.lit(0))
-    rows = df.withColumn("_page", F.shiftright(position, _PAGE_BITS))
-    pages = rows.groupBy("_page").agg(F.count("*").alias("_rows"))
-    pages = pages.withColumn("_shelf", F.shiftright("_page", _PAGE_BITS))
-    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
-    shelves = pages.groupBy("_shelf").agg(F.sum("_rows").alias("_rows"))
-    shelf_start = shelves.select("_shelf", _running("_rows", earlier.orderBy("_shelf")).alias("_before_shelf"))
-    on_shelf = earlier.partitionBy("_shelf").orderBy("_page")
-    page_start = (
-        pages.withColumn("_before_page", _running("_rows", on_shelf))
-        .join(shelf_start, "_shelf")
-        .select("_page", (F.col("_before_page") + F.col("_before_shelf")).alias("_before"))
-    )
-    in_page = F.row_number().over(Window.partitionBy("_page").orderBy(ordinal))
-    return (
-        rows.withColumn("_in_page", in_page)
-        .join(page_start, "_page")
-        .select((F.col("_before") + F.col("_in_page")).cast("int").alias(name), *df.columns)
-    )
-
-
-def _running(column, window):
-    return F.coalesce(F.sum(column).over(window), F.lit(0))
+    ranged = df.repartitionByRange(ordinal).withColumn("_range", F.spark_partition_id())
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(ordinal)).cast("long")
+    rows = write_shared(ranged.withColumn("_place", place), "ranges")
+    sizes = rows.groupBy("_range").agg(F.count("*").alias("_rows"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    return rows.join(before, "_range").select((F.col("_before") + F.col("_place")).alias(name), *df.columns)

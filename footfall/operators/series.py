@@ -2,23 +2,16 @@
 
 from pyspark.sql import functions as F
 
-MAX_POINTS = 10_000
-
 
 def series(df, *columns):
-    """``(label, value[, value2])`` from the given columns, or from the first ones, in the order of ``df``."""
-    chosen = list(columns) or df.columns[:3]
-    names = ["label", "value", "value2"][: len(chosen)]
+    """``(label, value[, value2, ...])`` from the given columns, or from all, in the order of ``df``."""
+    chosen = columns or df.columns
+    names = ["label", "value", *[f"value{i}" for i in range(2, len(chosen))]][: len(chosen)]
     return df.select(*[F.col(c).alias(n) for c, n in zip(chosen, names, strict=True)])
 
 
-def series_lists(df, *columns, max_points=MAX_POINTS):
-    """The series as Python lists, for the edge where a chart is drawn.
-
-    More than ``max_points`` rows are an error; they are neither cut nor pulled to the driver.
-    """
+def series_lists(df, *columns):
+    """The whole series as Python lists, for the edge where a chart is drawn: as many points as ``df`` has rows."""
     points = series(df, *columns)
-    rows = points.take(max_points + 1)
-    if len(rows) > max_points:
-        raise ValueError(f"series has more than {max_points} points; aggregate it first")
+    rows = points.collect()
     return [[row[i] for row in rows] for i in range(len(points.columns))]

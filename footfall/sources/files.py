@@ -4,7 +4,6 @@ The CSV source is not used: it honours quotes and drops empty lines, while here
 is a row.
 """
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
@@ -45,23 +44,12 @@ def read_user_pay(spark, path):
 def read_lines(spark, path):
     """``(value, ordinal)``, where ordinal grows with the position of the line (file name, then line).
 
-    For the shop file, whose line order has meaning. A row id alone does not follow line order, as Spark packs
-    file splits into partitions by size. Within one split it does, so splits are ranked and each line gets
-    ``split rank, row id``. Ordinals have gaps.
+    For the shop file, whose line order has meaning. A row id alone does not follow line order, as Spark packs file
+    splits into partitions by size; within one split it does. So ordinal is (file, start of the split, row), which
+    orders like any column and needs no second look at the file.
     """
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    # One row per file split. The driver plans the scan from that very list, so the list fits one task and a broadcast.
-    splits = (
-        lines.select("file", "start")
-        .distinct()
-        .withColumn("split", F.row_number().over(Window.orderBy("file", "start")).cast("long"))
-    )
-    row_in_partition = F.col("row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return lines.join(F.broadcast(splits), ["file", "start"]).select(
-        "value", F.shiftleft("split", _ROW_BITS).bitwiseOR(row_in_partition).alias("ordinal")
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), row.alias("row")
     )
+    return spark.read.text(path).select("value", place.alias("ordinal"))

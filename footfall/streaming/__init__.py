@@ -9,7 +9,7 @@ from .records import (
     write_records,
 )
 from .report import city_counter_report, shop_counter_report
-from .store import compact_counters, read_counters, set_counters, upsert_counters
+from .store import compact_counters, read_counters, run_of, set_counters, upsert_counters
 
 __all__ = [
     "city_counter_report",
@@ -25,6 +25,7 @@ __all__ = [
     "set_counters",
     "shop_counter_report",
     "start_counter_stream",
+    "run_of",
     "upsert_counters",
     "write_records",
 ]

@@ -8,7 +8,7 @@ from ..fixed import CITY_KEY_PREFIX, SHOP_KEY_PREFIX
 from ..functions import first_field
 from ..operators import lookup_join
 from ..session import write_shared
-from .store import upsert_counters
+from .store import run_of, upsert_counters
 
 
 def _keys(shop_id="shop_id", city_name="city_name"):
@@ -19,32 +19,36 @@ def _keys(shop_id="shop_id", city_name="city_name"):
     )
 
 
-def key_counts(records, lookup):
+def key_counts(records, lookup, **join):
     """Counts ``(k, count)`` of both key families, for a batch or a stream of records.
 
     ``lookup`` holds one city per shop. A batch is counted per shop before it is joined. A stream can aggregate
     only once in update mode, so each record is joined, then counted with a map-side combine before the state.
     """
-    shops = records.select(first_field(F.col("value")).alias("shop_id"))
+    shops = records.select(first_field(F.col("value")).alias("shop_id"), F.xxhash64("key", "value").alias("record"))
     if records.isStreaming:
-        keyed = lookup_join(shops, lookup, "shop_id").select(F.explode(_keys()).alias("k"))
+        keyed = lookup_join(shops, lookup, "shop_id", by="record", **join).select(F.explode(_keys()).alias("k"))
         return keyed.groupBy("k").count()
     per_shop = shops.groupBy("shop_id").agg(F.count("*").alias("n")).join(lookup, "shop_id", "left")
     return per_shop.select(F.explode(_keys()).alias("k"), "n").groupBy("k").agg(F.sum("n").alias("count"))
 
 
-def start_counter_stream(records, lookup, root, sink=None, trigger=None):
+def start_counter_stream(records, lookup, root, sink=None, trigger=None, **join):
     """Start the counting query; its checkpoint and its counters live together under ``root``.
 
+    The counters stay when the checkpoint is renewed: the new query adds to them. ``join`` goes to ``lookup_join``.
+
     The lookup is read once, at the start, and kept in the shared folder, so that the query does not depend on
     the shop file afterwards; restart the query to refresh it. ``sink(batch_df, batch_id)`` may replace the
     counter table by an external store.
     """
-    lookup = write_shared(lookup, "lookup")
+    lookup = write_shared(lookup, "lookup").persist()  # kept over micro-batches
+    run = run_of(lookup.sparkSession, f"{root}/checkpoint", f"{root}/counters")
+    sink = sink or partial(upsert_counters, path=f"{root}/counters", run=run)
     return (
-        key_counts(records, lookup)
+        key_counts(records, lookup, **join)
         .writeStream.outputMode("update")
-        .foreachBatch(sink or partial(upsert_counters, path=f"{root}/counters"))
+        .foreachBatch(sink)
         .option("checkpointLocation", f"{root}/checkpoint")
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
         .start()

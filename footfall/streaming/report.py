@@ -3,14 +3,13 @@
 from pyspark.sql import functions as F
 
 from ..fixed import CITY_KEY_PREFIX, SHOP_KEY_PREFIX
-from ..functions import non_empty
 from ..operators import appearance_index
 
 
 def _report(names, counters, column, prefix):
-    shown = counters.where(non_empty(F.col("count").cast("string"))).select("k", "count")
+    shown = counters.where(F.col("count").isNotNull()).select("k", "count")
     found = names.withColumn("k", F.concat(F.lit(prefix), F.col(column))).join(shown, "k")
-    return appearance_index(found.select(column, "count", "ordinal")).select("idx", column, "count").orderBy("idx")
+    return appearance_index(found.select(column, "count", "ordinal")).select(F.col("idx").cast("int").alias("idx"), column, "count").orderBy("idx")
 
 
 def shop_counter_report(shops, counters):

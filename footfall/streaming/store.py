@@ -1,7 +1,8 @@
-"""Counter table: absolute totals, one folder per micro-batch.
+"""Counter table: totals of each run, one folder per micro-batch.
 
-A replayed batch replaces its own folder and totals do not depend on how often a batch ran, so nothing is
-counted twice. The latest total of a key is the one of its highest batch.
+A run is the life of one checkpoint; its totals start at 0 and only grow. A replayed batch replaces its own folder and
+totals do not depend on how often a batch ran, so nothing is counted twice. The total of a key is the sum over the
+runs of its latest total in each, that of its highest batch. So counters may be kept when the checkpoint is renewed.
 """
 
 import uuid
@@ -14,65 +15,112 @@ _BATCH = "slice=batch-"
 _COMPACTED = "slice=upto-"
 
 
-def upsert_counters(batch_df, batch_id, path, files=8):
-    """Write the totals a micro-batch changed. The rows are regrouped into few files; keys are unique."""
+def upsert_counters(batch_df, batch_id, path, run=0):
+    """Write the totals that a micro-batch of a run changed; keys are unique.
+
+    The rows are rebalanced by their size: a few keys make one file, many make as many as they need.
+    """
     (
-        batch_df.select("k", "count", F.lit(batch_id).cast("long").alias("batch_id"))
-        .repartition(files, "k")
+        batch_df.select("k", "count", F.lit(batch_id).cast("long").alias("batch_id"), F.lit(run).cast("long").alias("run"))
+        .hint("rebalance")
         .write.mode("overwrite")
-        .parquet(f"{path}/{_BATCH}{batch_id:012d}")
+        .parquet(f"{path}/{_BATCH}{run:06d}-{batch_id:012d}")
     )
 
 
-def set_counters(batch_df, batch_id, connect):
+def run_of(spark, checkpoint, path):
+    """The number of the run that a checkpoint folder belongs to.
+
+    It lies inside the checkpoint, so a renewed checkpoint begins a new run: 0, or one more than any in the counters
+    at ``path``.
+    """
+    folder = f"{checkpoint}/run"
+    if not _Folder(spark, folder).names():
+        last = _slices(spark, path).agg(F.max("run")).first()[0] if _Folder(spark, path).names() else None
+        run = 0 if last is None else last + 1
+        spark.createDataFrame([(str(run),)], "run string").coalesce(1).write.mode("overwrite").text(folder)
+    return int(spark.read.text(folder).first()["value"])
+
+
+def set_counters(batch_df, batch_id, connect, chunk=500):
     """Put the totals of a micro-batch into an external store, one client per partition.
 
-    ``connect()`` runs on the executor and returns a client with ``set(key, count)`` and ``close()``. A failure
-    fails the batch, which is then safe to run again as totals are set and not added.
+    ``connect()`` runs on the executor and returns a client with ``set_many(pairs)``, which gets up to ``chunk`` pairs
+    (key, count) at a time, and ``close()``. A failure fails the batch, which is then safe to run again as totals are
+    set and not added.
     """
 
     def put(rows):
         client = connect()
         try:
+            pairs = []
             for row in rows:
-                client.set(row["k"], row["count"])
+                pairs.append((row["k"], row["count"]))
+                if len(pairs) == chunk:
+                    client.set_many(pairs)
+                    pairs = []
+            if pairs:
+                client.set_many(pairs)
         finally:
             client.close()
 
     batch_df.select("k", "count").foreachPartition(put)
 
 
+class _Folder:
+    """Names and removal in a folder of any file system that Spark reads: the one place that reaches into the JVM."""
+
+    def __init__(self, spark, path):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._folder = self._path(path)
+        self._fs = self._folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def names(self):
+        if not self._fs.exists(self._folder):
+            return []
+        return sorted(status.getPath().getName() for status in self._fs.listStatus(self._folder))
+
+    def delete(self, name):
+        self._fs.delete(self._path(self._folder, name), True)
+
+
 def _slices(spark, path):
     return spark.read.schema(COUNTER_SCHEMA).parquet(path)
 
 
 def _latest(slices):
-    return slices.groupBy("k").agg(
+    return slices.groupBy("run", "k").agg(
         F.max_by("count", "batch_id").alias("count"), F.max("batch_id").alias("batch_id")
     )
 
 
 def read_counters(spark, path):
-    return _latest(_slices(spark, path)).select("k", "count")
+    """``(k, count)``; no rows where nothing was counted yet."""
+    if not _Folder(spark, path).names():
+        return spark.createDataFrame([], COUNTER_SCHEMA).select("k", "count")
+    return _latest(_slices(spark, path)).groupBy("k").agg(F.sum("count").alias("count"))
 
 
 def compact_counters(spark, path):
     """Fold the folders of past batches into one, so that reads do not grow with the age of the stream.
 
-    For a separate job, one at a time, beside a running stream. The newest batch may still be in writing and is
-    left alone. Rows keep the batch they came from, so readers get the same totals before, during and after. Old
-    folders go only once the new one is complete; a reader that listed them before that has to start again.
+    For a separate job, one at a time, beside a running stream. The newest batch of each run may still be in writing
+    and is left alone. Rows keep the run and the batch they came from, so readers get the same totals before, during
+    and after. Old folders go only once the new one is complete; a reader that listed them before that has to start again.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [status.getPath().getName() for status in fs.listStatus(folder)]
-    batches = sorted(name for name in names if name.startswith(_BATCH))
-    past = batches[:-1]
+    folder = _Folder(spark, path)
+    names = folder.names()
+    newest = {}
+    for name in names:
+        if name.startswith(_BATCH):
+            newest[name.rpartition("-")[0]] = name
+    past = [name for name in names if name.startswith(_BATCH) and name not in newest.values()]
     if not past:
         return
-    compacted = [name for name in names if name.startswith(_COMPACTED)]
-    in_past = (F.col("slice") <= past[-1].removeprefix("slice=")) | F.col("slice").startswith("upto-")
-    target = f"{_COMPACTED}{past[-1].removeprefix(_BATCH)}-{uuid.uuid4().hex}"
-    _latest(_slices(spark, path).where(in_past)).write.parquet(f"{path}/{target}")
-    for name in past + compacted:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, name), True)
+    old = past + [name for name in names if name.startswith(_COMPACTED)]
+    target = f"{_COMPACTED}{uuid.uuid4().hex}"
+    paths = [f"{path}/{name}" for name in old]
+    folded = _latest(spark.read.schema(COUNTER_SCHEMA).option("basePath", path).parquet(*paths))
+    folded.write.parquet(f"{path}/{target}")
+    for name in old:
+        folder.delete(name)

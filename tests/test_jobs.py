@@ -53,6 +53,23 @@ def test_report_and_compaction(spark, data, tmp_path, capsys):
     main(["compact", "--root", root], spark)
     main(["report", "--data", data, "--root", root], spark)
     shown = capsys.readouterr().out
-    for row in ("|1  |s1     |3    |", "|2  |s2     |1    |", "|1  |北京     |3    |", "|2  |上海     |1    |"):
+    for row in ("1\ts1\t3", "2\ts2\t1", "1\t北京\t3", "2\t上海\t1"):
         assert row in shown
     assert "s4" not in shown
+
+
+def test_report_is_whole(spark, tmp_path, capsys):
+    """All of 50 shops and cities come out, printed or written; without counters nothing does."""
+    (tmp_path / "shop_info.txt").write_text("".join(f"s{i},c{i}\n" for i in range(50)), encoding="utf-8")
+    args = ["report", "--data", str(tmp_path), "--root", str(tmp_path / "run")]
+    main(args, spark)
+    assert capsys.readouterr().out == ""
+    keys = [f"{prefix}{i}" for i in range(50) for prefix in ("jiaoyis", "交易c")]
+    counts = spark.createDataFrame([(key, 1) for key in keys], "k string, count long")
+    streaming.upsert_counters(counts, 0, str(tmp_path / "run/counters"))
+    main(args, spark)
+    assert len(capsys.readouterr().out.splitlines()) == 100
+    main([*args, "--out", str(tmp_path / "out")], spark)
+    assert spark.read.csv(str(tmp_path / "out/shops"), header=True).count() == 50
+    main([*args, "--preview", "3"], spark)
+    assert capsys.readouterr().out.count("|s") == 4  # the heading and three shops

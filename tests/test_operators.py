@@ -70,6 +70,8 @@ def test_lookup_join_is_the_same_either_way(spark, broadcast_bytes):
     lookup = spark.createDataFrame([("hot", "H"), ("g1", "A"), ("unused", "U")], "shop_id string, city_name string")
     joined = operators.lookup_join(facts, lookup, "shop_id", broadcast_bytes=broadcast_bytes)
     cities = {"hot": "H", "g1": "A"}
+    shuffled = facts.groupBy("shop_id", "n").count().drop("count")  # rows out of a shuffle, in no fixed order
+    assert operators.lookup_join(shuffled, lookup, "shop_id", broadcast_bytes=broadcast_bytes).count() == shuffled.count()
     assert sorted(map(tuple, joined.select("n", "city_name").collect())) == sorted((k, cities.get(g)) for g, k, _ in rows)
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert ("BroadcastHashJoin" in plan) == (broadcast_bytes > 0)
@@ -94,5 +96,8 @@ def test_series(spark):
     assert operators.series(df).columns == ["label", "value", "value2"]
     assert operators.series_lists(df.orderBy("day")) == [["d1", "d2"], [1, 3], [2, 4]]
     assert operators.series_lists(df.orderBy("day"), "day", "countView") == [["d1", "d2"], [2, 4]]
-    with pytest.raises(ValueError):
-        operators.series_lists(df, max_points=1)
+    assert operators.series(df.withColumn("more", F.lit(0))).columns == ["label", "value", "value2", "value3"]
+
+
+def test_long_series(spark):
+    assert len(operators.series_lists(spark.range(10_001).withColumn("n", F.lit(1)))[0]) == 10_001

@@ -100,6 +100,33 @@ def test_replayed_batch_replaces_itself(spark, tmp_path):
     assert {tuple(r) for r in streaming.read_counters(spark, path).collect()} == {("a", 5), ("b", 2)}
 
 
+def test_counters_outlive_their_checkpoint(spark, tmp_path):
+    """Totals of a renewed checkpoint start at 0 and add to what is there; compaction changes nothing."""
+    path = str(tmp_path / "counters")
+    assert streaming.read_counters(spark, path).count() == 0
+    streaming.compact_counters(spark, path)
+    for run, totals in enumerate([(10, 20, 30, 40, 50), (10, 20)]):
+        for batch_id, total in enumerate(totals):
+            streaming.upsert_counters(spark.createDataFrame([("k", total)], "k string, count long"), batch_id, path, run)
+    for _ in range(2):
+        assert [tuple(row) for row in streaming.read_counters(spark, path).collect()] == [("k", 70)]
+        streaming.compact_counters(spark, path)
+    assert [streaming.run_of(spark, str(tmp_path / "one"), path) for _ in range(2)] == [2, 2]
+    assert streaming.run_of(spark, str(tmp_path / "two"), str(tmp_path / "none")) == 0
+
+
+def test_files_follow_the_size_of_a_batch(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        wide = spark.range(200_000).selectExpr("cast(id as string) k", "id count").repartition(8)
+        streaming.upsert_counters(wide, 0, str(tmp_path / "large"))
+        streaming.upsert_counters(wide.limit(2), 0, str(tmp_path / "small"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = lambda name: len(list((tmp_path / name).rglob("*.parquet")))
+    assert files("large") > 8 and files("small") == 1
+
+
 def test_compaction_keeps_totals(spark, stream):
     for seed in range(4):
         stream.feed(_payments(60, seed))
@@ -132,9 +159,10 @@ def test_external_store(spark, stream, tmp_path):
 
     def connect(folder=str(store)):
         class Client:
-            def set(self, key, count):
-                with open(f"{folder}/{key}", "w") as f:
-                    f.write(str(count))
+            def set_many(self, pairs):
+                for key, count in pairs:
+                    with open(f"{folder}/{key}", "w") as f:
+                        f.write(str(count))
 
             def close(self):
                 open(f"{folder}/closed", "w").close()
