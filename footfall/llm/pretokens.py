@@ -18,7 +18,7 @@ from footfall.llm.common import gather
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-KEPT_PIECES, KEPT_WORDS = 350_000, 200_000
+KEPT_PIECES, KEPT_WORDS = 900_000, 600_000
 ODD, NEW = -1, -2
 
 _WORDS = regex.compile(PATTERN)
@@ -40,6 +40,16 @@ def as_letters(word):
     return word.encode().decode("latin-1").translate(_LETTERS)
 
 
+def _plain_words(piece):
+    """The words of a piece of common letters, or of those and a mark at the end, after a space; else None."""
+    if max(piece) < "ɐ":
+        if piece.isalpha():
+            return (" " + piece,)
+        if piece[-1] in ".,;:!?" and piece[:-1].isalpha():
+            return " " + piece[:-1], piece[-1]
+    return None
+
+
 def is_byte_level(path):
     """Whether the file is plain byte-level BPE, which pieces can be encoded of on their own."""
     with open(path, encoding="utf-8") as file:
@@ -118,8 +128,8 @@ class PieceEncoder:
         return out
 
     def _learn(self, pieces):
-        """``pieces``: (key, text, whether it is one word) of pieces not met before."""
-        cut = [(text,) if single else self._cut_words(text) for _, text, single in pieces]
+        """``pieces``: (key, text, its words if known) of pieces not met before."""
+        cut = [own or self._cut_words(text) for _, text, own in pieces]
         words = self.words
         new = list({word for own in cut for word in own if word not in words})
         if len(words) + len(new) > KEPT_WORDS:
@@ -157,14 +167,14 @@ class PieceEncoder:
                     if not key or key[0].isspace() or key[-1].isspace():
                         self._keep(key, None)
                     else:
-                        learn.append((key, " " + key, key.isalpha() and key[-1] < "ɐ" and max(key) < "ɐ"))
+                        learn.append((key, " " + key, _plain_words(key)))
                 elif len(key) == 1:
                     if key[0] and (key[0][0].isspace() or key[0][-1].isspace()):
                         self._keep(key, None)
                     else:
-                        learn.append((key, key[0], False))
+                        learn.append((key, key[0], None))
                 else:
-                    learn.append((key, " " + key[0] if key[1] else key[0], False))
+                    learn.append((key, " " + key[0] if key[1] else key[0], None))
             self._learn(learn)
             found[missing] = np.fromiter(map(self.pieces.__getitem__, new), np.int64, len(new))
         return found
