@@ -52,16 +52,16 @@ def binary_column(values, bounds):
     return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(data)]).cast(pa.binary())
 
 
-def numbered(df, groups, order, salts, number="slot"):
+def numbered(df, groups, order, salt, number="slot"):
     """A gapless number from 0 within each group, without gathering a group in one task.
 
-    Rows of a group are dealt over ``salts`` buckets by a hash of ``order``, numbered within their bucket, and moved
-    up by the rows of the buckets before. The offsets have a row for each group and bucket; ``groups`` must be columns
+    Rows of a group are dealt over buckets by ``salt``, a column of bounded range that only depends on the row, numbered
+    by ``order`` within their bucket, and moved up by the rows of the buckets before. The offsets have a row for each group and bucket; ``groups`` must be columns
     of bounded range without nulls.
     """
     from pyspark.sql import Window
 
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
+    salted = df.withColumn("_salt", salt.cast("int"))
     keys = [*groups, "_salt"]
     sizes = salted.groupBy(*keys).agg(F.count("*").alias("_rows"))
     before = Window.partitionBy(*groups).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)

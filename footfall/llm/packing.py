@@ -117,7 +117,8 @@ def pack(docs, path, end_id=1, size=2048):
     def widen(ids: pd.Series) -> pd.Series:
         return ids.map(lambda own: np.frombuffer(own, kind).astype("<u4").tobytes())
 
-    ranked = numbered(cut, ["length"], ["doc_id", "start"], RANK_SALTS, "rank")
+    salt = F.pmod(F.xxhash64("doc_id", "start"), F.lit(RANK_SALTS))
+    ranked = numbered(cut, ["length"], ["doc_id", "start"], salt, "rank")
     placed = ranked.withColumn("_place", place("length", "rank"))
     return placed.select(
         "doc_id", "start", "length", "doc_tokens", widen("ids").alias("ids"), "_place.sequence_id", "_place.offset"
