@@ -184,3 +184,61 @@ def keep(docs, labels):
     stats = statistics(docs.select("doc_id", "lang", "text")).drop("text")
     cutoffs = write_shared(learn(write_shared(stats, "quality"), labels), "cutoffs")
     return judge(statistics(docs), cutoffs).where("kept").select(*docs.columns)
+
+
+def oracle_sql(alpha=ALPHA, delta=DELTA):
+    """``verdicts`` in DuckDB's SQL."""
+    grid = ", ".join(f"({cutoff}::double)" for cutoff in GRID)
+    rate = f"{alpha / len(RULES)}::double"
+    spaces = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+with texts as (
+  select row_number() over () as text_no, doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as text from documents
+), split as (
+  select *, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as words,
+    list_filter(string_split(text, chr(10)), lambda l: length(translate(l, {spaces}, '')) > 0) as lines from texts
+), windows as (
+  select text_no, unnest(range(1, len(words) - 1)) as pos,
+    unnest(list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) as gram
+  from split where len(words) >= 3
+), twice as (
+  select text_no, pos, count(*) over (partition by text_no, gram) as times from windows
+), repeated as (
+  select text_no, count(distinct pos + step) as n from twice, range(3) s(step) where times > 1 group by text_no
+), counts as (
+  select split.text_no, doc_id, stratum, len(words) as n_words, length(translate(text, {spaces}, '')) as word_chars,
+    length(text) - length(translate(text, '{SYMBOLS}', '')) as n_symbols, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+    coalesce(n, 0) as n_repeat_words, len(lines) as n_lines, length(regexp_replace(text, '[^\\p{{Lu}}]+', '', 'g')) as n_capitals,
+    length(text) - length(translate(text, '!', '')) as n_exclamations
+  from split left join repeated using (text_no)
+), stats as (
+  select *, coalesce(n_symbols / nullif(word_chars, 0), 0) as symbols, coalesce(n_repeat_words / nullif(n_words, 0), 0) as repeats,
+    coalesce(n_dup_lines / nullif(n_lines, 0), 0) as lines, coalesce(n_capitals / nullif(word_chars, 0), 0) as capitals,
+    coalesce(n_exclamations / nullif(word_chars, 0), 0) as exclamations,
+    n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words as base_failed
+  from counts
+), held as (
+  select stratum, quality, rule, value from (
+    select stratum, quality, unnest([{", ".join(f"'{rule}'" for rule in RULES)}]) as rule, unnest([{", ".join(RULES)}]) as value
+    from stats join labels using (doc_id) where not base_failed and quality is not null)
+), tested as (
+  select stratum, rule, cutoff, count(*) filter (quality = 1) as n, count(*) filter (quality = 1 and value > cutoff) as k,
+    count(*) filter (quality = 0 and value > cutoff) as hits
+  from held, (values {grid}) g(cutoff) group by all
+), judged as (
+  select *, case when k > n * {rate} then 1 else (
+      select sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({rate}) + (n - j) * ln(1 - {rate})))
+      from range(0, k + 1) r(j)) end as tail,
+    {delta} / ((select count(distinct stratum) from held) * {len(RULES) * len(GRID)}) as level
+  from tested
+), best as (
+  select stratum, rule, arg_max(cutoff, hits * 100 + cutoff) as cutoff from judged where hits > 0 and tail <= level group by all
+), beyond as (
+  select distinct text_no from (
+    select text_no, stratum, unnest([{", ".join(f"'{rule}'" for rule in RULES)}]) as rule, unnest([{", ".join(RULES)}]) as value from stats
+  ) v join best using (stratum, rule) where value > cutoff
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and text_no not in (select text_no from beyond) as kept
+from stats
+"""

@@ -99,4 +99,4 @@ def queries():
 
 def oracle_sql():
     """SQL for the queries that it can express; the others are held against brute force in tests."""
-    return {"op6_jump_hash_shards": shards.oracle_sql()}
+    return {"op3_risk_controlled_quality": quality.oracle_sql(), "op6_jump_hash_shards": shards.oracle_sql()}
