@@ -29,8 +29,10 @@ RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SIZE = len(LETTERS) + 1
-FALSE_RATE = 1e-4
-BINS = 400
+# The threshold is where this share of the ordinary samples passes or this share of the random ones does not, whichever
+# is lower, since secrets that no pattern knows lie among the ordinary ones; but at least MIN_GAIN a character.
+FALSE_RATE, MISS_RATE, MIN_GAIN = 1e-4, 0.05, 0.5
+BINS, BIN = 400, 0.02
 SPAN = "struct<kind:string,start:int,end:int>"
 
 
@@ -118,45 +120,63 @@ def _matrix(samples):
     return out.reshape(SIZE, SIZE)
 
 
-def train(scanned, false_rate=FALSE_RATE):
-    """(ratio: log-likelihood ratio of each transition, threshold per character) from all rows of ``scan``.
+def train(scanned, false_rate=FALSE_RATE, miss_rate=MISS_RATE, min_gain=MIN_GAIN):
+    """((transition counts of random strings, of ordinary ones), threshold a character) from all rows of ``scan``.
 
     Each different sample counts once, so repeated texts do not outweigh others. Without samples of either class
-    nothing is flagged. The threshold is the least, not below 0, that at most ``false_rate`` of the ordinary samples pass.
+    nothing is flagged.
     """
-    values = scanned.select(F.explode("values").alias("run")).distinct()
+    values = write_shared(scanned.select(F.explode("values").alias("run")).distinct(), "secret-values")
     ordinary = scanned.select(F.explode("runs.run").alias("run")).distinct()
     ordinary = write_shared(ordinary, "identifiers")
     random, plain = _matrix(values), _matrix(ordinary)
     if not random.sum() or not plain.sum():
-        return np.zeros((SIZE, SIZE)), float("inf")
-    smooth = lambda counts: (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True)
-    ratio = np.log(smooth(random)) - np.log(smooth(plain))
+        return (random, plain), float("inf")
 
-    @F.pandas_udf("int")
-    def bin_of(runs: pd.Series) -> pd.Series:
-        return runs.map(lambda run: int(np.clip(np.ceil(_per_character(ratio, run) * 50), 0, BINS)))
+    def bins(own):
+        @F.pandas_udf("int")
+        def bin_of(runs: pd.Series) -> pd.Series:
+            return runs.map(lambda run: int(np.clip(np.ceil(gain(random, plain, run, own) / BIN), 0, BINS)))
 
-    counts = {row.bin: row.n for row in ordinary.groupBy(bin_of("run").alias("bin")).agg(F.count("*").alias("n")).collect()}
-    total, above, cut = sum(counts.values()), 0, BINS
-    while cut > 0 and above + counts.get(cut, 0) <= false_rate * total:
-        above += counts.get(cut, 0)
-        cut -= 1
-    return ratio, cut / 50
+        return bin_of("run").alias("bin")
 
+    def tally(samples, own):
+        counts = np.zeros(BINS + 1)
+        for row in samples.groupBy(bins(own)).agg(F.count("*").alias("n")).collect():  # BINS at most
+            counts[row.bin] = row.n
+        return counts / counts.sum()
 
-def _per_character(ratio, run):
+    passing = np.append(np.cumsum(tally(ordinary, 1)[::-1])[::-1][1:], 0)  # share above each bin
+    few = int(np.flatnonzero(passing <= false_rate)[0])
+    most = int(np.flatnonzero(np.cumsum(tally(values, 0)) > miss_rate)[0]) - 1
+    return (random, plain), max(min_gain, BIN * min(few, most))
+
+
+def gain(random, plain, run, own=1):
+    """Log-likelihood ratio a character of a run, by transition counts of both classes.
+
+    The run is left out of the class that it was counted in (0 random, 1 ordinary), so that it speaks not for itself.
+    """
     codes = _codes(run)
-    return ratio[codes[:-1], codes[1:]].sum() / (len(codes) - 1)
+    cells = codes[:-1] * SIZE + codes[1:]
+    _, at, times = np.unique(cells, return_inverse=True, return_counts=True)
+    _, row_at, row_times = np.unique(codes[:-1], return_inverse=True, return_counts=True)
+    likely = []
+    for number, counts in enumerate((random, plain)):
+        seen, row = counts[codes[:-1], codes[1:]], counts.sum(axis=1)[codes[:-1]]
+        if number == own:
+            seen, row = seen - times[at], row - row_times[row_at]
+        likely.append(np.log((np.maximum(seen, 0) + 0.5) / (np.maximum(row, 0) + 0.5 * SIZE)).sum())
+    return (likely[0] - likely[1]) / len(cells)
 
 
 def add_markov(scanned, model):
     """``scanned`` rows as (doc_id, base, spans): base spans and flagged runs by start, then kind."""
-    ratio, threshold = model
+    (random, plain), threshold = model
 
     @F.pandas_udf("array<boolean>")
     def flags(runs: pd.Series) -> pd.Series:
-        return runs.map(lambda own: [bool(_per_character(ratio, run) > threshold) for run in own])
+        return runs.map(lambda own: [bool(gain(random, plain, run) > threshold) for run in own])
 
     flagged = F.filter(F.zip_with("runs", flags(F.col("runs.run")), lambda run, hit: F.when(hit, run)), lambda run: run.isNotNull())
     added = F.transform(flagged, lambda run: F.struct(F.lit("markov").alias("kind"), run["start"].alias("start"), run["end"].alias("end")))
@@ -193,7 +213,7 @@ def redact(docs, mask="[SECRET]"):
     """``docs`` with each run of overlapping spans in text replaced by ``mask``.
 
     All other columns stay, but for ``n_chars``, which follows the text."""
-    ratio, threshold = train(write_shared(scan(docs), "secrets"))
+    (random, plain), threshold = train(write_shared(scan(docs), "secrets"))
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
@@ -201,7 +221,7 @@ def redact(docs, mask="[SECRET]"):
             if text is None:
                 return None
             spans, _ = base_spans(text)
-            found = [m.span() for m in free_runs(text, spans) if _per_character(ratio, m[0]) > threshold]
+            found = [m.span() for m in free_runs(text, spans) if gain(random, plain, m[0]) > threshold]
             spans = [span[1:] for span in spans] + found
             out, at = [], 0
             for start, end in sorted(spans):
