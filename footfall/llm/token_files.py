@@ -160,13 +160,9 @@ def _ids_by_rank(rows, kind):
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for value in batch.column("ids"):
-                own = np.bincount(np.frombuffer(value.as_buffer(), kind))
-                if len(own) > len(total):
-                    own[:len(total)] += total
-                    total = own
-                else:
-                    total[:len(own)] += own
+            own = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), kind), minlength=len(total))
+            own[:len(total)] += total
+            total = own
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
 
