@@ -4,6 +4,7 @@ A byte-level pre-tokenizer always cuts before a single space between two charact
 pieces between such spaces can be encoded on their own and their ids put one after another.
 """
 
+import gc
 import json
 import re
 from array import array
@@ -183,6 +184,16 @@ class PieceEncoder:
         """Ids of all texts one after another, and the number of ids of each text."""
         if not texts:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        # Millions of pieces are made and none refers back: the cycle collector would only walk them.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts):
         if len(self.pieces) > KEPT_PIECES:
             self._shrink()
         keys = [self._keys(text, False) for text in texts]
