@@ -2,12 +2,18 @@
 
 Each curve projects the vectors on a few random orthogonal directions, shifts them, and orders them along a Hilbert
 curve. Spark range-partitions the vectors by their place on each curve; the order is cut into blocks, and a query
-meets its own block and the two beside it. What the curves find is merged and ranked by the exact inner product.
+meets its own block and those beside it. What the curves find is merged and ranked by the exact inner product.
+
+How wide the windows are follows from the table: some queries are answered by brute force, and blocks, then windows,
+grow until TARGET of these true neighbours lie in a window of any curve. Where windows would hold more places than the
+table has rows, every query meets every row once instead.
 
 A constant coordinate makes the largest inner product the smallest distance: vectors get sqrt(M**2 - norm**2), with M
 the largest norm; queries are scaled to M and get 0.
 """
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -18,8 +24,11 @@ from pyspark.sql import functions as F
 from footfall.session import write_shared
 
 CURVES, DIRECTIONS, BITS = 16, 8, 7
-BLOCK = 2048
+# Blocks start at BLOCK rows and grow to BLOCK_NUMBERS components; a group of vectors has at most about TILE queries.
+BLOCK, BLOCK_NUMBERS, TILE = 2048, 1 << 20, 16_384
 NEAREST = 20
+# Recall aimed at, what a sample of PILOTS queries may be off by, and the scores that are held at a time.
+TARGET, MARGIN, PILOTS, HELD = 0.9, 0.02, 128, 1 << 22
 # Vectors of which the spread along each direction is taken.
 SAMPLE = 20_000
 
@@ -132,16 +141,61 @@ def _scores(dims, k):
             return none
         c, q = _stack(candidates["v"], dims), _stack(queries["v"], dims)
         ids, asked = candidates["id"].to_numpy(), queries["id"].to_numpy()
-        near = q @ c.T
-        # One more than asked for, as a query's own vector may be among them; equal scores at the edge all stay.
-        edge = np.partition(near, -min(k + 1, near.shape[1]), axis=1)[:, -min(k + 1, near.shape[1])]
-        row, column = np.nonzero(near >= (edge - 1e-12 * np.abs(edge))[:, None])
-        exact = np.einsum("ij,ij->i", q[row], c[column])
-        return pd.DataFrame({"query_id": asked[row], "vec_id": ids[column], "score": exact})
+        out, step = [none], max(1, HELD // len(c))
+        for at in range(0, len(q), step):
+            near = q[at:at + step] @ c.T
+            # One more than asked for, as a query's own vector may be among them; equal scores at the edge all stay.
+            edge = np.partition(near, -min(k + 1, near.shape[1]), axis=1)[:, -min(k + 1, near.shape[1])]
+            row, column = np.nonzero(near >= (edge - 1e-12 * np.abs(edge))[:, None])
+            exact = np.einsum("ij,ij->i", q[at + row], c[column])
+            out.append(pd.DataFrame({"query_id": asked[at + row], "vec_id": ids[column], "score": exact}))
+        return pd.concat(out)
 
     return run
 
 
+def _pilot_places(placed, points, dims, k):
+    """Places of pilot queries and of their true neighbours on each curve: arrays (pairs, CURVES) of both."""
+    pilots = points.where("query").orderBy(F.xxhash64("id", F.lit(5)), "id").limit(PILOTS).select("id", "v", "query").toPandas()
+    score = _scores(dims, k)
+
+    def run(parts):
+        for part in parts:
+            yield score(pd.concat([part, pilots]))
+
+    schema = "query_id long, vec_id long, score double"
+    near = points.where("not query").select("id", "v", "query").mapInPandas(run, schema).where("query_id != vec_id")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    pairs = near.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k).select("query_id", "vec_id")
+    pairs = F.broadcast(write_shared(pairs, "pilots"))  # PILOTS * k rows
+    there = placed.where("not query").join(pairs, placed["id"] == pairs["vec_id"]).select("query_id", "vec_id", "curve", F.col("pos").alias("to"))
+    asked = F.broadcast(pairs.select("query_id").distinct())
+    here = placed.where("query").join(asked, placed["id"] == asked["query_id"]).select("query_id", "curve", "pos")
+    rows = there.join(here, ["query_id", "curve"]).orderBy("query_id", "vec_id", "curve").select("pos", "to").toPandas()
+    return rows["pos"].to_numpy().reshape(-1, CURVES), rows["to"].to_numpy().reshape(-1, CURVES)
+
+
+def _windows(placed, points, dims, k):
+    """(rows of a block, blocks to each side, rows of the table); no blocks to each side: every query meets every row."""
+    n = points.where("not query").count()
+    longest = placed.where("curve = 0").count()
+    if longest <= BLOCK:  # a curve lies in two blocks at most
+        return BLOCK, 1, n
+    here, there = _pilot_places(placed, points, dims, k)
+    block, reach = BLOCK, 1
+    while len(here):
+        met = (np.abs(here // block - there // block) <= reach).any(axis=1).mean()
+        if met >= TARGET + MARGIN:
+            break
+        if 2 * block <= max(BLOCK, BLOCK_NUMBERS // dims):
+            block *= 2
+        else:
+            reach *= 2
+        if CURVES * (2 * reach + 1) * block >= n:
+            return block, 0, n
+    return block, reach, n
+
+
 def search(vectors, is_query, id_column="vec_id", vector="embedding", k=NEAREST, seed=0):
     """The ``k`` nearest found for every query: query_id, rank (from 1), vec_id, score.
 
@@ -166,11 +220,23 @@ def search(vectors, is_query, id_column="vec_id", vector="embedding", k=NEAREST,
     query_heads = asked.select(F.col("head").alias("id")).distinct().join(heads, "id")
     points = heads.select("id", "v", F.lit(False).alias("query")).unionByName(query_heads.select("id", "v", F.lit(True).alias("query")))
 
-    placed = _ordered(points, dims, seed).withColumn("block", F.floor(F.col("pos") / BLOCK))
-    beside = F.array(*[F.col("block") + F.lit(i) for i in (-1, 0, 1)])
-    met = placed.select(F.explode(F.when(F.col("query"), beside).otherwise(F.array("block"))).alias("block"), "curve", "id", "query", "v")
-    # Blocks of one curve only, so that no vector is twice in a group, which holds at most BLOCK candidates and the queries of three blocks.
-    found = met.groupBy("curve", "block").applyInPandas(_scores(dims, k), "query_id long, vec_id long, score double")
+    placed = _ordered(points, dims, seed)
+    block, reach, n = _windows(placed, points, dims, k)
+    placed = placed.withColumn("block", F.floor(F.col("pos") / block))
+    if reach:
+        beside = F.array(*[F.col("block") + F.lit(i) for i in range(-reach, reach + 1)])
+    else:
+        placed = placed.where("curve = 0")
+        last = placed.agg(F.max("block")).first()[0]
+        beside = F.sequence(F.lit(0), F.lit(last))
+    share = query_heads.count() / n
+    tiles = max(1, math.ceil(share * ((2 * reach + 1) * block if reach else n) / TILE))
+    # Candidates stand in every tile of their block, a query in one tile of the blocks that it meets.
+    tile = F.when(F.col("query"), F.array(F.pmod(F.xxhash64("id"), F.lit(tiles)))).otherwise(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long")))
+    met = placed.select(F.explode(F.when(F.col("query"), beside).otherwise(F.array("block"))).alias("block"), tile.alias("tile"), "curve", "id", "query", "v")
+    met = met.withColumn("tile", F.explode("tile"))
+    # Blocks of one curve only, so that no vector is twice in a group, which holds at most a block of candidates and a tile of queries.
+    found = met.groupBy("curve", "block", "tile").applyInPandas(_scores(dims, k), "query_id long, vec_id long, score double")
     found = found.dropDuplicates(["query_id", "vec_id"])
     nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = found.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= k + 1).drop("n")

@@ -118,3 +118,14 @@ def test_neighbours_odd_rows(spark):
     assert neighbours.search(vectors.limit(0), lambda id: id % 20 == 0).count() == 0
     few = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert [tuple(row) for row in neighbours.search(few, lambda id: id % 20 == 0).collect()] == [(0, 1, 1, 2.0)]
+
+
+def test_recall_when_windows_are_a_small_part(spark, monkeypatch):
+    """Nearly random vectors of 64 components, of which three blocks on every curve are 4 in 10 rows at most."""
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    monkeypatch.setattr(neighbours, "TILE", 30, raising=False)
+    data = np.random.default_rng(2).normal(size=(8000, 64)) / 8
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(data)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    expected = _brute(rows[:], lambda i: i % 100 == 0, 20)
+    assert _check(neighbours.search(vectors, lambda id: id % 100 == 0).collect(), expected) >= 0.9
