@@ -180,6 +180,25 @@ def test_url_rules_mined(spark):
     assert blocked == {i for i in no_rule if any(some <= sets[i] for some in expected)}
 
 
+def test_url_rules_of_many_items(spark):
+    """More than 20 frequent items a URL: the common ones form rules, counted on whole item sets, and clean pages stay."""
+    import random
+
+    dealt = random.Random(5)
+    deep = "/".join(f"d{chr(97 + i)}" for i in range(15))
+    rows, marks = [], []
+    for i in range(200):
+        words = "/".join(f"w{n}" for n in dealt.sample(range(60), 14))  # all of them rarer than "bad"
+        rows.append((i, f"http://www.example.edu/{deep}/{words}/{'bad' if i < 60 else 'good'}"))
+        marks.append((i, 1, int(i < 60)))
+    rows += [(1000 + i, f"http://www.example.edu/{deep}/good/w{i}") for i in range(60)]
+    rows += [(2000 + i, f"http://other.test/{deep}/bad") for i in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    verdicts = {row.page_id: row.verdict for row in urls.judge(pages, labels).collect()}
+    assert {i for i, verdict in verdicts.items() if verdict == "block"} == {*range(60), *range(2000, 2005)}
+
+
 # Secrets
 
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
