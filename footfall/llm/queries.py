@@ -10,11 +10,13 @@ import public_tokenizers
 
 from footfall.bindings import table
 from footfall.llm import (
-    bpe, minhash, neighbours, packing, quality, secret_scan, shards, token_files, toxicity, urls,
+    bpe, centroids, collocations, minhash, neighbours, packing, quality, secret_scan, sentence_pieces, shards, token_files,
+    toxicity, urls,
 )
 
 ROOT = Path(__file__).resolve().parents[2]
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 _shipped = set()
 
 
@@ -82,6 +84,19 @@ def _op10(spark, sf_dir):
     return packing.digests(_documents(spark, sf_dir), BYTE_BPE)
 
 
+def _op11(spark, sf_dir):
+    ship(spark)
+    return centroids.digests(table(spark, sf_dir, "embeddings"))
+
+
+def _op12(spark, sf_dir):
+    return collocations.collocations(_documents(spark, sf_dir))
+
+
+def _op13(spark, sf_dir):
+    return sentence_pieces.digests(_documents(spark, sf_dir), PIECE_BPE)
+
+
 def queries():
     return {
         "op1_hilbert_neighbours": _op1,
@@ -94,9 +109,17 @@ def queries():
         "op8_markov_secrets": _op8,
         "op9_pair_index_bpe": _op9,
         "op10_shortest_pack_first": _op10,
+        "op11_vantage_point_centroids": _op11,
+        "op12_tiled_collocations": _op12,
+        "op13_merge_round_pieces": _op13,
     }
 
 
 def oracle_sql():
     """SQL for the queries that it can express; the others are held against brute force in tests."""
-    return {"op3_risk_controlled_quality": quality.oracle_sql(), "op6_jump_hash_shards": shards.oracle_sql()}
+    return {
+        "op3_risk_controlled_quality": quality.oracle_sql(),
+        "op6_jump_hash_shards": shards.oracle_sql(),
+        "op11_vantage_point_centroids": centroids.oracle_sql(),
+        "op12_tiled_collocations": collocations.oracle_sql(),
+    }

@@ -1,0 +1,90 @@
+"""Centroid clustering against plain integer arithmetic."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from footfall.llm import centroids
+
+SCHEMA = "vec_id long, embedding array<float>, cluster int, _q string"
+
+
+def nearest(vector, known):
+    return min((sum((a - b) ** 2 for a, b in zip(vector, one)), number) for number, one in enumerate(known))
+
+
+def brute_force(rows, k, rounds, dims):
+    kept = []
+    for id, vector in rows:
+        if vector is None or len(vector) != dims or any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        kept.append((id, [math.floor(256 * float(np.float32(x))) for x in vector]))
+    name = lambda row: (hashlib.sha256(f"2:{'' if row[0] is None else row[0]}".encode()).hexdigest(), np.array(row[1], "<i4").tobytes())
+    known = [vector for _, vector in sorted(kept, key=name)[:k]]
+    for _ in range(rounds):
+        groups = {}
+        for _, vector in kept:
+            groups.setdefault(nearest(vector, known)[1], []).append(vector)
+        for number, own in groups.items():
+            known[number] = [sum(column) // len(own) for column in zip(*own)]
+    out = [(id, *nearest(vector, known)[::-1]) for id, vector in kept]
+    total = sum(distance for *_, distance in out)
+    inertia = {number: sum(d for _, n, d in out if n == number) for number in range(len(known))}
+    sha = [hashlib.sha256(",".join(map(str, one)).encode()).hexdigest() for one in known]
+    return sorted(((id, n, d, inertia[n], total, sha[n]) for id, n, d in out), key=str)
+
+
+@settings(max_examples=60, deadline=None)
+@given(
+    st.lists(st.lists(st.integers(-4, 4), min_size=3, max_size=3), min_size=1, max_size=30),
+    st.lists(st.lists(st.integers(-5, 5), min_size=3, max_size=3), min_size=1, max_size=20),
+    st.integers(1, 4),
+)
+def test_tree_finds_the_smallest_number_of_the_nearest(known, vectors, leaf):
+    who, distance = centroids.VantageTree(known, leaf).nearest(vectors)
+    assert list(zip(distance.tolist(), who.tolist())) == [nearest(vector, known) for vector in vectors]
+
+
+def test_tree_opens_few_centroids():
+    random = np.random.default_rng(1)
+    known = (random.normal(size=(40, 1, 8)) * 5000).astype(np.int64)[:, 0]
+    vectors = np.repeat(known, 20, axis=0) + random.integers(-40, 40, size=(800, 8))
+    tree = centroids.VantageTree(known)
+    seen = []
+    visit = tree._visit
+    tree._visit = lambda node, rows, *rest: (seen.append(len(rows) * len(node.members)), visit(node, rows, *rest))[1]
+    tree.nearest(vectors)
+    assert sum(seen) < 800 * 40 / 2
+
+
+def test_large_components_stay_exact():
+    known = [[centroids.LARGEST] * 64, [-centroids.LARGEST] * 64, [centroids.LARGEST - 1] * 64]
+    who, distance = centroids.VantageTree(known, 1).nearest([[centroids.LARGEST] * 64, [-centroids.LARGEST] * 64])
+    assert who.tolist() == [0, 1] and distance.tolist() == [0, 0]
+
+
+@pytest.mark.parametrize("k,rounds", [(40, 5), (3, 2)])
+def test_odd_vectors(spark, k, rounds):
+    dice = random.Random(3)
+    rows = [(i, [dice.gauss(0, 1) for _ in range(4)]) for i in range(60)]
+    rows += [(5, rows[5][1]), (None, [0.0] * 4), (None, [0.5, -0.001, 0.0, -2.0]), (7, [1.0] * 4), (70, [1.0] * 4), (71, [1.0] * 4)]
+    rows += [(80, None), (81, []), (82, [1.0] * 5), (83, [1.0, None, 1.0, 1.0]), (84, [math.nan] * 4), (85, [math.inf] * 4)]
+    df = spark.createDataFrame([(id, vector, 9, "x") for id, vector in rows], SCHEMA).repartition(7)
+    got = sorted(map(tuple, centroids.digests(df, k, rounds, 4).collect()), key=str)
+    assert got == brute_force(rows, k, rounds, 4)
+
+
+def test_vectors_beyond_a_long_take_no_part(spark):
+    df = spark.createDataFrame([(1, [1e30] * 4, 1, "x"), (2, [1.0] * 4, 1, "x")], SCHEMA)
+    assert [row.vec_id for row in centroids.digests(df, 2, 1, 4).collect()] == [2]
+
+
+def test_fewer_vectors_than_centroids_and_none(spark):
+    two = spark.createDataFrame([(1, [1.0] * 4, 1, "x"), (2, [2.0] * 4, 1, "x")], SCHEMA)
+    assert sorted(row.cluster for row in centroids.digests(two, 40, 5, 4).collect()) == [0, 1]
+    assert centroids.digests(two.limit(0), 40, 5, 4).count() == 0

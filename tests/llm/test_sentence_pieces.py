@@ -1,0 +1,145 @@
+"""SentencePiece encoding and decoding against the library."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from footfall.llm import sentence_pieces
+from footfall.llm.queries import PIECE_BPE, queries
+
+SF = "/root/testdata/sf0.001"
+
+TEXTS = [
+    "", " ", "a", " a", "a ", "a  b", "▁a", "▁▁ a▁", "a\nb", "\x00", "\xa0x", "漢字かな交じり", "🙂🙂 é é", "a" * 1001,
+    "-" * 1000, "abababab" * 300, "  \n  \t ", "<s></s><unk><0x0A>", "word " * 30_000 + "end", "hello,world", "ACGT" * 5000,
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    from sentencepiece import SentencePieceProcessor
+
+    return SentencePieceProcessor(model_file=PIECE_BPE)
+
+
+def same(texts, library):
+    own = sentence_pieces.codec(PIECE_BPE)
+    ids, counts = own.encode(texts)
+    got = [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])]
+    assert got == library.encode(texts)
+    assert [own.decode(part) for part in got] == [library.decode(part) for part in got]
+
+
+def test_odd_texts(library):
+    same(TEXTS, library)
+
+
+def test_random_texts(library):
+    dice = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyzABCXYZ0123456789+/=.,;:!?'\"-_()[]{}<> \n\té漢字🙂▁"
+    same(["".join(dice.choices(letters, k=dice.randint(0, 200))) for _ in range(1000)], library)
+    same(["".join(dice.choices("abnthe r", k=dice.randint(0, 300))) for _ in range(1000)], library)
+    pieces = [library.id_to_piece(id) for id in range(259, 32_000)]
+    same(["".join(dice.choices(pieces, k=20)).replace("▁", dice.choice(["", " "])) for _ in range(2000)], library)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=80))
+def test_any_text(text):
+    from sentencepiece import SentencePieceProcessor
+
+    same([text], SentencePieceProcessor(model_file=PIECE_BPE))
+
+
+def test_any_ids_decode(library):
+    dice = random.Random(7)
+    own = sentence_pieces.codec(PIECE_BPE)
+    for _ in range(3000):
+        ids = [dice.randrange(32_000) if dice.random() < 0.4 else dice.randrange(259) for _ in range(dice.randint(0, 12))]
+        assert own.decode(ids) == library.decode(ids)
+
+
+def merged(word, pieces):
+    """One merge at a time: the best score, then the leftmost place."""
+    parts = list(word)
+    while True:
+        pairs = [(-pieces[a + b][1], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in pieces]
+        if not pairs:
+            return parts
+        _, i = min(pairs)
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.dictionaries(st.text("abc", min_size=1, max_size=4), st.integers(-6, 0), min_size=1, max_size=25),
+    st.lists(st.text("abcd", max_size=25), min_size=1, max_size=5),
+)
+def test_rounds_follow_the_order_of_single_merges(scores, words):
+    """Any vocabulary: with equal scores, and with merges that make better pairs than their own."""
+    pieces = {text: (id, score) for id, (text, score) in enumerate(scores.items())}
+    rounds = sentence_pieces.MergeRounds(pieces)
+    symbols, counts = rounds.symbols(words)
+    text_of = {id: text for text, (id, _) in pieces.items()}
+    texts = [text_of[s] if s < rounds.size else chr(s - rounds.size) for s in symbols.tolist()]
+    bounds = np.append(0, np.cumsum(counts))
+    assert [texts[a:b] for a, b in zip(bounds, bounds[1:])] == [merged(word, pieces) for word in words]
+
+
+def test_small_blocks_and_cache(monkeypatch, library):
+    monkeypatch.setattr(sentence_pieces, "BLOCK", 64)
+    monkeypatch.setattr(sentence_pieces, "CACHE_BYTES", 1000)
+    own = sentence_pieces.Codec(PIECE_BPE)
+    for _ in range(3):
+        ids, counts = own.encode(TEXTS)
+        assert [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] == library.encode(TEXTS)
+
+
+def expected(texts, library):
+    out = []
+    for text in texts:
+        ids = library.encode(text or "")
+        out.append((
+            len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+            hashlib.sha256(library.decode(ids).encode()).hexdigest(),
+        ))
+    return out
+
+
+def test_query_on_the_table(spark, docs, library):
+    got = {row.doc_id: tuple(row)[1:] for row in queries()["op13_merge_round_pieces"](spark, SF).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert got == dict(zip([row.doc_id for row in rows], expected([row.text for row in rows], library)))
+
+
+def test_odd_rows(spark, odd_docs, no_docs, library):
+    got = [tuple(row) for row in sentence_pieces.digests(odd_docs, PIECE_BPE).collect()]
+    rows = odd_docs.select("doc_id", "text").collect()
+    want = [(row.doc_id, *one) for row, one in zip(rows, expected([row.text for row in rows], library))]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert sentence_pieces.digests(no_docs, PIECE_BPE).count() == 0
+
+
+def test_columns(spark, odd_docs, library):
+    encoded = sentence_pieces.encode(odd_docs, PIECE_BPE)
+    assert encoded.columns == odd_docs.columns
+    assert [row.ids for row in encoded.collect()] == [library.encode(row.text or "") for row in odd_docs.collect()]
+    decoded = sentence_pieces.decode(encoded.withColumnRenamed("text", "old"), PIECE_BPE).collect()
+    assert [row.text for row in decoded] == [(row.old or "") for row in decoded]
+
+
+def test_other_models_are_refused(tmp_path):
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(PIECE_BPE, "rb") as file:
+        model.ParseFromString(file.read())
+    model.trainer_spec.model_type = model.trainer_spec.UNIGRAM
+    path = tmp_path / "unigram.model"
+    path.write_bytes(model.SerializeToString())
+    with pytest.raises(ValueError):
+        sentence_pieces.read_model(str(path))
