@@ -11,7 +11,7 @@ from collections.abc import Callable
 from functools import partial
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -75,6 +75,52 @@ def _shop_activity(spark, sf_dir):
     return plans.shop_activity_top(bindings.user_pay(spark, sf_dir))
 
 
+def _stored_maps(spark, sf_dir):
+    """Activity maps of the payments before 1995 and of the later ones, stored one after the other, the later ones twice."""
+    path, pay = shared_folder(spark, "activity-maps"), bindings.user_pay(spark, sf_dir)
+    early = F.col("time_stamp") < F.lit("1995-01-01").cast("date")
+    plans.store_activity(pay.where(early), path, "early")
+    for _ in range(2):
+        plans.store_activity(pay.where(~early), path, "late")
+    return plans.activity_of(plans.stored_activity(spark, path))
+
+
+def _shop_activity_merged(spark, sf_dir):
+    return plans.shop_activity_top(None, activity=_stored_maps(spark, sf_dir))
+
+
+def _top_shops_merged(spark, sf_dir):
+    shops = bindings.shop_info(spark, sf_dir)
+    ranked = plans.top_shops_by_daily_amount(shops, None, activity=_stored_maps(spark, sf_dir))
+    return ranked.select("avgAmountPerDay", "shop_id", "countPay", "countDay", "city_name", "per_pay")
+
+
+def _shop_activity_counted(spark, sf_dir):
+    """The most active shops, beside the number of all shops with payments, from one pass over the payments."""
+    activity, shops = operators.counted(plans.shop_activity(bindings.user_pay(spark, sf_dir)))
+    return plans.shop_activity_top(None, activity=activity).withColumn("shops", F.lit(shops).cast("long"))
+
+
+def _bucketed(spark, sf_dir, table, df):
+    """``df`` as a table bucketed by shop; the folder and the name are new for each run."""
+    path = shared_folder(spark, table)
+    name = path.rpartition("/")[2].replace("-", "_")
+    sources.save_bucketed(df, name, int(spark.conf.get("spark.sql.shuffle.partitions")), path=path)
+    return sources.bucketed_parts(spark, name)
+
+
+def _bucketed_top_shops(spark, sf_dir):
+    pay = _bucketed(spark, sf_dir, "pay", bindings.user_pay(spark, sf_dir))
+    return plans.top_shops_by_daily_amount(bindings.shop_info(spark, sf_dir), pay).select(
+        "avgAmountPerDay", "shop_id", "countPay", "countDay", "city_name", "per_pay"
+    )
+
+
+def _bucketed_city_pay(spark, sf_dir):
+    pay = _bucketed(spark, sf_dir, "pay", bindings.user_pay(spark, sf_dir))
+    return plans.city_pay_top(pay, bindings.shop_info(spark, sf_dir))
+
+
 # Cities and days
 
 
@@ -156,16 +202,32 @@ def _key_counters_stream(spark, sf_dir):
     return streaming.read_counters(spark, f"{root}/counters")
 
 
-def _key_counters_salted(spark, sf_dir):
+def _salted_counters(spark, sf_dir, stream, facts):
+    """Counters of a stream whose lookup is joined by key, salted for the keys that ``facts`` show to be hot."""
     root = shared_folder(spark, "key-counters")
-    records = streaming.pay_to_records(bindings.ev_pay_stream(spark, sf_dir))
     query = streaming.start_counter_stream(
-        records, _lookup(spark, sf_dir), root, trigger={"availableNow": True}, broadcast_bytes=0
+        streaming.pay_to_records(stream), _lookup(spark, sf_dir), root, trigger={"availableNow": True},
+        broadcast_bytes=0, hot=operators.hot_keys(facts, "shop_id"),
     )
     query.awaitTermination()
     return streaming.read_counters(spark, f"{root}/counters")
 
 
+def _key_counters_salted(spark, sf_dir):
+    return _salted_counters(spark, sf_dir, bindings.ev_pay_stream(spark, sf_dir), bindings.ev_pay(spark, sf_dir))
+
+
+def _key_counters_hot(spark, sf_dir):
+    facts = bindings.hot_third(bindings.table(spark, sf_dir, "events"))
+    return _salted_counters(spark, sf_dir, bindings.ev_pay_hot_stream(spark, sf_dir), facts)
+
+
+def _records_joined_hot(spark, sf_dir):
+    """Each purchase with its city, a third of them on one shop, by a lookup that is not broadcast."""
+    facts = bindings.hot_third(bindings.table(spark, sf_dir, "events"))
+    return operators.lookup_join(facts, _lookup(spark, sf_dir), "shop_id", broadcast_bytes=0)
+
+
 def _half_stream(spark, folder, half, lookup, root, checkpoint):
     """Count one half of the purchases in a run of its own, into the counters that are there."""
     records = streaming.read_pay_stream(spark, {"format": "parquet", "path": f"{folder}/{half}"})
@@ -204,6 +266,109 @@ def _counters_compacted(spark, sf_dir):
     return streaming.read_counters(spark, path)
 
 
+def _halves(spark, sf_dir, name):
+    """A folder with the purchase records of even users in ``0`` and those of odd users in ``1``."""
+    folder = shared_folder(spark, name)
+    records = _records(spark, sf_dir)
+    for half in (0, 1):
+        _publish(records, half, f"{folder}/{half}")
+    return folder
+
+
+def _publish(records, half, path):
+    chosen = records.where(F.col("key").cast("long") % 2 == half)
+    streaming.write_records(chosen, {"format": "parquet", "path": path})
+
+
+def _records_in(spark, path):
+    return streaming.read_pay_stream(spark, {"format": "parquet", "path": path})
+
+
+def _shop_activity_stream(spark, sf_dir):
+    """Payments and payment days per shop, by a stream that is stopped and started again between the halves."""
+    root, folder = shared_folder(spark, "activity"), shared_folder(spark, "activity-records")
+    for half in (0, 1):
+        _publish(_records(spark, sf_dir), half, folder)
+        streaming.start_activity_stream(_records_in(spark, folder), root, {"availableNow": True}).awaitTermination()
+    return streaming.read_activity(spark, f"{root}/activity")
+
+
+def _counters_from_state(spark, sf_dir):
+    root = shared_folder(spark, "key-counters")
+    records = streaming.pay_to_records(bindings.ev_pay_stream(spark, sf_dir))
+    streaming.start_counter_stream(records, _lookup(spark, sf_dir), root, trigger={"availableNow": True}).awaitTermination()
+    return streaming.counters_from_state(spark, f"{root}/checkpoint")
+
+
+def _counters_repartitioned(spark, sf_dir):
+    """The first half counted; its state restored as a new table; the second half counted on with other partitions."""
+    root, again = shared_folder(spark, "before"), shared_folder(spark, "after")
+    folder, lookup = _halves(spark, sf_dir, "halves"), _lookup(spark, sf_dir)
+    now = {"availableNow": True}
+    streaming.start_counter_stream(_records_in(spark, f"{folder}/0"), lookup, root, trigger=now).awaitTermination()
+    streaming.restore_counters(spark, f"{root}/checkpoint", f"{again}/counters")
+    setting = "spark.sql.shuffle.partitions"
+    partitions = spark.conf.get(setting)
+    spark.conf.set(setting, str(int(partitions) + 3))
+    try:
+        streaming.start_counter_stream(_records_in(spark, f"{folder}/1"), lookup, again, trigger=now).awaitTermination()
+    finally:
+        spark.conf.set(setting, partitions)
+    return streaming.read_counters(spark, f"{again}/counters")
+
+
+def _counters_archived(spark, sf_dir):
+    """Files arrive in two halves and are archived once read; the stream is started again after each."""
+    root, folder = shared_folder(spark, "archived"), shared_folder(spark, "inbox")
+    source = streaming.archived_files(folder, shared_folder(spark, "archive"), maxFilesPerTrigger=1)
+    for half in (0, 1):
+        _publish(_records(spark, sf_dir), half, folder)
+        records = streaming.read_pay_stream(spark, source)
+        query = streaming.start_counter_stream(records, _lookup(spark, sf_dir), root, trigger={"availableNow": True})
+        query.awaitTermination()
+    return streaming.read_counters(spark, f"{root}/counters")
+
+
+def _counters_replayed(spark, sf_dir):
+    """Every micro-batch is delivered twice: as after a failure between its write and its commit."""
+    root, folder = shared_folder(spark, "replayed"), _halves(spark, sf_dir, "halves")
+    path = f"{root}/counters"
+
+    def twice(batch_df, batch_id):
+        streaming.upsert_counters(batch_df, batch_id, path)
+        streaming.upsert_counters(batch_df, batch_id, path)
+
+    source = {"format": "parquet", "path": f"{folder}/*", "maxFilesPerTrigger": 1}
+    records = streaming.read_pay_stream(spark, source)
+    lookup = _lookup(spark, sf_dir)
+    streaming.start_counter_stream(records, lookup, root, twice, {"availableNow": True}).awaitTermination()
+    return streaming.read_counters(spark, path)
+
+
+def _counters_timed(spark, sf_dir):
+    """Micro-batches at an interval, one file each, until all files are counted."""
+    root, folder = shared_folder(spark, "timed"), _halves(spark, sf_dir, "halves")
+    records = streaming.read_pay_stream(spark, {"format": "parquet", "path": f"{folder}/*", "maxFilesPerTrigger": 1})
+    lookup = _lookup(spark, sf_dir)
+    query = streaming.start_counter_stream(records, lookup, root, trigger={"processingTime": "100 milliseconds"})
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return streaming.read_counters(spark, f"{root}/counters")
+
+
+def _counters_refreshed_lookup(spark, sf_dir):
+    """The second half is counted after a restart with a lookup in which every city has moved."""
+    root, folder, lookup = shared_folder(spark, "refreshed"), shared_folder(spark, "inbox"), _lookup(spark, sf_dir)
+    moved = lookup.select("shop_id", F.concat("city_name", F.lit(" 2")).alias("city_name"))
+    for half, cities in ((0, lookup), (1, moved)):
+        _publish(_records(spark, sf_dir), half, folder)
+        query = streaming.start_counter_stream(_records_in(spark, folder), cities, root, trigger={"availableNow": True})
+        query.awaitTermination()
+    return streaming.read_counters(spark, f"{root}/counters")
+
+
 def _records_round_trip(spark, sf_dir):
     folder, root = shared_folder(spark, "records"), shared_folder(spark, "round-trip")
     streaming.write_records(_records(spark, sf_dir), {"format": "parquet", "path": folder})
@@ -244,18 +409,43 @@ def _shop_info_parsed(spark, sf_dir):
     return sources.parse_shop_info(bindings.as_lines(shops, *shops.columns))
 
 
+def _faults(spark, parse, lines, *names):
+    """The faults of lines, counted while they are parsed and written, as one row."""
+    seen = Observation()
+    write_shared(parse(lines, seen), "parsed")
+    return spark.createDataFrame([tuple(seen.get[name] for name in names)], ", ".join(f"{name} long" for name in names))
+
+
+def _shop_info_faults(spark, sf_dir):
+    lines = _ragged_lines(spark, sf_dir).withColumn("value", F.regexp_replace("value", "9", "x"))
+    names = ("lines", "short_lines", "long_lines", "bad_per_pay", "bad_score")
+    return _faults(spark, sources.parse_shop_info, lines, *names)
+
+
+def _user_pay_faults(spark, sf_dir):
+    pay = bindings.user_pay(spark, sf_dir)
+    day = F.when(F.day("time_stamp") == 1, F.lit("")).otherwise(F.col("time_stamp").cast("string"))
+    surplus = F.when(F.day("time_stamp") > 29, F.lit(",x")).otherwise(F.lit(""))
+    lines = pay.select(F.concat(F.concat_ws(",", "user_id", "shop_id", day), surplus).alias("value"))
+    return _faults(spark, sources.parse_user_pay, lines, "lines", "short_lines", "long_lines")
+
+
 def _user_pay_parsed(spark, sf_dir):
     pay = bindings.user_pay(spark, sf_dir)
     return sources.parse_user_pay(bindings.as_lines(pay, *pay.columns))
 
 
 def _shop_info_ragged(spark, sf_dir):
+    return sources.parse_shop_info(_ragged_lines(spark, sf_dir))
+
+
+def _ragged_lines(spark, sf_dir):
     part = bindings.table(spark, sf_dir, "part")
     trailing = F.concat_ws(",", "p_partkey", "p_brand", F.lit(""), F.lit(""), F.lit(""))
     interior = F.concat_ws(",", "p_partkey", F.lit(""), "p_name", "p_size", F.lit("4.5"))
     form = F.col("p_size") % 3
     line = F.when(form == 0, trailing).when(form == 1, interior).otherwise(",")
-    return sources.parse_shop_info(part.select(line.alias("value")))
+    return part.select(line.alias("value"))
 
 
 def _tolerant_int(spark, sf_dir):
@@ -332,6 +522,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "welcome_documented": _welcome_documented,
         "shop_base_top10": _shop_base,
         "shop_activity_top10": _shop_activity,
+        "shop_activity_merged_top10": _shop_activity_merged,
+        "shop_activity_counted": _shop_activity_counted,
+        "shop_activity_stream": _shop_activity_stream,
+        "top_shops_merged": _top_shops_merged,
+        "bucketed_top_shops": _bucketed_top_shops,
+        "bucketed_city_pay_top10": _bucketed_city_pay,
         "city_pay_top10": _city_pay,
         "warehouse_city_pay_top10": _city_pay_from_warehouse,
         "day_pay_top10": _day_pay_top,
@@ -348,6 +544,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "key_counters_stream": _key_counters_stream,
         "key_counters_batch": _key_counters_batch,
         "key_counters_salted": _key_counters_salted,
+        "key_counters_hot": _key_counters_hot,
+        "records_joined_hot": _records_joined_hot,
+        "counters_from_state": _counters_from_state,
+        "counters_repartitioned": _counters_repartitioned,
+        "counters_archived": _counters_archived,
+        "counters_replayed": _counters_replayed,
+        "counters_timed": _counters_timed,
+        "counters_refreshed_lookup": _counters_refreshed_lookup,
         "counters_after_restart": _counters_after_restart,
         "counters_compacted": _counters_compacted,
         "records_round_trip": _records_round_trip,
@@ -356,6 +560,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "city_counter_report": _city_report,
         "shop_info_parsed": _shop_info_parsed,
         "shop_info_ragged": _shop_info_ragged,
+        "shop_info_faults": _shop_info_faults,
+        "user_pay_faults": _user_pay_faults,
         "user_pay_parsed": _user_pay_parsed,
         "tolerant_int": _tolerant_int,
         "pay_records": _pay_records,
@@ -398,6 +604,10 @@ with shop_info as (
 ), ev_shop as (
   select s_suppkey ordinal, cast(s_suppkey as string) shop_id, n_name city_name
   from supplier join nation on s_nationkey = n_nationkey
+), ev_pay_hot as (
+  select cast(user_id as string) user_id, if(event_id % 3 = 0, '1', json_extract_string(props,'$.k')) shop_id,
+    ts time_stamp
+  from events where event_type = 'purchase'
 ), counters as (
   select concat('jiaoyi', shop_id) k, count(*) c from ev_pay group by concat('jiaoyi', shop_id)
   union all
@@ -454,7 +664,38 @@ group by r_name
 
 
 def oracle_sql() -> dict[str, str]:
+    top_shops = f"{TOP_SHOPS_SQL} select avgAmountPerDay, shop_id, countPay, countDay, city_name, per_pay {TOP_SHOPS_ORDER}"
+    activity = "select shop_id, count(user_id) countPay, count(distinct substr(time_stamp,1,10)) countDay from {} group by shop_id"
+    counters = "select k, c as count from counters"
     bodies = {
+        "shop_activity_merged_top10": f"{activity.format('user_pay')} order by countPay desc, shop_id limit 10",
+        "shop_activity_counted":
+            f"select *, count(*) over () shops from ({activity.format('user_pay')}) a order by countPay desc, shop_id limit 10",
+        "shop_activity_stream": activity.format("ev_pay"),
+        "top_shops_merged": top_shops,
+        "bucketed_top_shops": top_shops,
+        "bucketed_city_pay_top10": CITY_PAY_SQL,
+        "key_counters_hot":
+            "select concat('jiaoyi', shop_id) k, count(*) as count from ev_pay_hot group by shop_id union all "
+            "select concat('交易', coalesce(city_name, 'null')), count(*) from ev_pay_hot left join ev_shop using (shop_id) "
+            "group by city_name",
+        "records_joined_hot":
+            "select user_id, shop_id, time_stamp, city_name from ev_pay_hot left join ev_shop using (shop_id)",
+        **dict.fromkeys(
+            ["counters_from_state", "counters_repartitioned", "counters_archived", "counters_replayed", "counters_timed"],
+            counters,
+        ),
+        "counters_refreshed_lookup":
+            "select concat('jiaoyi', shop_id) k, count(*) as count from ev_pay group by shop_id union all "
+            "select concat('交易', coalesce(city_name || if(user_id::bigint % 2 = 1, ' 2', ''), 'null')), count(*) "
+            "from ev_pay left join ev_shop using (shop_id) group by all",
+        "shop_info_faults":
+            "select count(*) as lines, count(*) short_lines, 0::bigint long_lines, "
+            "count(*) filter (p_size % 3 = 1 and contains(p_size::varchar, '9')) bad_per_pay, "
+            "count(*) filter (p_size % 3 = 1) bad_score from part",
+        "user_pay_faults":
+            "select count(*) as lines, count(*) filter (day(time_stamp::date) = 1) short_lines, "
+            "count(*) filter (day(time_stamp::date) > 29) long_lines from user_pay",
         "top_shops_by_daily_amount":
             f"{TOP_SHOPS_SQL} select avgAmountPerDay, shop_id, countPay, countDay, city_name, per_pay {TOP_SHOPS_ORDER}",
         "top_shops_all_columns": f"{TOP_SHOPS_SQL} select * {TOP_SHOPS_ORDER}",

@@ -3,6 +3,8 @@
 import argparse
 import sys
 
+from pyspark.sql import Observation
+
 from . import operators, plans, sources, streaming
 from .fixed import WELCOME_CATEGORY, WELCOME_CITIES
 from .session import build_session, write_shared
@@ -22,8 +24,11 @@ def _shop_lines(spark, data):
 
 def batch(spark, args):
     """Shop rankings from the text files."""
-    shops, payments = _shops(spark, args.data).persist(), _payments(spark, args.data)
+    faults = Observation()
+    shops = _shops(spark, args.data).persist()
+    payments = sources.read_user_pay(spark, f"{args.data}/user_pay.txt", faults)
     activity = write_shared(plans.shop_activity(payments), "activity")  # one pass over the payments for both
+    print("payment lines:", ", ".join(f"{name} {n}" for name, n in faults.get.items()))
     plans.shop_base_top(shops).show(truncate=False)
     plans.shop_activity_top(payments, activity=activity).show(truncate=False)
     plans.top_shops_by_daily_amount(shops, payments, activity=activity).show(truncate=False)
@@ -48,7 +53,8 @@ def dashboard(spark, args):
     plans.day_pay_view_last(pay, view).show(truncate=False)
     if spark.catalog.tableExists("province" if not args.database else f"{args.database}.province"):
         totals = sources.province_totals(sources.warehouse_table(spark, "province", args.database))
-        operators.relabel(totals).show(operators.relabel(totals).count(), truncate=False)
+        rows, count = operators.counted(operators.relabel(totals))
+        rows.show(count, truncate=False)
 
 
 def publish(spark, args):

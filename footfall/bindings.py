@@ -58,12 +58,27 @@ def ev_view(spark, sf_dir):
     return events_of(table(spark, sf_dir, "events"), "view")
 
 
-def ev_pay_stream(spark, sf_dir, files_per_batch=1000):
+def _event_stream(spark, sf_dir, files_per_batch):
     schema = table(spark, sf_dir, "events").schema
     # A pattern, as a streaming source takes a plain path for a folder and the table may be one file.
     path = f"{sf_dir}/[e]vents.parquet"
-    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
-    return events_of(events, "purchase")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+
+
+def ev_pay_stream(spark, sf_dir, files_per_batch=1000):
+    return events_of(_event_stream(spark, sf_dir, files_per_batch), "purchase")
+
+
+def ev_pay_hot_stream(spark, sf_dir):
+    """Purchases as a stream, every third event of them on shop 1."""
+    return hot_third(_event_stream(spark, sf_dir, 1000))
+
+
+def hot_third(events):
+    shop = F.when(F.col("event_id") % 3 == 0, F.lit("1")).otherwise(F.get_json_object("props", "$.k"))
+    return events.where(F.col("event_type") == "purchase").select(
+        F.col("user_id").cast("string").alias("user_id"), shop.alias("shop_id"), F.col("ts").alias("time_stamp")
+    )
 
 
 def ev_shop(spark, sf_dir):

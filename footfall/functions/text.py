@@ -18,6 +18,11 @@ def first_field(line):
     return F.substring_index(line, ",", 1)
 
 
+def second_field(line):
+    """The field after the first comma, null without one."""
+    return F.get(F.split(line, ","), F.lit(1))
+
+
 def tolerant_int(text):
     """32-bit integer, or null for anything but an optional sign and digits within range.
 

@@ -4,15 +4,17 @@ from pyspark.sql import functions as F
 
 from ..functions import day_of
 from ..operators import top_k
+from .parts import by_part
 
 
 def city_pay(user_pay, shop_info):
     """Amount paid per city.
 
     Payments are counted per shop first, so the join sees one row per shop and not one per payment, and no hot
-    shop or city reaches a shuffle unreduced. The sum is that of ``per_pay`` over the joined payments.
+    shop or city reaches a shuffle unreduced. The sum is that of ``per_pay`` over the joined payments. The payments may
+    be a list of tables without a shop in common.
     """
-    payments = user_pay.groupBy("shop_id").agg(F.count("*").alias("payments"))
+    payments = by_part(user_pay, lambda part: part.groupBy("shop_id").agg(F.count("*").alias("payments")))
     return (
         payments.join(shop_info, "shop_id")
         .groupBy(F.col("city_name").alias("cityName"))

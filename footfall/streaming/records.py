@@ -39,6 +39,15 @@ def kafka_source(servers, topics, **options):
     }
 
 
+def archived_files(path, archive, format="parquet", **options):
+    """Options of a file source that moves each file to ``archive`` once the batch after its own is committed.
+
+    So the folder that is listed for every micro-batch holds new files only, however long the stream runs. ``archive``
+    must be outside ``path``, on the same file system. Totals do not depend on it: files that were read are known by name.
+    """
+    return {"format": format, "path": path, "cleanSource": "archive", "sourceArchiveDir": archive, **options}
+
+
 def record_view(raw):
     return raw.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 

@@ -84,6 +84,11 @@ class _Folder:
         self._fs.delete(self._path(self._folder, name), True)
 
 
+def names_in(spark, path):
+    """Names in a folder of any file system that Spark reads; none if there is no such folder."""
+    return _Folder(spark, path).names()
+
+
 def _slices(spark, path):
     return spark.read.schema(COUNTER_SCHEMA).parquet(path)
 
