@@ -4,57 +4,89 @@ Frequent words get their frequency rank as number. A pair of numbers lies in a s
 task counts its pairs tile by tile, dense tiles in an array by ``bincount`` and sparse ones as sorted coordinates. The
 frequent pairs get ranks again, and triples are the pairs of (rank of a pair, number of a word), counted the same way.
 
-Only the most frequent words and pairs are numbered, as many as the bounds say, and broadcast. A phrase with another
-word that may still be frequent is counted by its text, so no phrase is lost beyond the bounds.
+Only the most frequent words and pairs are numbered, as many as the bounds say, and broadcast. A phrase with a
+frequent word beyond them is counted by its text, so no phrase is lost. Which other words and pairs are frequent is
+known by Bloom filters of fixed size: they let pass some that are not, whose counts then stay below the least.
 """
 
-from collections import Counter
-from itertools import repeat
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import functions as F
 
 from footfall.operators import top_k_per_group
 from footfall.session import write_shared
 
-WORD_BITS = 18
-HEAD_WORDS = 1 << WORD_BITS  # numbered words of all languages together
+WORD_BITS = 21  # three numbers fit a key
+HEAD_WORDS = 1 << 19  # numbered words of all languages together, at most 1 << WORD_BITS
 HEAD_PAIRS = 1 << 19  # numbered pairs of all languages together
 HEAD_BYTES = 64  # of a numbered word
+BLOOM_BITS = 27
 TILE_BITS = 9
 DENSE = 1 << (2 * TILE_BITS - 4)  # pairs that make a tile dense
-FLUSH_TOKENS = 4_000_000
-FLUSH_TEXTS = 300_000
 SLICE_BYTES = 4_000_000
+FLUSH_TOKENS = 1_500_000
+BATCH_ROWS = 50_000
 UNKNOWN = "und"
 MILLION = 1_000_000
 
-BREAK, OTHER = -1, -2
-# A byte that no UTF-8 text holds stands for a border between pieces.
-_BORDER = b"\xff"
+OTHER, RARE = -1, -2
+_SPACE, _BORDER = 0x20, 0xFF  # no UTF-8 text holds the byte that stands for a border between pieces
 _LETTERS = bytes.maketrans(
-    b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + _BORDER * 10
+    b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\xff" * 10
 )
 
 
-def tokens_of(texts):
-    """Words of the texts (bytes), lower-cased, with a border after each piece and each text."""
-    return _BORDER.join([*texts, b""]).translate(_LETTERS).replace(_BORDER, b" \xff ").split()
+class Tokens:
+    """The words of some texts (bytes): ``place`` numbers each in ``words``, ``opens`` tells whether it begins a piece."""
+
+    def __init__(self, texts):
+        data = np.frombuffer(b"\xff".join(texts).translate(_LETTERS), np.uint8)
+        border = data == _BORDER
+        inside = ~border & (data != _SPACE)
+        before = np.append(False, inside[:-1])
+        starts = np.flatnonzero(inside & ~before)
+        lengths = np.flatnonzero(before & ~inside)
+        if len(lengths) < len(starts):
+            lengths = np.append(lengths, len(data))
+        lengths -= starts
+        offsets = np.append(0, np.cumsum(lengths)).astype(np.int64)
+        flat = pa.Array.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]
+        )
+        found = flat.dictionary_encode()
+        self.place = found.indices.to_numpy(zero_copy_only=False)
+        self.words = found.dictionary
+        piece = np.cumsum(border)[starts]
+        self.opens = np.append(True, piece[1:] != piece[:-1])[:len(piece)]
+
+    def __len__(self):
+        return len(self.place)
+
+    def phrases(self, at, length):
+        """Different phrases of ``length`` words that begin at the places ``at``, as texts, and how often each occurs."""
+        rows = np.column_stack([self.place[at + i] for i in range(length)])
+        order = np.lexsort(rows.T[::-1])
+        rows = rows[order]
+        first = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]).any(axis=1))[:len(rows)])
+        words = [self.words.take(pa.array(rows[first, i])) for i in range(length)]
+        return pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary())), np.diff(np.append(first, len(rows)))
 
 
 def _by_lang(batches):
-    """(lang, texts) in slices of bounded bytes; one longer text is a slice of its own."""
+    """(lang, tokens) in slices of bounded bytes; one longer text is a slice of its own."""
     for batch in batches:
-        held, sizes = {}, Counter()
+        held, sizes = {}, {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
             if text:
                 held.setdefault(lang, []).append(text)
-                sizes[lang] += len(text)
+                sizes[lang] = sizes.get(lang, 0) + len(text)
                 if sizes[lang] > SLICE_BYTES:
-                    yield lang, held.pop(lang)
+                    yield lang, Tokens(held.pop(lang))
                     del sizes[lang]
-        yield from held.items()
+        for lang, texts in held.items():
+            yield lang, Tokens(texts)
 
 
 def _source(docs):
@@ -63,33 +95,23 @@ def _source(docs):
     )
 
 
+def _rows(lang, **columns):
+    """Record batches of the columns, all of one language and of bounded length."""
+    n = len(next(iter(columns.values())))
+    for start in range(0, n, BATCH_ROWS):
+        own = [column[start:start + BATCH_ROWS] for column in columns.values()]
+        own = [column if isinstance(column, pa.Array) else pa.array(column) for column in own]
+        langs = pa.array([lang]).take(pa.array(np.zeros(len(own[0]), np.int32)))
+        yield pa.RecordBatch.from_arrays([langs, *own], names=["lang", *columns])
+
+
 def count_words(docs, least):
     """``(lang, word, f)`` of words found ``least`` times or more; the row with a null word counts all words."""
-    def rows(lang, counts):
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.binary()),
-                pa.array(list(counts.values()), pa.int64()),
-            ],
-            names=["lang", "word", "f"],
-        )
-
     def run(batches):
-        counts = {}
-        for lang, texts in _by_lang(batches):
-            own = counts.setdefault(lang, Counter())
-            own.update(tokens_of(texts))
-            own.pop(_BORDER, None)
-            if sum(map(len, counts.values())) > FLUSH_TEXTS:
-                yield from _flushed(counts)
-        yield from _flushed(counts)
-
-    def _flushed(counts):
-        for lang, own in counts.items():
-            total = sum(own.values())
-            yield rows(lang, own)
-            yield rows(lang, {None: total})
-        counts.clear()
+        for lang, tokens in _by_lang(batches):
+            counts = np.bincount(tokens.place, minlength=len(tokens.words))
+            yield from _rows(lang, word=tokens.words.cast(pa.binary()), f=counts)
+            yield from _rows(lang, word=pa.nulls(1, pa.binary()), f=[len(tokens)])
 
     part = _source(docs).mapInArrow(run, "lang string, word binary, f long")
     total = part.groupBy("lang", "word").agg(F.sum("f").alias("f"))
@@ -97,45 +119,100 @@ def count_words(docs, least):
 
 
 def head_of(table, columns, count, bound):
-    """The most frequent rows, at most ``bound``, as lists of ``columns`` and ``count``; and whether those are all rows.
+    """The most frequent rows, at most ``bound``, as lists of ``columns`` and ``count``; and the others, None if none.
 
     The least count of the head is a power of two, found from the number of rows of each bit length: no order over
     the whole table is needed, and what reaches the driver is bounded.
     """
     level = F.length(F.bin(count))
-    sizes = sorted(((row.level, row.n) for row in table.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()), reverse=True)
-    taken, from_level = 0, 65
-    for one, n in sizes:
+    found = table.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()  # <= 64 rows
+    taken, least = 0, 65
+    for one, n in sorted(((row.level, row.n) for row in found), reverse=True):
         if taken + n > bound:
             break
-        taken, from_level = taken + n, one
-    whole = taken == sum(n for _, n in sizes)
-    head = table.where(level >= from_level).select(*columns, count).toArrow()
-    return [column.to_pylist() for column in head.columns], whole
+        taken, least = taken + n, one
+    head = table.where(level >= least).select(*columns, count).toArrow()
+    others = None if taken == sum(row.n for row in found) else table.where(level < least)
+    return [column.to_pylist() for column in head.columns], others
+
+
+class Bloom:
+    """A set of 64-bit keys of each language in a bitmap of fixed size; it may hold more than was put in, never less."""
+
+    def __init__(self, slots=(), words=()):
+        self.table = np.zeros(1 << (BLOOM_BITS - 6), np.uint64)
+        self.table[np.asarray(slots, np.int64)] = np.asarray(words, np.int64).view(np.uint64)
+
+    @staticmethod
+    def bits(lang, keys):
+        """Four places for each key, as the slots of 64 bits and the bits in them."""
+        with np.errstate(over="ignore"):
+            h = keys.astype(np.uint64) ^ np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+            h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+            h ^= h >> np.uint64(31)
+            step = (h >> np.uint64(32)) | np.uint64(1)
+            places = (h[:, None] + step[:, None] * np.arange(4, dtype=np.uint64)) & np.uint64((1 << BLOOM_BITS) - 1)
+        return (places >> np.uint64(6)).astype(np.int64), np.uint64(1) << (places & np.uint64(63))
+
+    def has(self, lang, keys):
+        slots, bits = self.bits(lang, keys)
+        return ((self.table[slots] & bits) != 0).all(axis=1)
+
+
+def word_keys(words):
+    """64-bit keys of words (bytes)."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
+
+
+def bloom_of(table, key):
+    """The Bloom filter of a table's ``lang`` and ``key``, a word or a number; of nothing if there is no table.
+
+    Tasks set bits in words of 64, which are joined by ``bit_or``; as many words as the bitmap has reach the driver.
+    """
+    if table is None:
+        return None
+
+    def run(batches):
+        for batch in batches:
+            langs = np.array(batch.column("lang").to_pylist(), object)
+            column = batch.column("key")
+            keys = column.to_numpy() if pa.types.is_int64(column.type) else word_keys(column.to_pylist())
+            for lang in set(langs):
+                slots, bits = Bloom.bits(lang, keys[langs == lang])
+                met, where = np.unique(slots.ravel(), return_inverse=True)
+                words = np.zeros(len(met), np.uint64)
+                np.bitwise_or.at(words, where.ravel(), bits.ravel())
+                yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(words.view(np.int64))], names=["slot", "bits"])
+
+    own = F.col(key) if key == "key" else F.col(key).cast("binary")
+    set_bits = table.select("lang", own.alias("key")).mapInArrow(run, "slot long, bits long")
+    words = set_bits.groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    return Bloom(words.column("slot").to_numpy(), words.column("bits").to_numpy())
 
 
 class Numbers:
-    """What the tasks know: word numbers of each language and whether no other word can be frequent."""
+    """Word numbers of each language; ``others`` holds the frequent words without one."""
 
-    def __init__(self, langs, words, counts, whole):
-        self.whole = whole
-        self.words, self.ids = {}, {}
+    def __init__(self, langs, words, counts, others):
+        self.others = others
+        held = {}
         for lang, _, word in sorted(zip(langs, (-f for f in counts), (word.encode() for word in words))):
-            own = self.words.setdefault(lang, [])
-            self.ids.setdefault(lang, {})[word] = len(own)
-            own.append(word.decode())
+            held.setdefault(lang, []).append(word)
+        self.words = {lang: pa.array(own, pa.large_binary()) for lang, own in held.items()}
 
     def of(self, lang, tokens):
-        """The number of each token: BREAK for a border or a word that cannot be in a frequent phrase, else OTHER."""
-        own = self.ids.get(lang, {})
-        numbers = np.fromiter(map(own.get, tokens, repeat(OTHER)), np.int64, len(tokens))
-        if self.whole:
-            numbers[numbers == OTHER] = BREAK
+        """The number of each token: OTHER for a frequent word without one, RARE for a word that is not frequent."""
+        own = self.words.get(lang)
+        if own is None:
+            numbers = np.full(len(tokens.words), RARE)
         else:
-            unknown = np.flatnonzero(numbers == OTHER)
-            borders = np.fromiter((tokens[i] == _BORDER for i in unknown.tolist()), bool, len(unknown))
-            numbers[unknown[borders]] = BREAK
-        return numbers
+            numbers = pc.fill_null(pc.index_in(tokens.words, value_set=own), RARE).to_numpy(zero_copy_only=False).astype(np.int64)
+        if self.others is not None:
+            unknown = np.flatnonzero(numbers == RARE)
+            keys = word_keys(tokens.words.take(pa.array(unknown)).to_pylist())
+            numbers[unknown[self.others.has(lang, keys)]] = OTHER
+        return numbers[tokens.place]
 
 
 def count_tiles(left, right, bits=TILE_BITS):
@@ -169,49 +246,30 @@ def count_tiles(left, right, bits=TILE_BITS):
 PHRASES = "lang string, key long, phrase binary, a long"
 
 
-def _phrase_rows(lang, keys, phrases, counts):
-    """Rows of numbered phrases (``keys``) or of phrases by their text."""
-    n = len(counts)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([lang] * n, pa.string()), pa.nulls(n, pa.int64()) if keys is None else pa.array(keys),
-            pa.nulls(n, pa.binary()) if phrases is None else pa.array(phrases, pa.binary()), pa.array(counts, pa.int64()),
-        ],
-        names=["lang", "key", "phrase", "a"],
-    )
-
-
 class _Tally:
-    """Buffers of one language in a task: pairs of numbers for the tiles, further keys, and texts."""
+    """Pairs of numbers for the tiles, and further keys, of one language in a task."""
 
     def __init__(self):
-        self.left, self.right, self.keys, self.texts, self.held = [], [], [], Counter(), 0
-
-    def full(self):
-        return self.held > FLUSH_TOKENS or len(self.texts) > FLUSH_TEXTS
+        self.left, self.right, self.keys, self.held = [], [], [], 0
 
     def rows(self, lang, key_of):
         left, right, counts = count_tiles(*(np.concatenate([np.zeros(0, np.int64), *x]) for x in (self.left, self.right)))
-        if len(counts):
-            yield _phrase_rows(lang, key_of(left, right), None, counts)
-        keys, counts = np.unique(np.concatenate([np.zeros(0, np.int64), *self.keys]), return_counts=True)
-        if len(counts):
-            yield _phrase_rows(lang, keys, None, counts)
-        if self.texts:
-            yield _phrase_rows(lang, None, list(self.texts), list(self.texts.values()))
+        keys, more = np.unique(np.concatenate([np.zeros(0, np.int64), *self.keys]), return_counts=True)
+        keys, counts = np.append(key_of(left, right), keys), np.append(counts, more)
+        yield from _rows(lang, key=keys, phrase=pa.nulls(len(keys), pa.binary()), a=counts)
 
 
-def _count_phrases(docs, put, key_of):
-    """Counts of phrases: ``put(tally, lang, tokens)`` notes what it finds, ``key_of`` turns a tile's pairs into keys."""
+def _count_phrases(docs, length, put, key_of):
+    """Counts of phrases: ``put(tally, lang, tokens)`` notes those of numbers and returns where the others begin."""
     def run(batches):
         tallies = {}
-        for lang, texts in _by_lang(batches):
+        for lang, tokens in _by_lang(batches):
             tally = tallies.setdefault(lang, _Tally())
-            put(tally, lang, tokens_of(texts))
-            if tally.full():
-                yield from tally.rows(lang, key_of(lang))
-                del tallies[lang]
-            elif sum(one.held for one in tallies.values()) > FLUSH_TOKENS:
+            at = put(tally, lang, tokens)
+            if at is not None and len(at):
+                phrases, counts = tokens.phrases(at, length)
+                yield from _rows(lang, key=pa.nulls(len(counts), pa.int64()), phrase=phrases.cast(pa.binary()), a=counts)
+            if sum(one.held for one in tallies.values()) > FLUSH_TOKENS:
                 for other, one in tallies.items():
                     yield from one.rows(other, key_of(other))
                 tallies.clear()
@@ -231,12 +289,13 @@ def _as_words(counted, numbers, length):
             columns = [[] for _ in names]
             for lang, key, phrase in zip(*(batch.column(c).to_pylist() for c in ("lang", "key", "phrase"))):
                 if key is None:
-                    words = phrase.decode().split(" ")
+                    words = phrase.split(b" ")
                 else:
                     own = numbers.value.words[lang]
-                    words = [own[key >> WORD_BITS * (length - 1 - i) & (HEAD_WORDS - 1)] for i in range(length)]
+                    mask = (1 << WORD_BITS) - 1
+                    words = [own[key >> WORD_BITS * (length - 1 - i) & mask].as_py() for i in range(length)]
                 for column, word in zip(columns, words):
-                    column.append(word)
+                    column.append(word.decode())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("lang"), *(pa.array(c, pa.string()) for c in columns), batch.column("key"), batch.column("a")],
                 names=["lang", *names, "key", "a"],
@@ -245,27 +304,45 @@ def _as_words(counted, numbers, length):
     return counted.mapInArrow(run, f"lang string, {', '.join(f'{n} string' for n in names)}, key long, a long")
 
 
+def _others(numbers, opens, length):
+    """Where phrases begin that hold a frequent word without a number, and no rare one or border."""
+    n = len(numbers) - length + 1
+    if n < 1:
+        return np.zeros(0, np.int64)
+    parts = [numbers[i:n + i] for i in range(length)]
+    fits = np.logical_and.reduce([part != RARE for part in parts])
+    fits &= ~np.logical_or.reduce([opens[i:n + i] for i in range(1, length)])
+    return np.flatnonzero(fits & np.logical_or.reduce([part == OTHER for part in parts]))
+
+
+def _numbered(numbers, opens, length):
+    """Where phrases of numbered words begin within a piece."""
+    n = len(numbers) - length + 1
+    if n < 1:
+        return np.zeros(0, np.int64)
+    fits = np.logical_and.reduce([numbers[i:n + i] >= 0 for i in range(length)])
+    return np.flatnonzero(fits & ~np.logical_or.reduce([opens[i:n + i] for i in range(1, length)]))
+
+
 def count_pairs(docs, numbers, least):
     """``(lang, w1, w2, key, a)`` of pairs found ``least`` times or more. The key of a pair with another word is null."""
     def put(tally, lang, tokens):
         n = numbers.value.of(lang, tokens)
-        both = (n[:-1] >= 0) & (n[1:] >= 0)
-        tally.left.append(n[:-1][both])
-        tally.right.append(n[1:][both])
-        tally.held += int(both.sum())
-        if not numbers.value.whole:
-            other = np.flatnonzero(~both & (n[:-1] != BREAK) & (n[1:] != BREAK))
-            tally.texts.update(tokens[i] + b" " + tokens[i + 1] for i in other.tolist())
-
-    counted = _count_phrases(docs, put, lambda lang: lambda left, right: (left << WORD_BITS) + right)
+        at = _numbered(n, tokens.opens, 2)
+        tally.left.append(n[at])
+        tally.right.append(n[at + 1])
+        tally.held += len(at)
+        return _others(n, tokens.opens, 2) if numbers.value.others is not None else None
+
+    counted = _count_phrases(docs, 2, put, lambda lang: lambda left, right: (left << WORD_BITS) + right)
     return _as_words(counted.where(F.col("a") >= least), numbers, 2)
 
 
 class PairRanks:
-    """Frequent pairs of each language by frequency rank, found by their keys."""
+    """Frequent pairs of each language by frequency rank, found by their keys; ``others`` holds those without a rank."""
 
-    def __init__(self, langs, keys, counts, whole):
-        self.whole = whole  # whether no other pair is frequent
+    def __init__(self, langs, keys, counts, others):
+        self.others = others
         held = {}
         for lang, key, a in zip(langs, keys, counts):
             held.setdefault(lang, []).append((-a, key))
@@ -274,42 +351,42 @@ class PairRanks:
         self.sorted = {lang: keys[self.order[lang]] for lang, keys in self.by_rank.items()}
 
     def of(self, lang, keys):
-        """The rank of each pair, or -1."""
+        """The rank of each pair: OTHER for a frequent pair without one, RARE for a pair that is not frequent."""
         known = self.sorted.get(lang)
-        if known is None or not len(known):
-            return np.full(len(keys), -1)
-        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-        return np.where(known[at] == keys, self.order[lang][at], -1)
+        ranks = np.full(len(keys), RARE)
+        if known is not None:
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            ranks = np.where(known[at] == keys, self.order[lang][at], RARE)
+        if self.others is not None:
+            unknown = np.flatnonzero(ranks == RARE)
+            ranks[unknown[self.others.has(lang, keys[unknown])]] = OTHER
+        return ranks
 
 
 def count_triples(docs, numbers, pairs, least):
     """``(lang, w1, w2, w3, key, a)`` of triples found ``least`` times or more.
 
-    Both pairs of such a triple are as frequent. A numbered pair makes a tile's row; a triple of numbered words with a pair
-    beyond the bound is counted by its key, one with another word by its text.
+    Both pairs of such a triple are as frequent. A ranked pair makes a tile's row; a triple of numbered words whose first
+    pair has no rank is counted by its key, one with another word by its text.
     """
     def put(tally, lang, tokens):
         n = numbers.value.of(lang, tokens)
-        inside = (n[:-2] >= 0) & (n[1:-1] >= 0) & (n[2:] >= 0)
-        at = np.flatnonzero(inside)
+        at = _numbered(n, tokens.opens, 3)
         one, two, three = n[at], n[at + 1], n[at + 2]
         first = pairs.value.of(lang, (one << WORD_BITS) + two)
         second = pairs.value.of(lang, (two << WORD_BITS) + three)
-        ranked = (first >= 0) & ((second >= 0) if pairs.value.whole else True)
+        fits = second != RARE
+        ranked, rest = fits & (first >= 0), fits & (first == OTHER)
         tally.left.append(first[ranked])
         tally.right.append(three[ranked])
-        tally.held += len(at)
-        if not pairs.value.whole:
-            rest = first < 0
-            tally.keys.append((((one << WORD_BITS) + two << WORD_BITS) + three)[rest])
-        if not numbers.value.whole:
-            other = np.flatnonzero(~inside & (n[:-2] != BREAK) & (n[1:-1] != BREAK) & (n[2:] != BREAK))
-            tally.texts.update(b" ".join(tokens[i:i + 3]) for i in other.tolist())
+        tally.keys.append((((one << WORD_BITS) + two << WORD_BITS) + three)[rest])
+        tally.held += int(ranked.sum()) + int(rest.sum())
+        return _others(n, tokens.opens, 3) if numbers.value.others is not None else None
 
     def key_of(lang):
-        return lambda left, right: (pairs.value.by_rank[lang][left] << WORD_BITS) + right
+        return lambda left, right: (pairs.value.by_rank.get(lang, left)[left] << WORD_BITS) + right
 
-    return _as_words(_count_phrases(docs, put, key_of).where(F.col("a") >= least), numbers, 3)
+    return _as_words(_count_phrases(docs, 3, put, key_of).where(F.col("a") >= least), numbers, 3)
 
 
 def collocations(docs, least=10, inside_percent=50, top=2000, head_words=HEAD_WORDS, head_pairs=HEAD_PAIRS):
@@ -317,20 +394,21 @@ def collocations(docs, least=10, inside_percent=50, top=2000, head_words=HEAD_WO
 
     Per lang (null: ``und``): lang, rank, phrase, a, l, r, n, score. Ties go by ``a`` descending, then by the phrase's
     bytes. Texts are whole; a null or empty text has no words; repeated rows count each; an empty table gives no
-    rows. At most ``head_words`` words and ``head_pairs`` pairs are numbered and broadcast. A phrase inside a longer candidate with at least ``inside_percent`` of its count is left out. Other columns of
-    ``docs`` are not read.
+    rows. A phrase inside a longer candidate with at least ``inside_percent`` of its count is left out. Other columns of
+    ``docs`` are not read. At most ``head_words`` words and ``head_pairs`` pairs are numbered and broadcast.
     """
-    spark = docs.sparkSession
+    broadcast = docs.sparkSession.sparkContext.broadcast
     counted = write_shared(count_words(docs, least), "words")
     words = counted.where(F.col("word").isNotNull())
     totals = counted.where(F.col("word").isNull()).select("lang", F.col("f").alias("n"))
-    short = words.where(F.octet_length("word") <= HEAD_BYTES)
-    head, whole = head_of(short, ["lang", "word"], "f", min(head_words, HEAD_WORDS))
-    whole = whole and words.where(F.octet_length("word") > HEAD_BYTES).isEmpty()
-    numbers = spark.sparkContext.broadcast(Numbers(*head, whole))
+    short = F.octet_length("word") <= HEAD_BYTES
+    head, others = head_of(words.where(short), ["lang", "word"], "f", min(head_words, HEAD_WORDS))
+    long = words.where(~short)
+    others = long.unionByName(others) if others is not None else None if long.isEmpty() else long
+    numbers = broadcast(Numbers(*head, bloom_of(others, "word")))
     pairs = write_shared(count_pairs(docs, numbers, least), "pairs")
-    head, all_pairs = head_of(pairs.where(F.col("key").isNotNull()), ["lang", "key"], "a", head_pairs)
-    ranks = spark.sparkContext.broadcast(PairRanks(*head, all_pairs))
+    head, others = head_of(pairs.where(F.col("key").isNotNull()), ["lang", "key"], "a", head_pairs)
+    ranks = broadcast(PairRanks(*head, bloom_of(others, "key")))
     triples = write_shared(count_triples(docs, numbers, ranks, least), "triples")
     return _ranked(words, totals, pairs.drop("key"), triples.drop("key"), inside_percent, top)
 
