@@ -25,8 +25,8 @@ HEAD_BYTES = 64  # of a numbered word
 BLOOM_BITS = 27
 TILE_BITS = 9
 DENSE = 1 << (2 * TILE_BITS - 4)  # pairs that make a tile dense
-SLICE_BYTES = 4_000_000
-FLUSH_TOKENS = 1_500_000
+SLICE_BYTES = 2_000_000
+FLUSH_TOKENS = 1_000_000
 BATCH_ROWS = 50_000
 UNKNOWN = "und"
 MILLION = 1_000_000
