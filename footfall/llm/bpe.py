@@ -41,9 +41,9 @@ class PairIndex:
         return np.where(self.keys[at] == keys, self.order[at], NO_RULE)
 
     def encode(self, words):
-        """Ids of each word. A word is a text of byte letters; letters outside the vocabulary are an error."""
+        """Ids of all words, and how many each has. A word is a text of byte letters, all in the vocabulary."""
         if not words:
-            return []
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         lengths = np.array([len(word) for word in words], np.int64)
         letters = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         table = np.full(int(letters.max(initial=0)) + 1, -1, np.int64)
@@ -99,9 +99,7 @@ class PairIndex:
             note(np.unique(np.concatenate((before[at], at))))
         alive = symbols[place] >= 0
         counts = np.bincount(word_of[alive], minlength=len(words))
-        ids = symbols[place[alive]].astype(np.uint32).tolist()
-        bounds = np.append(0, np.cumsum(counts)).tolist()
-        return [ids[start:end] for start, end in zip(bounds, bounds[1:])]
+        return symbols[place[alive]].astype(np.uint32), counts
 
     @staticmethod
     def _apart(at, following):

@@ -21,6 +21,23 @@ def bind(column, use):
     return F.transform(F.array(column), use)[0]
 
 
+def nested(docs, **columns):
+    """All columns of ``docs`` as the struct ``_doc`` beside the given ones, so that no names clash; ``_doc.*`` has them back."""
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_doc")
+    return docs.select(whole, *[column.alias(name) for name, column in columns.items()])
+
+
+def parts_of(lengths, rows, total):
+    """Bounds of parts of at most so many rows and so much length together; one longer row is a part of its own."""
+    bounds, held = [0], 0
+    for i, n in enumerate(lengths.tolist()):
+        if i - bounds[-1] >= rows or (i > bounds[-1] and held + n > total):
+            bounds.append(i)
+            held = 0
+        held += n
+    return [*bounds, len(lengths)] if len(lengths) else [0]
+
+
 def slices(batch, column="text", limit=CHUNK_CHARS):
     """Parts of an Arrow batch whose texts stay near ``limit`` bytes; one longer text is a part of its own."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

@@ -1,22 +1,25 @@
 """Packing of token ids into sequences: shortest pack first over the histogram of lengths."""
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import binary_column, numbered
+from footfall.llm.common import binary_column
 from footfall.llm.encoded import encoded, id_type
-from footfall.session import shared_folder
-
-RANK_SALTS = 32
+from footfall.session import shared_folder, write_shared
 
 
 def plan(histogram, size):
     """Packing patterns for ``{length: count}``: a list of (how often, lengths, longest first).
 
     Lengths are placed longest first. A length goes to the shortest pack, the one with most room; a pattern's count is
-    split if it is larger than what is left to place. The work depends on the number of lengths, not of documents.
+    split if it is larger than what is left to place. Where none has room, new packs take as many of the length as fit,
+    since a new pack is the shortest one for the next. The work depends on the number of lengths, not of documents.
     """
     open_packs = [[] for _ in range(size + 1)]  # by room left: [count, lengths]
     for length in sorted(histogram, reverse=True):
@@ -24,7 +27,11 @@ def plan(histogram, size):
         while left > 0:
             room = next((r for r in range(size, length - 1, -1) if open_packs[r]), None)
             if room is None:
-                open_packs[size - length].append([left, (length,)])
+                fit = size // length
+                packs, rest = divmod(left, fit)
+                for count, times in ((packs, fit), (1, rest)):
+                    if count and times:
+                        open_packs[size - times * length].append([count, (length,) * times])
                 break
             count, lengths = open_packs[room].pop()
             taken = min(count, left)
@@ -53,46 +60,70 @@ def intervals(patterns):
     return np.array(sorted(rows), np.int64).reshape(-1, 5).T
 
 
-def pieces(docs, path, end_id, size):
+def _ranks(lengths, before):
+    """The rank of each length among equal ones, after ``before[length]`` earlier ones; ``before`` is moved on."""
+    order = np.argsort(lengths, kind="stable")
+    ordered = lengths[order]
+    begins = np.flatnonzero(np.diff(ordered, prepend=-1))
+    rank = np.empty(len(lengths), np.int64)
+    rank[order] = np.arange(len(lengths)) - np.repeat(begins, np.diff(np.append(begins, len(lengths)))) + before[ordered]
+    before += np.bincount(lengths, minlength=len(before))
+    return rank
+
+
+def pieces(docs, path, end_id, size, payload="ids"):
     """Ids of each whole text with ``end_id`` after it, cut into pieces of ``size`` and a rest.
 
-    Columns doc_id, start, length, doc_tokens, ids. A null text counts as empty. The piece table is written to the
-    shared folder, so texts are encoded once.
+    Columns doc_id, start, length, doc_tokens, task, rank and the payload: ``ids`` (little-endian, of the type returned)
+    or ``ids_crc32``. A piece's rank counts the pieces of its length that its encoding task met before. The table is written to the
+    shared folder, so texts are encoded once and ranks are those of one attempt of each task. A null text counts as empty.
     """
     kind = id_type(path, end_id)
 
     def run(batches):
+        met = np.zeros(size + 1, np.int64)
+        task = TaskContext.get().partitionId()
         for rows, ids, counts in encoded(batches, path, end_id):
             number = -(-counts // size)
             of = np.repeat(np.arange(len(counts)), number)
             start = (np.arange(len(of)) - np.repeat(np.cumsum(number) - number, number)) * size
             length = np.minimum(size, counts[of] - start)
-            bounds = np.append(0, np.cumsum(length)) * np.dtype(kind).itemsize
+            bounds = np.append(0, np.cumsum(length))
+            if payload == "ids":
+                own = binary_column(ids.astype(kind), bounds * np.dtype(kind).itemsize)
+            else:
+                data = memoryview(ids.astype("<u4")).cast("B")
+                edges = (4 * bounds).tolist()
+                own = pa.array([zlib.crc32(data[a:b]) for a, b in zip(edges, edges[1:])], pa.int64())
             columns = [
                 rows.column("doc_id").take(pa.array(of)),
                 pa.array(start), pa.array(length), pa.array(counts[of]),
-                binary_column(ids.astype(kind), bounds),
+                pa.array(np.full(len(of), task)), pa.array(_ranks(length, met)), own,
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "doc_tokens", "ids"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "doc_tokens", "task", "rank", payload])
 
     path_out = shared_folder(docs.sparkSession, "pieces")
     cut = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, start long, length long, doc_tokens long, ids binary"
+        run, "doc_id long, start long, length long, doc_tokens long, task long, rank long, "
+        + ("ids binary" if payload == "ids" else "ids_crc32 long")
     )
     cut.write.parquet(path_out)
     return docs.sparkSession.read.parquet(path_out), kind
 
 
-def pack(docs, path, end_id=1, size=2048):
+def pack(docs, path, end_id=1, size=2048, payload="ids"):
     """All documents (doc_id, text) in sequences of at most ``size`` ids.
 
-    A row for each piece: doc_id, start, length, doc_tokens, ids (little-endian uint32), sequence_id, offset. Offsets
-    of a sequence are gapless from 0. A null text has the end id alone; equal rows are packed each; an empty table
-    gives no rows. Ranks within a length are dealt over salted buckets, so a length that a third of all pieces share
-    is numbered by many tasks.
+    A row for each piece: doc_id, start, length, doc_tokens, ids (little-endian uint32) or, as ``payload``, ids_crc32,
+    sequence_id, offset. Offsets of a sequence are gapless from 0. A null text has the end id alone; equal rows are
+    packed each; an empty table gives no rows. Pieces are ranked where they are encoded; only a number for each task and length is
+    ordered, so a length that a third of all pieces share meets nowhere.
     """
-    cut, kind = pieces(docs, path, end_id, size)
-    counts = {row.length: row.n for row in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # <= size rows
+    cut, kind = pieces(docs, path, end_id, size, payload)
+    by_task = write_shared(cut.groupBy("length", "task").agg((F.max("rank") + 1).alias("n")), "piece-counts")
+    counts = {row.length: row.n for row in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # <= size rows
+    earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    moved = by_task.select("length", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
     table = intervals(plan(counts, size))
     if not table.size:
         table = np.zeros((5, 1), np.int64)
@@ -117,17 +148,12 @@ def pack(docs, path, end_id=1, size=2048):
     def widen(ids: pd.Series) -> pd.Series:
         return ids.map(lambda own: np.frombuffer(own, kind).astype("<u4").tobytes())
 
-    salt = F.pmod(F.xxhash64("doc_id", "start"), F.lit(RANK_SALTS))
-    ranked = numbered(cut, ["length"], ["doc_id", "start"], salt, "rank")
-    placed = ranked.withColumn("_place", place("length", "rank"))
-    return placed.select(
-        "doc_id", "start", "length", "doc_tokens", widen("ids").alias("ids"), "_place.sequence_id", "_place.offset"
-    )
+    ranked = cut.join(moved, ["length", "task"]).withColumn("_place", place("length", F.col("rank") + F.col("_before")))
+    own = widen("ids").alias("ids") if payload == "ids" else F.col(payload)
+    return ranked.select("doc_id", "start", "length", "doc_tokens", own, "_place.sequence_id", "_place.offset")
 
 
 def digests(docs, path, end_id=1, size=2048):
-    """``pack`` with the crc32 of each piece's ids in place of the ids."""
-    packed = pack(docs, path, end_id, size)
-    return packed.select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
-    )
+    """``pack`` with the crc32 of each piece's ids in place of the ids, taken where they are encoded."""
+    packed = pack(docs, path, end_id, size, "ids_crc32")
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -1,6 +1,8 @@
 """Encoding, token files and packing against the tokenizers library."""
 
 import hashlib
+import json
+import random
 import zlib
 from collections import Counter
 
@@ -8,11 +10,12 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from footfall.llm import bpe, packing, token_files
 from footfall.llm.bpe import Codec
-from footfall.llm.pretokens import PATTERN, PieceEncoder
+from footfall.llm.pretokens import PATTERN, PieceEncoder, WholeEncoder, is_byte_level
 from footfall.llm.queries import BYTE_BPE
 
 PARTS = st.sampled_from(
@@ -57,8 +60,7 @@ def test_every_character_beside_spaces(library):
 def test_full_caches_change_nothing(library, monkeypatch):
     import footfall.llm.pretokens as module
 
-    monkeypatch.setattr(module, "KEPT_PIECES", 20)
-    monkeypatch.setattr(module, "KEPT_WORDS", 20)
+    monkeypatch.setattr(module, "CACHE_BYTES", 4000)
     own = PieceEncoder(BYTE_BPE)
     for turn in range(6):
         texts = [f"word{i % (turn + 3)} other{i} same" for i in range(40)]
@@ -66,6 +68,36 @@ def test_full_caches_change_nothing(library, monkeypatch):
         assert _split(*own.encode(texts)) == expected
 
 
+def test_special_tokens_of_other_files(tmp_path):
+    """Added tokens without a bracket, inside words, with zeros and digits; a vocabulary that joins the zero byte."""
+    with open(BYTE_BPE, encoding="utf-8") as file:
+        spec = json.load(file)
+    added = ["SEP", "SEPARATE", "é", "\0x", "9", ".", "<|endoftext|>"]
+    sample = dict(spec["added_tokens"][0])
+    spec["added_tokens"] = [{**sample, "id": 50_256 + i, "content": text} for i, text in enumerate(reversed(added))]
+    path = str(tmp_path / "added.json")
+    dice = random.Random(2)
+    parts = [*added, "S", "a", " ", "  ", "\n", "EP", "\0", "x", "word", "words.", "1", "漢"]
+    texts = ["".join(dice.choices(parts, k=dice.randint(0, 14))) for _ in range(800)]
+    for joined in (False, True):
+        if joined:  # a merge with the letter of byte 0, which then cannot keep words apart
+            spec["model"]["vocab"]["Āa"] = 50_300
+            spec["model"]["merges"].append(["Ā", "a"] if isinstance(spec["model"]["merges"][0], list) else "Ā a")
+        with open(path, "w", encoding="utf-8") as file:
+            json.dump(spec, file)
+        assert is_byte_level(path)
+        library = Tokenizer.from_file(path)
+        expected = [item.ids for item in library.encode_batch(texts, add_special_tokens=False)]
+        assert _split(*PieceEncoder(path).encode(texts)) == expected
+    spec["added_tokens"][0]["content"] = "two words"
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(spec, file)
+    assert not is_byte_level(path)
+    library = Tokenizer.from_file(path)
+    texts = ["", "a two words b", "x"]
+    assert _split(*WholeEncoder(path).encode(texts)) == [library.encode(text, add_special_tokens=False).ids for text in texts]
+
+
 @pytest.mark.parametrize("which", ["docs", "odd_docs"])
 def test_bpe_digests(which, request, library):
     docs = request.getfixturevalue(which)
@@ -148,6 +180,29 @@ def test_packing(which, request, library):
         assert sum(len(ids) for parts in whole.values() for _, ids in parts) / 4 > 0.97 * 2048 * len(sequences)
 
 
+def test_digests_are_of_the_packed_ids(odd_docs):
+    by_ids = packing.pack(odd_docs, BYTE_BPE).collect()
+    crcs = Counter((row.doc_id, row.start, row.length, zlib.crc32(bytes(row.ids)), row.doc_tokens) for row in by_ids)
+    assert Counter(tuple(row)[:5] for row in packing.digests(odd_docs, BYTE_BPE).collect()) == crcs
+
+
+def test_one_length_over_many_tasks(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("same").alias("text")).repartition(11)
+    rows = packing.digests(docs, BYTE_BPE).collect()
+    assert len({(row.sequence_id, row.offset) for row in rows}) == 3000
+    assert max(row.sequence_id for row in rows) + 1 == -(-3000 // (2048 // rows[0].length))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 9), max_size=30), max_size=5))
+def test_ranks_go_on_over_batches(batches):
+    met, seen = np.zeros(10, np.int64), Counter()
+    for lengths in batches:
+        for length, rank in zip(lengths, packing._ranks(np.array(lengths, np.int64), met).tolist()):
+            assert rank == seen[length]
+            seen[length] += 1
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 300), max_size=20))
 def test_plan_places_every_length_once(histogram):
