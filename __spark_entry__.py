@@ -329,6 +329,16 @@ def _counters_archived(spark, sf_dir):
     return streaming.read_counters(spark, f"{root}/counters")
 
 
+def _counters_by_increments(spark, sf_dir):
+    """Each micro-batch counted per shop before its lookup; the increments summed, past ones folded."""
+    root, folder = shared_folder(spark, "increments"), _halves(spark, sf_dir, "halves")
+    records = streaming.read_pay_stream(spark, {"format": "parquet", "path": f"{folder}/*", "maxFilesPerTrigger": 1})
+    lookup = write_shared(_lookup(spark, sf_dir), "lookup")
+    streaming.start_increment_stream(records, lambda: lookup, root, {"availableNow": True}).awaitTermination()
+    streaming.fold_increments(spark, f"{root}/increments")
+    return streaming.read_increments(spark, f"{root}/increments")
+
+
 def _counters_replayed(spark, sf_dir):
     """Every micro-batch is delivered twice: as after a failure between its write and its commit."""
     root, folder = shared_folder(spark, "replayed"), _halves(spark, sf_dir, "halves")
@@ -550,6 +560,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "counters_repartitioned": _counters_repartitioned,
         "counters_archived": _counters_archived,
         "counters_replayed": _counters_replayed,
+        "counters_by_increments": _counters_by_increments,
         "counters_timed": _counters_timed,
         "counters_refreshed_lookup": _counters_refreshed_lookup,
         "counters_after_restart": _counters_after_restart,
@@ -682,7 +693,8 @@ def oracle_sql() -> dict[str, str]:
         "records_joined_hot":
             "select user_id, shop_id, time_stamp, city_name from ev_pay_hot left join ev_shop using (shop_id)",
         **dict.fromkeys(
-            ["counters_from_state", "counters_repartitioned", "counters_archived", "counters_replayed", "counters_timed"],
+            ["counters_from_state", "counters_repartitioned", "counters_archived", "counters_replayed", "counters_timed",
+             "counters_by_increments"],
             counters,
         ),
         "counters_refreshed_lookup":

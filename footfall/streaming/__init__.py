@@ -1,5 +1,6 @@
 from .activity import read_activity, start_activity_stream, write_activity
 from .counters import hot_shops, key_counts, newly_hot, start_counter_stream
+from .deltas import fold_increments, read_increments, start_increment_stream, write_increments
 from .records import (
     archived_files,
     event_audit,
@@ -20,6 +21,7 @@ __all__ = [
     "compact_counters",
     "counters_from_state",
     "event_audit",
+    "fold_increments",
     "hot_shops",
     "kafka_source",
     "key_counts",
@@ -27,6 +29,7 @@ __all__ = [
     "pay_to_records",
     "read_activity",
     "read_counters",
+    "read_increments",
     "read_offsets",
     "read_pay_stream",
     "read_raw_stream",
@@ -36,9 +39,11 @@ __all__ = [
     "shop_counter_report",
     "start_activity_stream",
     "start_counter_stream",
+    "start_increment_stream",
     "state_partitions",
     "run_of",
     "upsert_counters",
     "write_activity",
+    "write_increments",
     "write_records",
 ]

@@ -13,6 +13,7 @@ from ..fixed import COUNTER_SCHEMA
 
 _BATCH = "slice=batch-"
 _COMPACTED = "slice=upto-"
+_LIST = "_folded"
 
 
 def upsert_counters(batch_df, batch_id, path, run=0):
@@ -89,6 +90,11 @@ def names_in(spark, path):
     return _Folder(spark, path).names()
 
 
+def remove_from(spark, path, name):
+    """Remove a file or folder of a folder."""
+    _Folder(spark, path).delete(name)
+
+
 def _slices(spark, path):
     return spark.read.schema(COUNTER_SCHEMA).parquet(path)
 
@@ -106,15 +112,27 @@ def read_counters(spark, path):
     return _latest(_slices(spark, path)).groupBy("k").agg(F.sum("count").alias("count"))
 
 
+def _folded(spark, compacted):
+    """Names of the folders that a compacted one holds."""
+    if _LIST not in _Folder(spark, compacted).names():
+        return []
+    return [row["value"] for row in spark.read.text(f"{compacted}/{_LIST}").collect()]  # a name for each past batch
+
+
 def compact_counters(spark, path):
     """Fold the folders of past batches into one, so that reads do not grow with the age of the stream.
 
     For a separate job, one at a time, beside a running stream. The newest batch of each run may still be in writing
     and is left alone. Rows keep the run and the batch they came from, so readers get the same totals before, during
-    and after. Old folders go only once the new one is complete; a reader that listed them before that has to start again.
+    and after. What a compaction has folded is deleted by the next one, so a reader that listed the old folders has the
+    time between two compactions to finish.
     """
     folder = _Folder(spark, path)
     names = folder.names()
+    folded = [name for kept in names if kept.startswith(_COMPACTED) for name in _folded(spark, f"{path}/{kept}")]
+    for name in folded:
+        folder.delete(name)
+    names = [name for name in names if name not in folded]
     newest = {}
     for name in names:
         if name.startswith(_BATCH):
@@ -125,7 +143,7 @@ def compact_counters(spark, path):
     old = past + [name for name in names if name.startswith(_COMPACTED)]
     target = f"{_COMPACTED}{uuid.uuid4().hex}"
     paths = [f"{path}/{name}" for name in old]
-    folded = _latest(spark.read.schema(COUNTER_SCHEMA).option("basePath", path).parquet(*paths))
-    folded.write.parquet(f"{path}/{target}")
-    for name in old:
-        folder.delete(name)
+    totals = _latest(spark.read.schema(COUNTER_SCHEMA).option("basePath", path).parquet(*paths))
+    totals.write.parquet(f"{path}/{target}")
+    listed = spark.createDataFrame([(name,) for name in old], "name string")
+    listed.coalesce(1).write.text(f"{path}/{target}/{_LIST}")  # readers pass over names with this start
