@@ -24,8 +24,9 @@ ASSIGN_VALUE = 12
 # Greedy runs of a class are whole, so the least length can stand in the pattern.
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
-# Candidates of the models: runs as long as the shortest secret, with dashes and slashes.
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+# Candidates of the models: runs as long as the shortest value of a secret, with dashes and slashes.
+LEAST_RUN = 12
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
 
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SIZE = len(LETTERS) + 1
@@ -51,14 +52,18 @@ def base_spans(text):
 
 
 def free_runs(text, spans):
-    """Candidate runs that overlap no span; ``spans`` are ordered by start."""
-    at, end = 0, -1
+    """(start, end) of candidates: what of each run lies outside all spans, if it is long enough; ``spans`` by start."""
+    at, covered = 0, 0
     for match in RUN.finditer(text):
-        while at < len(spans) and spans[at][1] < match.end():
-            end = max(end, spans[at][2])
+        start, end = max(match.start(), covered), match.end()
+        while at < len(spans) and spans[at][1] < end:
+            if spans[at][1] - start >= LEAST_RUN:
+                yield start, spans[at][1]
+            covered = max(covered, spans[at][2])
+            start = max(start, covered)
             at += 1
-        if end <= match.start():
-            yield match
+        if end - start >= LEAST_RUN:
+            yield start, end
 
 
 def _codes(run):
@@ -77,7 +82,7 @@ SCANNED = (
 
 
 def scan(docs):
-    """One pass over all texts: base spans, candidate runs that overlap none, and the values of base spans.
+    """One pass over all texts: base spans, candidates outside them, and the values of base spans.
 
     A null text counts as empty. Spans are in code points.
     """
@@ -87,7 +92,7 @@ def scan(docs):
                 found = [], [], []
                 for text in texts_of(part):
                     spans, values = base_spans(text)
-                    runs = [{"start": m.start(), "end": m.end(), "run": m[0]} for m in free_runs(text, spans)]
+                    runs = [{"start": start, "end": end, "run": text[start:end]} for start, end in free_runs(text, spans)]
                     found[0].append([dict(zip(("kind", "start", "end"), span)) for span in spans])
                     found[1].append(runs)
                     found[2].append(values)
@@ -136,7 +141,8 @@ def train(scanned, false_rate=FALSE_RATE, miss_rate=MISS_RATE, min_gain=MIN_GAIN
     def bins(own):
         @F.pandas_udf("int")
         def bin_of(runs: pd.Series) -> pd.Series:
-            return runs.map(lambda run: int(np.clip(np.ceil(gain(random, plain, run, own) / BIN), 0, BINS)))
+            bins = np.clip(np.ceil(gains(random, plain, runs.tolist(), own) / BIN), 0, BINS)
+            return pd.Series(bins.astype(int), index=runs.index)
 
         return bin_of("run").alias("bin")
 
@@ -152,22 +158,29 @@ def train(scanned, false_rate=FALSE_RATE, miss_rate=MISS_RATE, min_gain=MIN_GAIN
     return (random, plain), max(min_gain, BIN * min(few, most))
 
 
-def gain(random, plain, run, own=1):
-    """Log-likelihood ratio a character of a run, by transition counts of both classes.
+def gains(random, plain, runs, own=1):
+    """Log-likelihood ratio a character of each run, by transition counts of both classes.
 
-    The run is left out of the class that it was counted in (0 random, 1 ordinary), so that it speaks not for itself.
+    A run is left out of the class that it was counted in (0 random, 1 ordinary), so that it speaks not for itself.
     """
-    codes = _codes(run)
-    cells = codes[:-1] * SIZE + codes[1:]
-    _, at, times = np.unique(cells, return_inverse=True, return_counts=True)
-    _, row_at, row_times = np.unique(codes[:-1], return_inverse=True, return_counts=True)
+    if not len(runs):
+        return np.zeros(0)
+    lengths = np.array([len(run) for run in runs], np.int64)
+    to = _codes("".join(runs))[1:]
+    starts = np.cumsum(lengths) - lengths
+    of = np.repeat(np.arange(len(runs)), lengths)
+    came = np.append(0, to[:-1])
+    came[starts] = 0  # the common start
+    cells = came * SIZE + to
+    _, at, times = np.unique(of * SIZE * SIZE + cells, return_inverse=True, return_counts=True)
+    _, row_at, row_times = np.unique(of * SIZE + came, return_inverse=True, return_counts=True)
     likely = []
     for number, counts in enumerate((random, plain)):
-        seen, row = counts[codes[:-1], codes[1:]], counts.sum(axis=1)[codes[:-1]]
+        seen, row = counts.ravel()[cells], counts.sum(axis=1)[came]
         if number == own:
             seen, row = seen - times[at], row - row_times[row_at]
-        likely.append(np.log((np.maximum(seen, 0) + 0.5) / (np.maximum(row, 0) + 0.5 * SIZE)).sum())
-    return (likely[0] - likely[1]) / len(cells)
+        likely.append(np.log((np.maximum(seen, 0) + 0.5) / (np.maximum(row, 0) + 0.5 * SIZE)))
+    return np.add.reduceat(likely[0] - likely[1], starts) / lengths
 
 
 def add_markov(scanned, model):
@@ -176,7 +189,10 @@ def add_markov(scanned, model):
 
     @F.pandas_udf("array<boolean>")
     def flags(runs: pd.Series) -> pd.Series:
-        return runs.map(lambda own: [bool(gain(random, plain, run) > threshold) for run in own])
+        flat = [run for own in runs for run in own]
+        hits = gains(random, plain, flat) > threshold
+        bounds = np.append(0, np.cumsum([len(own) for own in runs])).astype(int)
+        return pd.Series([hits[a:b].tolist() for a, b in zip(bounds, bounds[1:])], index=runs.index)
 
     flagged = F.filter(F.zip_with("runs", flags(F.col("runs.run")), lambda run, hit: F.when(hit, run)), lambda run: run.isNotNull())
     added = F.transform(flagged, lambda run: F.struct(F.lit("markov").alias("kind"), run["start"].alias("start"), run["end"].alias("end")))
@@ -221,8 +237,9 @@ def redact(docs, mask="[SECRET]"):
             if text is None:
                 return None
             spans, _ = base_spans(text)
-            found = [m.span() for m in free_runs(text, spans) if gain(random, plain, m[0]) > threshold]
-            spans = [span[1:] for span in spans] + found
+            free = list(free_runs(text, spans))
+            hits = gains(random, plain, [text[a:b] for a, b in free]) > threshold
+            spans = [span[1:] for span in spans] + [one for one, hit in zip(free, hits) if hit]
             out, at = [], 0
             for start, end in sorted(spans):
                 if start >= at:
