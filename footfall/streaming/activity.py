@@ -19,13 +19,20 @@ def _payments(records):
     return records.select(first_field(value).alias("shop_id"), F.substring(second_field(value), 1, 10).alias("day"))
 
 
-def activity_counts(records):
+def activity_counts(records, late=None):
     """``(shop_id, countPay, countDay)`` of a stream of (key, value) records, in update mode.
 
     The state has a row for each shop and day ever met, and one for each shop. Of records without a day, payments count.
+
+    With ``late``, such as "40 days", days are dates, and those more than that behind the latest day leave the state. A payment
+    that comes later than that still counts as a payment, but its day counts no more; so does a payment whose day is no date.
     """
     payments = _payments(records)
-    days = payments.where(F.col("day").isNotNull()).dropDuplicates(["shop_id", "day"])
+    if late is None:
+        days = payments.where(F.col("day").isNotNull()).dropDuplicates(["shop_id", "day"])
+    else:
+        dated = payments.select("shop_id", F.try_to_timestamp("day", F.lit("yyyy-MM-dd")).alias("date"))
+        days = dated.where(F.col("date").isNotNull()).withWatermark("date", late).dropDuplicates(["shop_id", "date"])
     every = payments.select("shop_id", F.lit(1).alias("pay"), F.lit(0).alias("first"))
     first = days.select("shop_id", F.lit(0).alias("pay"), F.lit(1).alias("first"))
     return every.unionByName(first).groupBy("shop_id").agg(F.sum("pay").alias("countPay"), F.sum("first").alias("countDay"))
@@ -50,11 +57,11 @@ def read_activity(spark, path):
     return latest.select("shop_id", "totals.countPay", "totals.countDay")
 
 
-def start_activity_stream(records, root, trigger=None):
-    """Start the query; its checkpoint and its totals live under ``root``."""
+def start_activity_stream(records, root, trigger=None, late=None):
+    """Start the query; its checkpoint and its totals live under ``root``. ``late`` goes to ``activity_counts``."""
     run = run_of(records.sparkSession, f"{root}/checkpoint", f"{root}/activity")
     return (
-        activity_counts(records)
+        activity_counts(records, late)
         .writeStream.outputMode("update")
         .foreachBatch(partial(write_activity, path=f"{root}/activity", run=run))
         .option("checkpointLocation", f"{root}/checkpoint")

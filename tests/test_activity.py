@@ -103,6 +103,25 @@ def test_stream_equals_batch_across_restarts_and_replays(spark, tmp_path):
     assert {row.operatorName for row in state.collect()} == {"dedupe", "stateStoreSave"}
 
 
+def test_old_days_leave_the_state(spark, tmp_path):
+    inbox, root = str(tmp_path / "inbox"), str(tmp_path / "run")
+    state = []
+    for month in range(1, 7):
+        days = [f"2016-{month:02d}-{day:02d}" for day in range(1, 29)]
+        rows = [("u", f"{shop},{day} 10:00") for day in days for shop in ("s1", "s1", "s2")] + [("u", "s1,x")]
+        streaming.write_records(spark.createDataFrame(rows, RECORD_SCHEMA), {"format": "parquet", "path": inbox})
+        stream = streaming.read_pay_stream(spark, {"format": "parquet", "path": inbox})
+        streaming.start_activity_stream(stream, root, {"availableNow": True}, "10 days").awaitTermination()
+        state.append(spark.read.format("statestore").option("operatorId", 1).load(f"{root}/checkpoint").count())
+    assert _rows(streaming.read_activity(spark, f"{root}/activity")) == [("s1", 6 * 57, 6 * 28), ("s2", 6 * 28, 6 * 28)]
+    assert max(state) <= 2 * 2 * 28 and state[-1] < 3 * 28  # all days would be 6 * 2 * 28
+    late = spark.createDataFrame([("u", "s1,2016-01-01"), ("u", "s2,2016-06-28")], RECORD_SCHEMA)
+    streaming.write_records(late, {"format": "parquet", "path": inbox})
+    stream = streaming.read_pay_stream(spark, {"format": "parquet", "path": inbox})
+    streaming.start_activity_stream(stream, root, {"availableNow": True}, "10 days").awaitTermination()
+    assert _rows(streaming.read_activity(spark, f"{root}/activity")) == [("s1", 6 * 57 + 1, 6 * 28), ("s2", 6 * 28 + 1, 6 * 28)]
+
+
 # Bucketed tables
 
 
