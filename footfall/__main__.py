@@ -1,6 +1,7 @@
 """Jobs for spark-submit or ``python -m footfall``; ``DATA`` is a folder with shop_info.txt and user_pay.txt."""
 
 import argparse
+import json
 import sys
 
 from pyspark.sql import Observation
@@ -23,12 +24,15 @@ def _shop_lines(spark, data):
 
 
 def batch(spark, args):
-    """Shop rankings from the text files."""
-    faults = Observation()
-    shops = _shops(spark, args.data).persist()
-    payments = sources.read_user_pay(spark, f"{args.data}/user_pay.txt", faults)
-    activity = write_shared(plans.shop_activity(payments), "activity")  # one pass over the payments for both
-    print("payment lines:", ", ".join(f"{name} {n}" for name, n in faults.get.items()))
+    """Shop rankings from the text files, or with the payments that are stored already."""
+    shops, payments = _shops(spark, args.data).persist(), None
+    if args.stored:
+        activity = write_shared(plans.activity_of(plans.stored_activity(spark, args.stored)), "activity")
+    else:
+        faults = Observation()
+        payments = sources.read_user_pay(spark, f"{args.data}/user_pay.txt", faults)
+        activity = write_shared(plans.shop_activity(payments), "activity")  # one pass over the payments for both
+        print("payment lines:", ", ".join(f"{name} {n}" for name, n in faults.get.items()))
     plans.shop_base_top(shops).show(truncate=False)
     plans.shop_activity_top(payments, activity=activity).show(truncate=False)
     plans.top_shops_by_daily_amount(shops, payments, activity=activity).show(truncate=False)
@@ -39,6 +43,14 @@ def batch(spark, args):
     shops.unpersist()
 
 
+def store(spark, args):
+    """Add the payments of the text file to the stored activity, as the slice of that name."""
+    faults = Observation()
+    payments = sources.read_user_pay(spark, f"{args.data}/user_pay.txt", faults)
+    plans.store_activity(payments, args.stored, args.name)
+    print("payment lines:", ", ".join(f"{name} {n}" for name, n in faults.get.items()))
+
+
 def dashboard(spark, args):
     """City and day series from the warehouse tables."""
     pay, view, shops = (
@@ -68,14 +80,23 @@ def count(spark, args):
     given = {"minPartitions": args.min_partitions, "maxOffsetsPerTrigger": args.max_offsets, "startingOffsets": args.start}
     options = {name: value for name, value in given.items() if value}
     records = streaming.read_pay_stream(spark, streaming.kafka_source(args.servers, args.topic, **options))
-    lookup = sources.shop_city_lookup(_shop_lines(spark, args.data))
-    streaming.start_counter_stream(records, lookup, args.root).awaitTermination()
+    lookup = lambda: sources.shop_city_lookup(_shop_lines(spark, args.data))
+    if args.increments:
+        streaming.start_increment_stream(records, lookup, args.root).awaitTermination()
+    else:
+        streaming.start_counter_stream(records, lookup(), args.root).awaitTermination()
+
+
+def _counters(spark, args):
+    if args.increments:
+        return streaming.read_increments(spark, f"{args.root}/increments")
+    return streaming.read_counters(spark, f"{args.root}/counters")
 
 
 def report(spark, args):
     """Write the counters of all shops and cities of the shop file, or show all of them."""
     lines = _shop_lines(spark, args.data)
-    counters = streaming.read_counters(spark, f"{args.root}/counters")
+    counters = _counters(spark, args)
     shops = streaming.shop_counter_report(sources.first_appearance(lines, "shop_id"), counters)
     cities = streaming.city_counter_report(sources.first_appearance(lines, "city_name"), counters)
     for name, found in (("shops", shops), ("cities", cities)):
@@ -90,7 +111,17 @@ def report(spark, args):
 
 def compact(spark, args):
     """Fold the counter folders of past micro-batches into one."""
-    streaming.compact_counters(spark, f"{args.root}/counters")
+    if args.increments:
+        streaming.fold_increments(spark, f"{args.root}/increments")
+    else:
+        streaming.compact_counters(spark, f"{args.root}/counters")
+
+
+def restore(spark, args):
+    """Write the counters of a checkpoint's state under a new root, and print the offsets to go on from."""
+    streaming.restore_counters(spark, args.checkpoint, f"{args.root}/counters")
+    for offsets in streaming.read_offsets(spark, args.checkpoint):
+        print(json.dumps(offsets))
 
 
 def _parser():
@@ -107,15 +138,20 @@ def _parser():
     batch_job = add(batch, "--data")
     batch_job.add_argument("--cities", nargs="+", default=list(WELCOME_CITIES))
     batch_job.add_argument("--category", default=WELCOME_CATEGORY)
+    batch_job.add_argument("--stored")
+    add(store, "--data", "--stored", "--name")
     add(dashboard).add_argument("--database")
     add(publish, "--data", "--servers", "--topic").add_argument("--copies", type=int, default=1)
     count_job = add(count, "--data", "--servers", "--topic", "--root")
     for flag in ("--min-partitions", "--max-offsets", "--start"):
         count_job.add_argument(flag)
+    count_job.add_argument("--increments", action="store_true")
     report_job = add(report, "--data", "--root")
     report_job.add_argument("--out")
     report_job.add_argument("--preview", type=int)
-    add(compact, "--root")
+    report_job.add_argument("--increments", action="store_true")
+    add(compact, "--root").add_argument("--increments", action="store_true")
+    add(restore, "--checkpoint", "--root")
     return parser
 
 

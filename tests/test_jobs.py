@@ -73,3 +73,37 @@ def test_report_is_whole(spark, tmp_path, capsys):
     assert spark.read.csv(str(tmp_path / "out/shops"), header=True).count() == 50
     main([*args, "--preview", "3"], spark)
     assert capsys.readouterr().out.count("|s") == 4  # the heading and three shops
+
+
+def test_stored_activity(spark, data, tmp_path, capsys):
+    """Payments of two days, stored one after the other and one of them twice, rank the shops as all at once do."""
+    main(["batch", "--data", data], spark)
+    whole = capsys.readouterr().out
+    assert "payment lines: lines 6, short_lines 1, long_lines 0" in whole
+    lines = PAYMENTS.splitlines(keepends=True)
+    for name, part in (("a", lines[:2]), ("b", lines[:1]), ("b", lines[2:])):
+        (tmp_path / "user_pay.txt").write_text("".join(part), encoding="utf-8")
+        main(["store", "--data", data, "--stored", str(tmp_path / "stored"), "--name", name], spark)
+    capsys.readouterr()
+    main(["batch", "--data", data, "--stored", str(tmp_path / "stored")], spark)
+    merged = capsys.readouterr().out
+    table = lambda text: text[text.index("+---"):]
+    assert table(merged) == table(whole)
+
+
+def test_increments_and_restored_counters(spark, data, tmp_path, capsys):
+    root, inbox = str(tmp_path / "run"), str(tmp_path / "inbox")
+    records = streaming.pay_to_records(sources.read_user_pay(spark, f"{data}/user_pay.txt"))
+    streaming.write_records(records, {"format": "parquet", "path": inbox})
+    lookup = sources.shop_city_lookup(sources.read_lines(spark, f"{data}/shop_info.txt"))
+    stream = lambda: streaming.read_pay_stream(spark, {"format": "parquet", "path": inbox})
+    streaming.start_increment_stream(stream(), lambda: lookup, root, {"availableNow": True}).awaitTermination()
+    streaming.start_counter_stream(stream(), lookup, f"{root}-2", trigger={"availableNow": True}).awaitTermination()
+    main(["compact", "--root", root, "--increments"], spark)
+    main(["report", "--data", data, "--root", root, "--increments"], spark)
+    by_increments = capsys.readouterr().out
+    main(["restore", "--checkpoint", f"{root}-2/checkpoint", "--root", f"{root}-3"], spark)
+    assert capsys.readouterr().out == '{"logOffset": 0}\n'
+    main(["report", "--data", data, "--root", f"{root}-3"], spark)
+    restored = capsys.readouterr().out
+    assert by_increments == restored and "1\ts1\t3" in restored
