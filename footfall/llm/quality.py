@@ -10,7 +10,7 @@ Everything is built of DataFrame expressions.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import bind, words
+from footfall.llm.common import bind, nested, words
 from footfall.session import write_shared
 
 ALPHA, DELTA = 0.05, 0.05
@@ -180,10 +180,14 @@ def verdicts(docs, labels):
 
 
 def keep(docs, labels):
-    """The documents that pass, with all their columns. Cutoffs are learnt from the labelled ones of ``docs``."""
-    stats = statistics(docs.select("doc_id", "lang", "text")).drop("text")
-    cutoffs = write_shared(learn(write_shared(stats, "quality"), labels), "cutoffs")
-    return judge(statistics(docs), cutoffs).where("kept").select(*docs.columns)
+    """The documents that pass, with all their columns. Cutoffs are learnt from the labelled ones of ``docs``.
+
+    Documents are written to the shared folder beside their statistics, which so are taken once.
+    """
+    rows = nested(docs, **{name: F.col(name) for name in ("doc_id", "lang", "text")})
+    stored = write_shared(statistics(rows).drop("text"), "quality")
+    cutoffs = write_shared(learn(stored.select("doc_id", "lang", "_stats"), labels), "cutoffs")
+    return judge(stored, cutoffs).where("kept").select("_doc.*")
 
 
 def oracle_sql(alpha=ALPHA, delta=DELTA):
