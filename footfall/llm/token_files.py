@@ -77,11 +77,22 @@ def parse_file(content):
     return [None if gone else id for id, gone in zip(ids, null)], counts, unpack_values(control, data, values)
 
 
+def _values(column, kind):
+    """The ids of all rows of a binary Arrow column one after another, and how many each row has."""
+    width = np.dtype(kind).itemsize
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1]
+    data = b"" if data is None else memoryview(data)[offsets[0]:offsets[-1]]
+    return np.frombuffer(data, kind), np.diff(offsets) // width
+
+
 def _put(folder, name, content):
     """Write a file whole or not at all, so that a task that runs again replaces it."""
     from pyarrow import fs
 
-    system, path = fs.FileSystem.from_uri(folder)
+    # Arrow has one name for the store that Spark's clients name in three ways.
+    scheme, colon, rest = folder.partition("://")
+    system, path = fs.FileSystem.from_uri(f"s3://{rest}" if colon and scheme in ("s3a", "s3n") else folder)
     system.create_dir(path, recursive=True)
     draft = f"{path}/.{name}.{uuid.uuid4().hex}"
     with system.open_output_stream(draft) as out:
@@ -128,28 +139,39 @@ def write(docs, folder, path, end_id):
     shared = spark.sparkContext.broadcast(rank_of)  # no longer than the vocabulary
 
     def put(batches):
-        ids, own, last, size = [], [], None, 0
+        file = None  # (part, first seq, document ids, counts, values) in the making
 
         def done():
-            first = own[0]
-            counts = [len(values) for values in ids]
-            values = shared.value[np.concatenate(ids)]
-            _put(f"{folder}/files", f"{first[0]:08d}-{first[1]:012d}.frv", file_bytes([row[2] for row in own], counts, values))
-            out = [first[0]], [first[1]], [len(own)], [len(values)]
+            part, seq, ids, counts, values = file
+            values = np.concatenate(values)
+            _put(f"{folder}/files", f"{part:08d}-{seq:012d}.frv", file_bytes(ids, np.concatenate(counts), values))
+            out = [part], [seq], [len(ids)], [len(values)]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, (pa.int32(), *[pa.int64()] * 3))], names=["part", "seq", "n_docs", "n_values"])
 
         for batch in batches:
-            columns = (batch.column(name).to_pylist() for name in ("part", "seq", "doc_id", "ids"))
-            for part, seq, doc_id, value in zip(*columns):
-                values = np.frombuffer(value, kind)
-                if own and ((part, seq) != (last[0], last[1] + 1) or size + len(values) > FILE_VALUES):
-                    yield done()
-                    ids, own, size = [], [], 0
-                own.append((part, seq, doc_id))
-                ids.append(values)
-                size += len(values)
-                last = part, seq
-        if own:
+            part, seq = batch.column("part").to_numpy(), batch.column("seq").to_numpy()
+            doc_ids = batch.column("doc_id").to_pylist()
+            ids, counts = _values(batch.column("ids"), kind)
+            ranks, bounds = shared.value[ids], np.append(0, np.cumsum(counts))
+            breaks = np.flatnonzero((part[1:] != part[:-1]) | (seq[1:] != seq[:-1] + 1)) + 1
+            for start, end in zip([0, *breaks.tolist()], [*breaks.tolist(), len(part)]):
+                while start < end:
+                    if file and (part[start], seq[start]) != (file[0], file[1] + len(file[2])):
+                        yield done()
+                        file = None
+                    held = sum(map(len, file[4])) if file else 0
+                    # As many documents as fit; one that is longer than a file is a file.
+                    until = int(np.searchsorted(bounds, bounds[start] + FILE_VALUES - held, "right")) - 1
+                    until = min(max(until, start if file else start + 1), end)
+                    file = file or (int(part[start]), int(seq[start]), [], [], [])
+                    file[2].extend(doc_ids[start:until])
+                    file[3].append(counts[start:until])
+                    file[4].append(ranks[bounds[start]:bounds[until]])
+                    start = until
+                    if start < end:
+                        yield done()
+                        file = None
+        if file:
             yield done()
 
     rows.select("part", "seq", "doc_id", "ids").mapInArrow(put, MANIFEST).write.parquet(f"{folder}/manifest")
@@ -160,7 +182,7 @@ def _ids_by_rank(rows, kind):
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            own = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), kind), minlength=len(total))
+            own = np.bincount(_values(batch.column("ids"), kind)[0], minlength=len(total))
             own[:len(total)] += total
             total = own
         ids = np.flatnonzero(total)
