@@ -8,11 +8,19 @@ the chance that two signatures agree in a component; for texts without repeated
 
 Candidates come in three steps, none of which forms all pairs of a group:
 
-1. In each bucket of a band every text meets a few leaders. Verified pairs join classes; groups of near copies melt.
+1. In a few rounds every text meets one other, the next one of a bucket in a random order, if that is in another class.
+   Verified pairs join classes; as partners are others in each round, groups of near copies melt even where no text is near
+   to all others, and a round has no more pairs than texts.
 2. In buckets that still hold several classes, texts of different classes meet, if the bucket is small.
-3. In large ones texts meet where the rarest part of their shingles does. A pair of similarity ``threshold`` shares a
-   shingle among those that make up the first ``1 - threshold`` of either's weight in the order of frequency, because
-   J is at most the overlap of the weights' shares. So this finds every pair of the bucket.
+3. In large ones texts meet where the rarest part of their shingles does. Say a pair's first shared shingle, in the order of
+   frequency, comes after the shares u and v of their weights. None of these is shared, so
+
+       J <= (1 - u) (1 - v) / (1 - u v),
+
+   as each term of J is at most 1 / (1 / p + v / q) for shares p and q of the shingle, a concave function of the two. Of
+   texts without repeated shingles the sizes X and Y tell more: they share at most O = min(X (1 - u), Y (1 - v)) shingles,
+   and J <= O / (X + Y - O). So this finds every pair of the bucket at its first shared shingle, and few others.
+   A few pairs of each two classes are verified first, the others only where that left the classes apart.
 """
 
 import uuid
@@ -23,17 +31,20 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import words
+from footfall.llm.common import nested, parts_of, words
 from footfall.session import write_shared
 
 SHINGLE, THRESHOLD = 5, 0.8
 # A pair of similarity 0.8 meets in no bucket with probability (1 - 0.8**5)**26 = 3e-5.
 BANDS, ROWS = 26, 5
-LEADERS = 3
+ROUNDS = 6
+FEW = 24  # pairs of each two classes
+STRETCH = 1000  # texts of a bucket that are put in order together, about
 SMALL_BUCKET = 12
 # Pairs whose signatures agree in fewer components than this share are not verified: eight standard deviations
 # below the threshold at 130 components.
 SCREEN = 0.52
+PART_ROWS, PART_WORDS = 500, 1_000_000  # of texts that are shingled together; one longer text is a part of its own
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -124,14 +135,20 @@ def _runs(column):
     return values.view(np.uint64), (offsets - offsets[0]).astype(np.int64)
 
 
+def _cut(batch):
+    """Parts of a batch with a list column ``words``."""
+    bounds = parts_of(np.diff(batch.column("words").offsets.to_numpy()), PART_ROWS, PART_WORDS)
+    for start, end in zip(bounds, bounds[1:]):
+        yield pa.concat_batches([batch.slice(start, end - start)])
+
+
 def _bands(texts, length):
     """(id, bands: array of keys, sig: signature as bytes of 16-bit values) of rows (id, words)."""
     size = BANDS * ROWS
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = pa.concat_batches([batch.slice(at, 500)])
+            for part in _cut(batch):
                 hashes, bounds = _runs(part.column("words"))
                 found = signatures(*shingles(hashes, bounds, length), part.num_rows, size)
                 with np.errstate(over="ignore"):
@@ -164,8 +181,10 @@ def _exact(length):
     @F.pandas_udf("double")
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
         out = []
-        for at in range(0, len(left), 500):
-            a, b = left[at:at + 500], right[at:at + 500]
+        lengths = left.map(len).to_numpy(np.int64) + right.map(len).to_numpy(np.int64)
+        parts = parts_of(lengths, PART_ROWS, PART_WORDS)
+        for start, end in zip(parts, parts[1:]):
+            a, b = left[start:end], right[start:end]
             both = list(a) + list(b)
             bounds = np.append(0, np.cumsum([len(own) for own in both])).astype(np.int64)
             hashes = np.concatenate([np.asarray(own, np.int64) for own in both]).view(np.uint64)
@@ -193,8 +212,8 @@ def _verify(pairs, texts, signed, threshold, length):
     return measured.select("a", "b", score.alias("similarity")).where(F.col("similarity") >= threshold)
 
 
-def components(nodes, links):
-    """(id, class) for each node: the smallest id that links (a, b) reach.
+def _labels(links):
+    """(id, class) of every linked id: the smallest id that links (a, b) reach.
 
     Labels are the smallest among neighbours, then followed to their own label's label, which halves the way in each
     round. Each round is written to the shared folder.
@@ -214,9 +233,30 @@ def components(nodes, links):
         changed = moved.where(F.col("new") != F.col("class")).limit(1).count()
         labels = moved.select("id", F.col("new").alias("class"))
         if not changed:
-            break
-    labels = labels.select("id", F.col("class").alias("_found"))
-    return nodes.join(labels, "id", "left").select("id", F.coalesce("_found", "id").alias("class"))
+            return labels
+
+
+def _renamed(classes, links):
+    """(class, to): the classes that further links (a, b) between ids join into others, and the smallest id of each.
+
+    Only links between different classes count, so what is joined already is not followed again.
+    """
+    of = lambda name: classes.select(F.col("id").alias(name), F.col("class").alias(f"class_{name}"))
+    crossing = links.select("a", "b").join(of("a"), "a").join(of("b"), "b").where("class_a <> class_b")
+    labels = _labels(crossing.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")))
+    return labels.select(F.col("id").alias("class"), F.col("class").alias("to"))
+
+
+def _apply(rows, renames, name="class"):
+    """``rows`` with the column ``name`` as the classes are called now."""
+    new = renames.select(F.col("class").alias(name), F.col("to").alias("_to"))
+    columns = [F.coalesce("_to", name).alias(name) if c == name else F.col(c) for c in rows.columns]
+    return rows.join(new, name, "left").select(*columns)
+
+
+def joined(classes, links):
+    """``classes`` (id, class) after further links (a, b) between ids: a class is named by its smallest id."""
+    return _apply(classes, _renamed(classes, links))
 
 
 def _ordered_pairs(df, left, right):
@@ -226,33 +266,53 @@ def _ordered_pairs(df, left, right):
 
 
 def _shared_buckets(buckets):
-    """Buckets of several texts: (band, leaders), the least ids by several hashes."""
-    hashed = lambda seed: F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), "id")
-    leaders = [F.min(hashed(seed))["id"] for seed in range(LEADERS)]
-    return buckets.groupBy("band").agg(F.array(*leaders).alias("leaders"), F.count("*").alias("n")).where("n > 1")
+    """The rows (id, band) of buckets of several texts."""
+    return buckets.join(buckets.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band"), "band")
 
 
 def _open_buckets(buckets, classes):
-    """Bucket rows with classes, of buckets that hold several classes; with the number of texts."""
+    """Bucket rows (id, band, class) of buckets that hold several classes, with the number of texts."""
     known = buckets.join(classes, "id")
     several = known.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"))
     return known.join(several.where("low < high").select("band", "n"), "band")
 
 
-def _crossing(rows, key):
-    """Pairs of different classes that share a key. ``rows``: id, class and the key."""
-    left = rows.select(key, F.col("id").alias("a"), F.col("class").alias("class_a"))
-    right = rows.select(key, F.col("id").alias("b"), F.col("class").alias("class_b"))
-    met = left.join(right, key).where((F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")))
-    return met.select("a", "b")
+def _met(held, seed):
+    """A pair for each text with the next one of another class, in one of its buckets; the seed deals the order anew.
+
+    A large bucket is put in order in stretches, so a bucket that many texts share is not one task's work.
+    """
+    stretch = F.pmod(F.xxhash64("id", F.lit(seed), F.lit("stretch")), F.ceil(F.col("n") / STRETCH))
+    order = Window.partitionBy("band", "_stretch").orderBy(F.xxhash64("id", F.lit(seed)), "id")
+    following = F.lead(F.struct("id", "class")).over(order)
+    rows = held.withColumn("_stretch", stretch).withColumn("_next", following).where(F.col("_next.class") != F.col("class"))
+    choice = F.min(F.struct(F.xxhash64("band", F.lit(seed)).alias("hash"), F.col("_next.id").alias("id")))
+    return _ordered_pairs(rows.groupBy("id").agg(choice["id"].alias("partner")), "id", "partner")
+
+
+def _crossing(rows, key, more=()):
+    """Pairs of different classes that share a key. ``rows``: id, class and the key; columns ``more`` go with both, as more_a, more_b."""
+    side = lambda name: rows.select(key, F.col("id").alias(name), F.col("class").alias(f"class_{name}"), *[F.col(c).alias(f"{c}_{name}") for c in more])
+    return side("a").join(side("b"), key).where((F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")))
+
+
+def _within(threshold):
+    """Whether a pair may be as similar, from the shares of weight before the first shared shingle, and the sizes."""
+    u, v, x, y = (F.col(name) for name in ("share_a", "share_b", "whole_a", "whole_b"))
+    most = F.least(x * (1 - u), y * (1 - v)) * (1 + threshold) >= threshold * (x + y) - 1e-6
+    general = (1 - u) * (1 - v) >= threshold * (1 - u * v) - 1e-9
+    return general & (most | ~(F.col("plain_a") & F.col("plain_b")))
 
 
 def _rare_shingles(texts, threshold, length):
-    """(id, shingle, weight) -> the rarest shingles of each text, up to the first beyond ``1 - threshold`` of its weight."""
+    """(id, class, shingle, share, whole, plain): the rarest shingles of each text, with the share of its weight before
+    each, its whole weight, and whether none of its shingles is repeated.
+
+    Up to the first beyond ``1 - threshold``, and only shingles that several classes have.
+    """
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = pa.concat_batches([batch.slice(at, 500)])
+            for part in _cut(batch):
                 of, value, weight = shingles(*_runs(part.column("words")), length)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id").take(pa.array(of)), part.column("class").take(pa.array(of)),
@@ -270,9 +330,10 @@ def _rare_shingles(texts, threshold, length):
     order = Window.partitionBy("id").orderBy("df", "shingle")
     before = F.coalesce(F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     whole = F.sum("weight").over(Window.partitionBy("id"))
-    rare = known.withColumn("_before", before).withColumn("_whole", whole)
+    plain = F.max("weight").over(Window.partitionBy("id")) == 1
+    rare = known.withColumn("_before", before).withColumn("_whole", whole).withColumn("plain", plain)
     rare = rare.where(F.col("_before") <= (1 - threshold) * F.col("_whole") + 1e-9)
-    return rare.where("low < high").select("id", "class", "shingle")
+    return rare.where("low < high").select("id", "class", "shingle", (F.col("_before") / F.col("_whole")).alias("share"), F.col("_whole").alias("whole"), "plain")
 
 
 def _distinct_texts(keyed, needed):
@@ -286,12 +347,16 @@ def _distinct_texts(keyed, needed):
     return spark.table(name), name
 
 
+def _number(text):
+    return F.xxhash64(F.coalesce(text, F.lit("")), F.lit(1))
+
+
 def numbered_texts(docs):
     """``docs`` with ``_text``, a 64-bit hash that stands for the text. A null text counts as empty.
 
     Two of n different texts share a number with a probability of n**2 / 2**65: about one pair in ten billion texts.
     """
-    return docs.withColumn("_text", F.xxhash64(F.coalesce(F.col("text"), F.lit("")), F.lit(1)))
+    return docs.withColumn("_text", _number(F.col("text")))
 
 
 def text_classes(docs, threshold=THRESHOLD, length=SHINGLE):
@@ -306,26 +371,40 @@ def text_classes(docs, threshold=THRESHOLD, length=SHINGLE):
     keyed = numbered_texts(docs.select("text")).select(F.col("_text").alias("id"), text.alias("text"))
     signed = write_shared(_bands(keyed, length).dropDuplicates(["id"]), "minhash-signatures")
     buckets = signed.select("id", F.explode("bands").alias("band"))
-    nodes = signed.select("id")
-    shared = write_shared(buckets.join(_shared_buckets(buckets), "band"), "minhash-buckets")
+    shared = write_shared(_shared_buckets(buckets), "minhash-buckets")
     needed = shared.select("id").distinct()
     texts, name = _distinct_texts(keyed, needed)
-
-    led = shared.select("id", F.explode("leaders").alias("leader"))
-    first = _verify(_ordered_pairs(led, "id", "leader"), texts, signed, threshold, length)
-    links = write_shared(first, "minhash-links")
-    known = write_shared(components(nodes, links), "minhash-classes")
-
-    held = write_shared(_open_buckets(shared.select("id", "band"), known), "minhash-open")
+    try:
+        return _linked(signed, shared, texts, threshold, length)
+    finally:
+        spark.sql(f"drop table {name}")
+
+
+def _linked(signed, shared, texts, threshold, length):
+    """Classes and links of the texts, from their signatures, the rows of shared buckets, and the texts in those."""
+    known, links = signed.select("id", F.col("id").alias("class")), None
+    for seed in range(ROUNDS):
+        held = write_shared(_open_buckets(shared, known), "minhash-open")
+        found = write_shared(_verify(_met(held, seed), texts, signed, threshold, length), "minhash-links")
+        links = found if links is None else links.unionByName(found)
+        known = write_shared(joined(known, found), "minhash-classes")
+
+    held = write_shared(_open_buckets(shared, known), "minhash-open")
     small = held.where(F.col("n") <= SMALL_BUCKET)
     large = held.where(F.col("n") > SMALL_BUCKET).select("id", "class").distinct()
     rare = write_shared(_rare_shingles(large.join(texts, "id"), threshold, length), "minhash-rare")
-    pairs = _crossing(small, "band").unionByName(_crossing(rare, "shingle")).distinct()
-    more = write_shared(_verify(pairs, texts, signed, threshold, length), "minhash-links")
-    links = links.unionByName(more)
-    final = write_shared(components(nodes, links), "minhash-classes")
-    spark.sql(f"drop table {name}")
-    return final, links
+    near = _crossing(rare, "shingle", ("share", "whole", "plain")).where(_within(threshold))
+    own = ["a", "b", "class_a", "class_b"]
+    pairs = write_shared(_crossing(small, "band").select(own).unionByName(near.select(own)).distinct(), "minhash-pairs")
+    # A few pairs of each two classes first: most that can be joined are, and their other pairs need no more looking at.
+    by_classes = Window.partitionBy("class_a", "class_b").orderBy(F.xxhash64("a", "b"))
+    few = pairs.withColumn("_n", F.row_number().over(by_classes)).where(F.col("_n") <= FEW).select("a", "b")
+    found = write_shared(_verify(few, texts, signed, threshold, length), "minhash-links")
+    renames = write_shared(_renamed(known, found), "minhash-renames")
+    known, links = write_shared(_apply(known, renames), "minhash-classes"), links.unionByName(found)
+    rest = _apply(_apply(pairs, renames, "class_a"), renames, "class_b").where("class_a <> class_b").select("a", "b")
+    found = write_shared(_verify(rest, texts, signed, threshold, length), "minhash-links")
+    return write_shared(joined(known, found), "minhash-classes"), links.unionByName(found)
 
 
 def dedup_classes(docs, **options):
@@ -350,6 +429,6 @@ def keep(docs, **options):
     head = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_text"))
     heads = keys.join(known, "_text").groupBy("class").agg(head.alias("_head")).select("_head.doc_id", "_head._text")
     heads = write_shared(heads.select(F.col("_text").alias("_kept_text"), F.col("doc_id").alias("_kept_id")), "minhash-heads")
-    rows = numbered_texts(docs)
+    rows = nested(docs, doc_id=F.col("doc_id"), _text=_number(F.col("text")))
     kept = rows.join(heads, (rows["_text"] == heads["_kept_text"]) & rows["doc_id"].eqNullSafe(heads["_kept_id"]), "left_semi")
-    return kept.dropDuplicates(["_text", "doc_id"]).select(*docs.columns)
+    return kept.dropDuplicates(["_text", "doc_id"]).select("_doc.*")

@@ -8,6 +8,7 @@ from itertools import combinations
 import numpy as np
 
 from footfall.llm import minhash
+from footfall.llm.common import parts_of
 
 
 def _weights(text):
@@ -95,3 +96,56 @@ def test_similarity_and_signatures():
         one, two = minhash.signatures(of, values, np.array([*x.values(), *y.values()]), 2, 1024)
         shares.append((one == two).mean() - _similarity(x, y))
     assert abs(np.mean(shares)) < 0.02
+
+
+def test_bound_at_the_first_shared_shingle():
+    """No pair is more similar than its first shared shingle lets it be, in any order of the shingles."""
+    dice = random.Random(4)
+    for _ in range(3000):
+        x, y = (Counter({dice.randrange(12): dice.choice([1, 1, 2, 7]) for _ in range(dice.randint(1, 9))}) for _ in range(2))
+        shared = sorted(x.keys() & y.keys())
+        if shared:
+            u, v = (sum(n for i, n in c.items() if i < shared[0]) / sum(c.values()) for c in (x, y))
+            assert _similarity(x, y) <= (1 - u) * (1 - v) / (1 - u * v) + 1e-12
+            x, y = Counter(x.keys()), Counter(y.keys())
+            most = min(sum(i >= shared[0] for i in c) for c in (x, y))
+            assert _similarity(x, y) <= most / (len(x) + len(y) - most) + 1e-12
+
+
+def test_parts_are_bounded():
+    lengths = np.array([3, 2000, 5, 900, 200, 0], np.int64)
+    assert parts_of(lengths, 500, 1000) == [0, 1, 2, 4, 6]
+    assert parts_of(np.zeros(1200, np.int64), 500, 1000) == [0, 500, 1000, 1200]
+    assert parts_of(np.zeros(0, np.int64), 500, 1000) == [0]
+
+
+def test_many_texts_with_one_passage(spark):
+    """5,000 texts share a passage that puts them into common buckets; every tenth has a near copy."""
+    dice = random.Random(6)
+    word = lambda: "".join(dice.choices("abcdefgh", k=7))
+    passage = [word() for _ in range(60)]
+    rows, expected = [], Counter()
+    for i in range(5000):
+        own = [word() for _ in range(20)]
+        rows.append((i, " ".join(passage + own)))
+        expected[(i, i)] += 1
+        if i % 10 == 0:
+            rows.append((10_000 + i, " ".join(passage + own[:-1] + [word()])))
+            expected[(10_000 + i, i)] += 1
+    assert _found(spark.createDataFrame(rows, "doc_id long, text string")) == expected
+
+
+def test_classes_grow_by_further_links(spark):
+    dice = random.Random(9)
+    ids = list(range(60))
+    parent = {i: i for i in ids}
+
+    def root(i):
+        return i if parent[i] == i else root(parent[i])
+
+    classes = spark.createDataFrame([(i, i) for i in ids], "id long, class long")
+    for links in ([(i, i + 1) for i in range(20)], [(dice.choice(ids), dice.choice(ids)) for _ in range(12)], [], [(59, 0), (0, 59)]):
+        for a, b in links:
+            parent[max(root(a), root(b))] = min(root(a), root(b))
+        classes = minhash.joined(classes, spark.createDataFrame(links, "a long, b long"))
+        assert {row.id: row["class"] for row in classes.collect()} == {i: root(i) for i in ids}
