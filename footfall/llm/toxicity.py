@@ -8,12 +8,15 @@ long text may hold a few toxic lines. A logistic curve, fitted on labelled texts
 these into a score.
 """
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from footfall.llm.common import nested, parts_of
 from footfall.session import write_shared
 
 # Labelled texts of each class, at most and on average, that the models are fitted on.
@@ -23,6 +26,7 @@ DISCOUNT = 0.75
 WINDOWS = (1, 3, 12)
 FOLDS = 3
 START, END = 1, 2
+PART_ROWS, PART_WORDS = 2000, 300_000  # of texts that are scored together; one longer text is a part of its own
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -37,76 +41,94 @@ def _words(text):
     return F.filter(split, lambda word: word != "")
 
 
-def _grams(words):
-    """Hashes of the last 1 to ORDER letters at each letter of each word (0 where the word has fewer), the places of
-    the letters among them, their places in their words, and the bounds of the words. A start and an end sign count as
-    letters; the hash of n letters without the last is that of n - 1 letters one place before."""
-    lengths = np.array([len(word) for word in words], np.int64) + 2
-    ends = np.cumsum(lengths)
-    codes = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint64)
-    starts = ends - lengths
-    inner = np.ones(len(codes), bool)
-    codes[starts], codes[ends - 1] = START, END
-    inner[starts] = inner[ends - 1] = False
-    codes[inner] = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-    at = np.arange(len(codes)) - np.repeat(starts, lengths)
-    keys = np.zeros((ORDER + 1, len(codes)), np.uint64)
-    with np.errstate(over="ignore"):
-        keys[0] = STEP
-        for n in range(1, ORDER + 1):
-            reach = at >= n - 1
-            x = keys[n - 1][reach] * STEP + codes[np.flatnonzero(reach) - (n - 1)] + np.uint64(n)
+class Grams:
+    """The letters of words, with a start and an end sign, and hashes of the last 1 to ORDER of them.
+
+    ``letters`` are the places of all letters but the start sign, ``at`` their places in their words, ``bounds`` the
+    bounds of the words among them. Two lengths of hashes are held at a time: ``ends`` of the last n letters at each
+    place (0 where the word has fewer), ``before`` of the last n - 1. The hash of n letters without the last is that of
+    n - 1 letters one place before.
+    """
+
+    def __init__(self, words):
+        lengths = np.array([len(word) for word in words], np.int64) + 2
+        ends = np.cumsum(lengths)
+        starts = ends - lengths
+        self.codes = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint32)
+        inner = np.ones(len(self.codes), bool)
+        self.codes[starts], self.codes[ends - 1] = START, END
+        inner[starts] = inner[ends - 1] = False
+        self.codes[inner] = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        self.place = (np.arange(len(self.codes)) - np.repeat(starts, lengths)).astype(np.int32)
+        self.letters = np.flatnonzero(self.place > 0)  # the start sign is given
+        self.at = self.place[self.letters]
+        self.bounds = np.append(0, np.cumsum(lengths - 1))
+        self.before, self.ends = None, np.full(len(self.codes), STEP)
+
+    def longer(self):
+        """Go on to hashes of one letter more."""
+        n = 1 if self.before is None else self.n + 1
+        self.n, self.before = n, self.ends
+        reach = np.flatnonzero(self.place >= n - 1)
+        self.ends = np.zeros(len(self.codes), np.uint64)
+        with np.errstate(over="ignore"):
+            x = self.before[reach] * STEP + self.codes[reach - (n - 1)].astype(np.uint64) + np.uint64(n)
             x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
             x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-            keys[n][reach] = x ^ (x >> np.uint64(31))
-    letters = np.flatnonzero(at > 0)  # the start sign is given
-    return keys, letters, at[letters], np.append(0, np.cumsum(lengths - 1))
+            self.ends[reach] = x ^ (x >> np.uint64(31))
 
 
 class Models:
     """Both models, from the words of each class and the number of texts that hold each (columns toxic, ordinary)."""
 
     def __init__(self, words, counts):
-        keys, letter, at, bounds = _grams(words)
-        word = np.repeat(np.arange(len(words), dtype=np.int32), np.diff(bounds))
+        grams = Grams(words)
+        word = np.repeat(np.arange(len(words), dtype=np.int32), np.diff(grams.bounds))
+        # Of each length: the grams, where each first ends, their texts, their contexts, and what they are without the first letter.
         raw = {}
-        for n in range(ORDER, 0, -1):
-            own = np.flatnonzero(at >= n - 1)
-            grams, first, of = np.unique(keys[n][letter[own]], return_index=True, return_inverse=True)
-            totals = np.stack([np.bincount(of, counts[word[own], c], len(grams)) for c in (0, 1)], 1)
-            raw[n] = grams, own[first], totals
+        for n in range(1, ORDER + 1):
+            grams.longer()
+            own = np.flatnonzero(grams.at >= n - 1)
+            found, first, of = np.unique(grams.ends[grams.letters[own]], return_index=True, return_inverse=True)
+            totals = np.stack([np.bincount(of, counts[word[own], c], len(found)) for c in (0, 1)], 1)
+            first = own[first]
+            there = grams.letters[first]
+            raw[n] = found, grams.at[first] == n - 1, totals, grams.before[there - 1], grams.before[there]
+        del grams, word
         self.tables = {}
         for n in range(ORDER, 1, -1):
-            grams, place, totals = raw[n]
+            found, whole, totals, context, _ = raw[n]
             if n < ORDER:
                 # How many letters come before: continuation counts. Grams at a word's start have none before them.
-                _, longer, seen = raw[n + 1]
-                which = np.searchsorted(grams, keys[n][letter[longer]])
-                extended = np.stack([np.bincount(which, seen[:, c] > 0, len(grams)) for c in (0, 1)], 1)
-                totals = np.where((at[place] == n - 1)[:, None], totals, extended)
-            contexts, of = np.unique(keys[n - 1][letter[place] - 1], return_inverse=True)
+                _, _, seen, _, shorter = raw[n + 1]
+                which = np.searchsorted(found, shorter)
+                extended = np.stack([np.bincount(which, seen[:, c] > 0, len(found)) for c in (0, 1)], 1)
+                totals = np.where(whole[:, None], totals, extended)
+            contexts, of = np.unique(context, return_inverse=True)
             sums = np.stack([np.bincount(of, totals[:, c], len(contexts)) for c in (0, 1)], 1)
             kinds = np.stack([np.bincount(of, totals[:, c] > 0, len(contexts)) for c in (0, 1)], 1)
             share = np.maximum(totals - DISCOUNT, 0) / np.maximum(sums[of], 1)
             back = np.where(sums > 0, DISCOUNT * kinds / np.maximum(sums, 1), 1.0)
-            self.tables[n] = grams, _padded(share, 0.0), contexts, _padded(back, 1.0)
-        letters, _, _ = raw[1]
-        _, longer, _ = raw[2]
-        either = np.bincount(np.searchsorted(letters, keys[1][letter[longer]]), minlength=len(letters)) + 1.0
+            self.tables[n] = found, _padded(share, 0.0), contexts, _padded(back, 1.0)
+        letters = raw[1][0]
+        either = np.bincount(np.searchsorted(letters, raw[2][4]), minlength=len(letters)) + 1.0
         self.letters, self.shared = letters, np.append(either, 1.0) / (either.sum() + 1)
 
     def gains(self, words):
         """Log-likelihood ratio of each word."""
         if not words:
             return np.zeros(0)
-        keys, letter, at, bounds = _grams(words)
-        likely = np.repeat(self.shared[_find(self.letters, keys[1][letter])][:, None], 2, axis=1)
+        grams = Grams(words)
+        grams.longer()
+        likely = np.repeat(self.shared[_find(self.letters, grams.ends[grams.letters])][:, None], 2, axis=1)
         for n in range(2, ORDER + 1):
-            own = np.flatnonzero(at >= n - 1)
-            grams, share, contexts, back = self.tables[n]
-            likely[own] = share[_find(grams, keys[n][letter[own]])] + back[_find(contexts, keys[n - 1][letter[own] - 1])] * likely[own]
+            grams.longer()
+            own = np.flatnonzero(grams.at >= n - 1)
+            there = grams.letters[own]
+            known, share, contexts, back = self.tables[n]
+            likely[own] = share[_find(known, grams.ends[there])] + back[_find(contexts, grams.before[there - 1])] * likely[own]
         ratio = np.log(likely[:, 0]) - np.log(likely[:, 1])
-        return np.add.reduceat(ratio, bounds[:-1])
+        return np.add.reduceat(ratio, grams.bounds[:-1])
 
     def features(self, lists):
         """A row for each text of an Arrow column of word lists: the mean gain of its words, the best mean of each
@@ -180,32 +202,37 @@ def train(docs, labels, sample=SAMPLE):
     each = rows.select("toxic", "fold", F.explode(F.array_distinct("words")).alias("word"))
     texts = [F.count_if((F.col("toxic") == toxic) & (F.col("fold") == fold)) for fold in range(FOLDS) for toxic in (1, 0)]
     named = [column.alias(f"n{i}") for i, column in enumerate(texts)]
-    # The different words of the bounded sample.
-    table = each.groupBy("word").agg(*named).orderBy("word").toPandas()
-    if not len(table):
+    # The different words of the bounded sample. The driver only passes their counts on: whoever scores makes the model.
+    table = each.groupBy("word").agg(*named).orderBy("word").toArrow()
+    if not table.num_rows:
         return None
-    counts = table.drop(columns="word").to_numpy(float).reshape(-1, FOLDS, 2)
-    words = table["word"].to_numpy(object)
-    models = [_fit(words, counts.sum(axis=1) - counts[:, fold]) for fold in range(FOLDS)]
-    context = docs.sparkSession.sparkContext
-    others, final = context.broadcast(models), context.broadcast(_fit(words, counts.sum(axis=1)))
+    counts = np.column_stack([table.column(f"n{i}").to_numpy() for i in range(2 * FOLDS)]).astype(float).reshape(-1, FOLDS, 2)
+    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, table.column("word").combine_chunks(), counts))
 
-    def run(batches):
-        for batch in batches:
-            folds = batch.column("fold").to_numpy()
-            for fold in np.unique(folds):
-                own = batch.filter(pa.array(folds == fold))
-                found = others.value[fold].features(own.column("words"))
-                rows = pa.array(list(found), pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([own.column("toxic").cast(pa.int32()), rows], names=["toxic", "x"])
+    def run(of_fold):
+        fold = of_fold.column("fold")[0].as_py()
+        found = model_of(shared, fold).features(of_fold.column("words"))
+        rows = pa.array(list(found), pa.list_(pa.float64()))
+        return pa.table({"toxic": of_fold.column("toxic").cast(pa.int32()), "x": rows})
+
+    # A group is a fold of the bounded sample, and each needs one model.
+    found = rows.select("words", "toxic", "fold").groupBy("fold").applyInArrow(run, "toxic int, x array<double>").collect()
+    found = sorted(found, key=lambda row: (row.toxic, row.x))
+    return shared, _logistic(np.array([row.x for row in found]), np.array([row.toxic for row in found], float))
 
-    found = rows.select("words", "toxic", "fold").mapInArrow(run, "toxic int, x array<double>").collect()  # the sample
-    return final, _logistic(np.array([row.x for row in found]), np.array([row.toxic for row in found], float))
 
+_made = {}
 
-def _fit(words, counts):
-    held = counts.sum(axis=1) > 0
-    return Models(words[held].tolist(), counts[held])
+
+def model_of(shared, fold=None):
+    """The models of all folds but one, or of all, made once by each Python worker from the broadcast words and counts."""
+    name, words, counts = shared.value
+    if (name, fold) not in _made:
+        _made.clear()  # one at a time is held
+        texts = counts.sum(axis=1) - (0 if fold is None else counts[:, fold])
+        held = texts.sum(axis=1) > 0
+        _made[name, fold] = Models(words.filter(pa.array(held)).to_pylist(), texts[held])
+    return _made[name, fold]
 
 
 def score(docs, scorer, name="score"):
@@ -219,18 +246,16 @@ def score(docs, scorer, name="score"):
 
     def run(batches):
         for batch in batches:
-            rows = []
-            for at in range(0, batch.num_rows, 2000):
-                x = (shared.value.features(batch.column("_words").slice(at, 2000)) - mean) / spread
-                rows.append(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -500, 500))))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(rows))], schema=_schema(batch.schema, name))
-
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
-    return docs.withColumn("_words", _words(F.col("text"))).mapInArrow(run, schema)
-
+            words = batch.column("_words")
+            parts = parts_of(pc.list_value_length(words).to_numpy(zero_copy_only=False), PART_ROWS, PART_WORDS)
+            for start, end in zip(parts, parts[1:]):
+                x = (model_of(shared).features(words.slice(start, end - start)) - mean) / spread
+                found = 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -500, 500)))
+                yield pa.RecordBatch.from_arrays([batch.column("_doc").slice(start, end - start), pa.array(found)], names=["_doc", "_found"])
 
-def _schema(schema, name):
-    return pa.schema([*list(schema)[:-1], pa.field(name, pa.float64())])
+    rows = nested(docs, _words=_words(F.col("text")))
+    found = rows.mapInArrow(run, T.StructType([rows.schema["_doc"], T.StructField("_found", T.DoubleType())]))
+    return found.select(*[F.col("_doc")[column].alias(column) for column in docs.columns if column != name], F.col("_found").alias(name))
 
 
 def predictions(docs, labels):
@@ -242,5 +267,5 @@ def predictions(docs, labels):
 
 def keep(docs, labels):
     """The documents that are not predicted toxic, with all their columns."""
-    scored = score(docs, train(docs, labels), "_score")
-    return scored.where(F.col("_score") < 0.5).select(*docs.columns)
+    scored = score(nested(docs, text=F.col("text")), train(docs, labels))
+    return scored.where(F.col("score") < 0.5).select("_doc.*")
