@@ -75,7 +75,10 @@ def _usable(vectors, id_column, vector):
 
 
 def _ordered(points, dims, seed):
-    """Rows (curve, id, query, v) of every curve, with their place ``pos`` in the order by curve and place on it."""
+    """Rows (curve, id, query) of every curve, with their place ``pos`` in the order by curve and place on it.
+
+    Vectors stay behind: a curve orders some twenty bytes a row.
+    """
     sample = points.where("not query").orderBy(F.xxhash64("id")).limit(SAMPLE)
     base = _stack(sample.select("v").toPandas()["v"], dims)
     largest = points.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x))).alias("m")).first().m
@@ -97,11 +100,11 @@ def _ordered(points, dims, seed):
                 cells = np.minimum((unit + shifts[number]) / 2 * (1 << BITS), (1 << BITS) - 1).astype(np.int64)
                 keys = hilbert(cells, BITS)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(v), number, np.int32)), pa.array(keys), *map(batch.column, ("id", "query", "v"))],
-                    names=["curve", "key", "id", "query", "v"],
+                    [pa.array(np.full(len(v), number, np.int32)), pa.array(keys), *map(batch.column, ("id", "query"))],
+                    names=["curve", "key", "id", "query"],
                 )
 
-    keyed = points.select("id", "query", "v").mapInArrow(run, "curve int, key long, id long, query boolean, v array<double>")
+    keyed = points.select("id", "query", "v").mapInArrow(run, "curve int, key long, id long, query boolean")
     order = ["curve", "key", "id", "query"]
     ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
 
@@ -110,16 +113,16 @@ def _ordered(points, dims, seed):
         for batch in batches:
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at, at + n)), *map(batch.column, ("curve", "id", "query", "v"))],
-                names=["part", "at", "curve", "id", "query", "v"],
+                [pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at, at + n)), *map(batch.column, ("curve", "id", "query"))],
+                names=["part", "at", "curve", "id", "query"],
             )
             at += n
 
-    stored = write_shared(ranged.mapInArrow(place, "part int, at long, curve int, id long, query boolean, v array<double>"), "hilbert")
+    stored = write_shared(ranged.mapInArrow(place, "part int, at long, curve int, id long, query boolean"), "hilbert")
     sizes = stored.groupBy("part").agg(F.count("*").alias("n"))  # a row for each partition
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    return stored.join(offsets, "part").select("curve", "id", "query", "v", (F.col("offset") + F.col("at")).alias("pos"))
+    return stored.join(offsets, "part").select("curve", "id", "query", (F.col("offset") + F.col("at")).alias("pos"))
 
 
 def _lift(v, query, largest):
@@ -203,15 +206,16 @@ def search(vectors, is_query, id_column="vec_id", vector="embedding", k=NEAREST,
     the original vectors in double precision; ties go to the smaller id. Null ids and vectors that are null, zero,
     of another length than most, or hold null or non-finite components take no part. Equal vectors stand for each
     other on the curves: each different vector is placed once, and its k + 1 smallest ids are put back at the end, so
-    a vector that a third of all rows share fills no window. Rows that repeat an id are one.
+    a vector that a third of all rows share fills no window. Rows that repeat an id are one, the one whose vector comes first
+    in the order of components.
     """
     rows, dims = _usable(vectors, id_column, vector)
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
     if not dims:
         return spark.createDataFrame([], schema)
-    rows = rows.dropDuplicates(["id"])
-    rows = write_shared(rows.select("id", F.transform("v", lambda x: x.cast("double")).alias("v")), "vectors")
+    rows = rows.groupBy("id").agg(F.min("v").alias("v"))
+    rows = write_shared(rows, "vectors")
     ranked = rows.withColumn("n", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("n") <= k + 1)
     distinct = write_shared(ranked.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")), "vectors")
     heads = distinct.select(F.col("ids")[0].alias("id"), "v", "ids")
@@ -219,6 +223,7 @@ def search(vectors, is_query, id_column="vec_id", vector="embedding", k=NEAREST,
     asked = write_shared(asked, "queries")
     query_heads = asked.select(F.col("head").alias("id")).distinct().join(heads, "id")
     points = heads.select("id", "v", F.lit(False).alias("query")).unionByName(query_heads.select("id", "v", F.lit(True).alias("query")))
+    points = write_shared(points, "points")
 
     placed = _ordered(points, dims, seed)
     block, reach, n = _windows(placed, points, dims, k)
@@ -233,8 +238,8 @@ def search(vectors, is_query, id_column="vec_id", vector="embedding", k=NEAREST,
     tiles = max(1, math.ceil(share * ((2 * reach + 1) * block if reach else n) / TILE))
     # Candidates stand in every tile of their block, a query in one tile of the blocks that it meets.
     tile = F.when(F.col("query"), F.array(F.pmod(F.xxhash64("id"), F.lit(tiles)))).otherwise(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long")))
-    met = placed.select(F.explode(F.when(F.col("query"), beside).otherwise(F.array("block"))).alias("block"), tile.alias("tile"), "curve", "id", "query", "v")
-    met = met.withColumn("tile", F.explode("tile"))
+    met = placed.select(F.explode(F.when(F.col("query"), beside).otherwise(F.array("block"))).alias("block"), tile.alias("tile"), "curve", "id", "query")
+    met = met.withColumn("tile", F.explode("tile")).join(points, ["id", "query"])
     # Blocks of one curve only, so that no vector is twice in a group, which holds at most a block of candidates and a tile of queries.
     found = met.groupBy("curve", "block", "tile").applyInPandas(_scores(dims, k), "query_id long, vec_id long, score double")
     found = found.dropDuplicates(["query_id", "vec_id"])
