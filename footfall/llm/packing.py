@@ -9,7 +9,7 @@ from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import binary_column
+from footfall.llm.common import binary_column, released
 from footfall.llm.encoded import encoded, id_type
 from footfall.session import shared_folder, write_shared
 
@@ -104,7 +104,7 @@ def pieces(docs, path, end_id, size, payload="ids"):
 
     path_out = shared_folder(docs.sparkSession, "pieces")
     cut = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, start long, length long, doc_tokens long, task long, rank long, "
+        released(run), "doc_id long, start long, length long, doc_tokens long, task long, rank long, "
         + ("ids binary" if payload == "ids" else "ids_crc32 long")
     )
     cut.write.parquet(path_out)

@@ -14,6 +14,8 @@ from footfall.llm import (
     toxicity, urls,
 )
 
+# Rows that a Python worker gets at once. Rows here hold whole texts, and each worker and its executor hold a batch or two.
+BATCH_ROWS = 4000
 ROOT = Path(__file__).resolve().parents[2]
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -21,7 +23,10 @@ _shipped = set()
 
 
 def ship(spark):
-    """Let Python workers import this package, as ``--py-files`` does, unless they find it already."""
+    """Let Python workers import this package, as ``--py-files`` does, unless they find it already, and get small batches."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     context = spark.sparkContext
     found = {Path(p).resolve() for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)] if p}
     if ROOT in found or context.applicationId in _shipped:

@@ -6,13 +6,14 @@ log-likelihood ratio per character is above a threshold at which few of the ordi
 """
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from footfall.llm.common import slices, texts_of
+from footfall.llm.common import release, released, slices, texts_of
 from footfall.session import write_shared
 
 # The base patterns, in the order in which spans of equal start are listed.
@@ -104,7 +105,7 @@ def scan(docs):
                     names=["doc_id", "base", "runs", "values"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCANNED)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(released(run), SCANNED)
 
 
 def _matrix(samples):
@@ -118,7 +119,7 @@ def _matrix(samples):
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
 
-    cells = samples.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    cells = samples.mapInArrow(released(run), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     out = np.zeros(SIZE * SIZE)
     for row in cells.collect():  # at most SIZE**2 rows
         out[row.cell] = row.n
@@ -232,7 +233,7 @@ def redact(docs, mask="[SECRET]"):
     (random, plain), threshold = train(write_shared(scan(docs), "secrets"))
 
     @F.pandas_udf("string")
-    def clean(texts: pd.Series) -> pd.Series:
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         def one(text):
             if text is None:
                 return None
@@ -247,7 +248,9 @@ def redact(docs, mask="[SECRET]"):
                 at = max(at, end)
             return "".join([*out, text[at:]])
 
-        return texts.map(one)
+        for texts in batches:
+            yield texts.map(one)
+        release()
 
     masked = docs.withColumn("text", clean("text"))
     return masked.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else masked

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.llm.common import nested, parts_of
+from footfall.llm.common import nested, parts_of, release, released
 from footfall.session import write_shared
 
 # Labelled texts of each class, at most and on average, that the models are fitted on.
@@ -27,6 +27,7 @@ WINDOWS = (1, 3, 12)
 FOLDS = 3
 START, END = 1, 2
 PART_ROWS, PART_WORDS = 2000, 300_000  # of texts that are scored together; one longer text is a part of its own
+GAIN_WORDS = 20_000  # different words whose grams are held at a time
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -84,8 +85,9 @@ class Models:
     def __init__(self, words, counts):
         grams = Grams(words)
         word = np.repeat(np.arange(len(words), dtype=np.int32), np.diff(grams.bounds))
-        # Of each length: the grams, where each first ends, their texts, their contexts, and what they are without the first letter.
-        raw = {}
+        # Of each length: the grams, whether they begin a word, their texts, their contexts, and what they are without the
+        # first letter. The table of a length needs that of one letter more, so two lengths are held at a time.
+        self.tables, held = {}, None
         for n in range(1, ORDER + 1):
             grams.longer()
             own = np.flatnonzero(grams.at >= n - 1)
@@ -93,31 +95,40 @@ class Models:
             totals = np.stack([np.bincount(of, counts[word[own], c], len(found)) for c in (0, 1)], 1)
             first = own[first]
             there = grams.letters[first]
-            raw[n] = found, grams.at[first] == n - 1, totals, grams.before[there - 1], grams.before[there]
-        del grams, word
-        self.tables = {}
-        for n in range(ORDER, 1, -1):
-            found, whole, totals, context, _ = raw[n]
-            if n < ORDER:
-                # How many letters come before: continuation counts. Grams at a word's start have none before them.
-                _, _, seen, _, shorter = raw[n + 1]
-                which = np.searchsorted(found, shorter)
-                extended = np.stack([np.bincount(which, seen[:, c] > 0, len(found)) for c in (0, 1)], 1)
-                totals = np.where(whole[:, None], totals, extended)
-            contexts, of = np.unique(context, return_inverse=True)
-            sums = np.stack([np.bincount(of, totals[:, c], len(contexts)) for c in (0, 1)], 1)
-            kinds = np.stack([np.bincount(of, totals[:, c] > 0, len(contexts)) for c in (0, 1)], 1)
-            share = np.maximum(totals - DISCOUNT, 0) / np.maximum(sums[of], 1)
-            back = np.where(sums > 0, DISCOUNT * kinds / np.maximum(sums, 1), 1.0)
-            self.tables[n] = found, _padded(share, 0.0), contexts, _padded(back, 1.0)
-        letters = raw[1][0]
-        either = np.bincount(np.searchsorted(letters, raw[2][4]), minlength=len(letters)) + 1.0
-        self.letters, self.shared = letters, np.append(either, 1.0) / (either.sum() + 1)
+            one = found, grams.at[first] == n - 1, totals, grams.before[there - 1], grams.before[there]
+            del own, of, first, there
+            if n == 2:
+                self.letters = held[0]
+                either = np.bincount(np.searchsorted(self.letters, one[4]), minlength=len(self.letters)) + 1.0
+                self.shared = np.append(either, 1.0) / (either.sum() + 1)
+            elif n > 2:
+                self.tables[n - 1] = self._table(held, one)
+            held = one
+        self.tables[ORDER] = self._table(held, None)
+
+    @staticmethod
+    def _table(raw, longer):
+        """Grams with their shares, and contexts with their back-off weights, of both classes."""
+        found, whole, totals, context, _ = raw
+        if longer is not None:
+            # How many letters come before: continuation counts. Grams at a word's start have none before them.
+            _, _, seen, _, shorter = longer
+            which = np.searchsorted(found, shorter)
+            extended = np.stack([np.bincount(which, seen[:, c] > 0, len(found)) for c in (0, 1)], 1)
+            totals = np.where(whole[:, None], totals, extended)
+        contexts, of = np.unique(context, return_inverse=True)
+        sums = np.stack([np.bincount(of, totals[:, c], len(contexts)) for c in (0, 1)], 1)
+        kinds = np.stack([np.bincount(of, totals[:, c] > 0, len(contexts)) for c in (0, 1)], 1)
+        share = np.maximum(totals - DISCOUNT, 0) / np.maximum(sums[of], 1)
+        back = np.where(sums > 0, DISCOUNT * kinds / np.maximum(sums, 1), 1.0)
+        return found, _padded(share, 0.0), contexts, _padded(back, 1.0)
 
     def gains(self, words):
         """Log-likelihood ratio of each word."""
-        if not words:
-            return np.zeros(0)
+        parts = [self._gains(words[at:at + GAIN_WORDS]) for at in range(0, len(words), GAIN_WORDS)]
+        return np.concatenate(parts) if parts else np.zeros(0)
+
+    def _gains(self, words):
         grams = Grams(words)
         grams.longer()
         likely = np.repeat(self.shared[_find(self.letters, grams.ends[grams.letters])][:, None], 2, axis=1)
@@ -232,6 +243,7 @@ def model_of(shared, fold=None):
         texts = counts.sum(axis=1) - (0 if fold is None else counts[:, fold])
         held = texts.sum(axis=1) > 0
         _made[name, fold] = Models(words.filter(pa.array(held)).to_pylist(), texts[held])
+        release()
     return _made[name, fold]
 
 
@@ -254,7 +266,7 @@ def score(docs, scorer, name="score"):
                 yield pa.RecordBatch.from_arrays([batch.column("_doc").slice(start, end - start), pa.array(found)], names=["_doc", "_found"])
 
     rows = nested(docs, _words=_words(F.col("text")))
-    found = rows.mapInArrow(run, T.StructType([rows.schema["_doc"], T.StructField("_found", T.DoubleType())]))
+    found = rows.mapInArrow(released(run), T.StructType([rows.schema["_doc"], T.StructField("_found", T.DoubleType())]))
     return found.select(*[F.col("_doc")[column].alias(column) for column in docs.columns if column != name], F.col("_found").alias(name))
 
 
