@@ -15,6 +15,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import functions as F
 
+from footfall.llm.common import released
 from footfall.operators import top_k_per_group
 from footfall.session import write_shared
 
@@ -26,7 +27,7 @@ BLOOM_BITS = 27
 TILE_BITS = 9
 DENSE = 1 << (2 * TILE_BITS - 4)  # pairs that make a tile dense
 SLICE_BYTES = 2_000_000
-FLUSH_TOKENS = 1_000_000
+FLUSH_TOKENS = 500_000
 BATCH_ROWS = 50_000
 UNKNOWN = "und"
 MILLION = 1_000_000
@@ -113,7 +114,7 @@ def count_words(docs, least):
             yield from _rows(lang, word=tokens.words.cast(pa.binary()), f=counts)
             yield from _rows(lang, word=pa.nulls(1, pa.binary()), f=[len(tokens)])
 
-    part = _source(docs).mapInArrow(run, "lang string, word binary, f long")
+    part = _source(docs).mapInArrow(released(run), "lang string, word binary, f long")
     total = part.groupBy("lang", "word").agg(F.sum("f").alias("f"))
     return total.where(F.col("word").isNull() | (F.col("f") >= least)).withColumn("word", F.col("word").cast("string"))
 
@@ -186,7 +187,7 @@ def bloom_of(table, key):
                 yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(words.view(np.int64))], names=["slot", "bits"])
 
     own = F.col(key) if key == "key" else F.col(key).cast("binary")
-    set_bits = table.select("lang", own.alias("key")).mapInArrow(run, "slot long, bits long")
+    set_bits = table.select("lang", own.alias("key")).mapInArrow(released(run), "slot long, bits long")
     words = set_bits.groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
     return Bloom(words.column("slot").to_numpy(), words.column("bits").to_numpy())
 
@@ -276,7 +277,7 @@ def _count_phrases(docs, length, put, key_of):
         for lang, tally in tallies.items():
             yield from tally.rows(lang, key_of(lang))
 
-    part = _source(docs).mapInArrow(run, PHRASES)
+    part = _source(docs).mapInArrow(released(run), PHRASES)
     return part.groupBy("lang", "key", "phrase").agg(F.sum("a").alias("a"))
 
 
@@ -301,7 +302,7 @@ def _as_words(counted, numbers, length):
                 names=["lang", *names, "key", "a"],
             )
 
-    return counted.mapInArrow(run, f"lang string, {', '.join(f'{n} string' for n in names)}, key long, a long")
+    return counted.mapInArrow(released(run), f"lang string, {', '.join(f'{n} string' for n in names)}, key long, a long")
 
 
 def _others(numbers, opens, length):

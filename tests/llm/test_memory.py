@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from footfall.llm import common, toxicity
+from footfall.llm import collocations, common, toxicity
 from footfall.llm.queries import BATCH_ROWS, ship
 
 
@@ -60,3 +60,10 @@ def test_gains_in_parts(monkeypatch):
     whole = models.gains(asked)
     monkeypatch.setattr(toxicity, "GAIN_WORDS", 4)
     assert (models.gains(asked) == whole).all() and len(models.gains([])) == 0
+
+
+def test_phrase_tasks_release(spark, docs, monkeypatch):
+    wrapped = []
+    monkeypatch.setattr(collocations, "released", lambda run: wrapped.append(run) or run)
+    collocations.count_words(docs, 10)
+    assert len(wrapped) == 1
