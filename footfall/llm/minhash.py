@@ -10,7 +10,7 @@ Candidates come in three steps, none of which forms all pairs of a group:
 
 1. In a few rounds every text meets one other, the next one of a bucket in a random order, if that is in another class.
    Verified pairs join classes; as partners are others in each round, groups of near copies melt even where no text is near
-   to all others, and a round has no more pairs than texts.
+   to all others, and a round has no more pairs than texts. Rounds end early when hardly a pair joins classes.
 2. In buckets that still hold several classes, texts of different classes meet, if the bucket is small.
 3. In large ones texts meet where the rarest part of their shingles does. Say a pair's first shared shingle, in the order of
    frequency, comes after the shares u and v of their weights. None of these is shared, so
@@ -24,6 +24,7 @@ Candidates come in three steps, none of which forms all pairs of a group:
 """
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,13 +32,14 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import nested, parts_of, words
+from footfall.llm.common import nested, parts_of, release, released, words
 from footfall.session import write_shared
 
 SHINGLE, THRESHOLD = 5, 0.8
 # A pair of similarity 0.8 meets in no bucket with probability (1 - 0.8**5)**26 = 3e-5.
 BANDS, ROWS = 26, 5
 ROUNDS = 6
+LEAST_YIELD = 0.02  # share of a round's pairs that join classes, for another round
 FEW = 24  # pairs of each two classes
 STRETCH = 1000  # texts of a bucket that are put in order together, about
 SMALL_BUCKET = 12
@@ -162,7 +164,7 @@ def _bands(texts, length):
                 sig = [row.tobytes() for row in (found & np.uint64(0xFFFF)).astype("<u2")]
                 yield pa.RecordBatch.from_arrays([part.column("id"), lists, pa.array(sig, pa.binary())], names=["id", "bands", "sig"])
 
-    return texts.select("id", _hashes(F.col("text")).alias("words")).mapInArrow(run, "id long, bands array<long>, sig binary")
+    return texts.select("id", _hashes(F.col("text")).alias("words")).mapInArrow(released(run), "id long, bands array<long>, sig binary")
 
 
 def _agreement():
@@ -178,8 +180,7 @@ def _agreement():
 
 
 def _exact(length):
-    @F.pandas_udf("double")
-    def similar(left: pd.Series, right: pd.Series) -> pd.Series:
+    def similar(left, right):
         out = []
         lengths = left.map(len).to_numpy(np.int64) + right.map(len).to_numpy(np.int64)
         parts = parts_of(lengths, PART_ROWS, PART_WORDS)
@@ -196,20 +197,42 @@ def _exact(length):
                 out.append(similarity(value[x], weight[x], value[y], weight[y]))
         return pd.Series(out, dtype=float)
 
-    return similar
+    @F.pandas_udf("double")
+    def of_batches(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for left, right in batches:
+            yield similar(left, right)
+        release()
+
+    return of_batches
+
+
+def _verify(pairs, texts, threshold, length):
+    """Links (a, b, class_a, class_b, similarity) among candidate pairs: screened by signature, then measured on the
+    whole texts. ``texts`` is bucketed by id, so only pairs are shuffled."""
+    names = ["a", "b", "class_a", "class_b"]
+    own = lambda name, column: texts.select(F.col("id").alias(name), F.col(column).alias(f"{column}_{name}"))
+    screened = pairs.select(names).join(own("a", "sig"), "a").join(own("b", "sig"), "b")
+    screened = write_shared(screened.where(_agreement()("sig_a", "sig_b") >= SCREEN).select(names), "minhash-screened")
+    measured = screened.join(own("a", "text"), "a").join(own("b", "text"), "b")
+    score = _exact(length)(_hashes(F.col("text_a")), _hashes(F.col("text_b")))
+    found = measured.select(*names, score.alias("similarity")).where(F.col("similarity") >= threshold)
+    return write_shared(found, "minhash-links")
 
 
-def _verify(pairs, texts, signed, threshold, length):
-    """Links (a, b) among candidate pairs: screened by signature, then measured on the whole texts."""
-    own = lambda df, name, column: df.select(F.col("id").alias(name), F.col(column).alias(f"{column}_{name}"))
-    screened = (
-        pairs.join(own(signed, "a", "sig"), "a").join(own(signed, "b", "sig"), "b")
-        .where(_agreement()("sig_a", "sig_b") >= SCREEN).select("a", "b")
-    )
-    screened = write_shared(screened, "minhash-screened")
-    measured = screened.join(own(texts, "a", "text"), "a").join(own(texts, "b", "text"), "b")
-    score = _exact(length)(_hashes(F.col("text_a")), _hashes(F.col("text_b")))
-    return measured.select("a", "b", score.alias("similarity")).where(F.col("similarity") >= threshold)
+def _few(df):
+    """``df``, narrow rows of which there are few beside the texts, in no more parts than the cluster has cores."""
+    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def _hooked(links):
+    """(id, to): every id of links (a, b) and one that it reaches, no larger: the smallest neighbour's, if that is smaller.
+
+    One step, not a whole closure; each other step then has fewer classes to join.
+    """
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = write_shared(_few(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("id"), F.least("a", "b").alias("to"))), "labels")
+    of = near.select(F.col("id").alias("to"), F.col("to").alias("further"))
+    return write_shared(_few(near.join(of, "to").select("id", F.col("further").alias("to"))), "labels")
 
 
 def _labels(links):
@@ -219,9 +242,9 @@ def _labels(links):
     round. Each round is written to the shared folder.
     """
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = write_shared(both, "links")
-    linked = both.select(F.col("a").alias("id")).distinct()
-    labels = write_shared(linked.withColumn("class", F.col("id")), "labels")
+    both = write_shared(_few(both), "links")
+    # The first round: the smallest neighbour.
+    labels = write_shared(_few(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("id"), F.least("a", "b").alias("class"))), "labels")
     while True:
         near = (
             both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("class").alias("near"))
@@ -229,21 +252,16 @@ def _labels(links):
         lowered = labels.join(near, labels["id"] == near["a"]).select("id", "class", F.least("class", "near").alias("to"))
         of = labels.select(F.col("id").alias("to"), F.col("class").alias("further"))
         moved = lowered.join(of, "to").select("id", F.least("to", "further").alias("new"), "class")
-        moved = write_shared(moved, "labels")
+        moved = write_shared(_few(moved), "labels")
         changed = moved.where(F.col("new") != F.col("class")).limit(1).count()
         labels = moved.select("id", F.col("new").alias("class"))
         if not changed:
             return labels
 
 
-def _renamed(classes, links):
-    """(class, to): the classes that further links (a, b) between ids join into others, and the smallest id of each.
-
-    Only links between different classes count, so what is joined already is not followed again.
-    """
-    of = lambda name: classes.select(F.col("id").alias(name), F.col("class").alias(f"class_{name}"))
-    crossing = links.select("a", "b").join(of("a"), "a").join(of("b"), "b").where("class_a <> class_b")
-    labels = _labels(crossing.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")))
+def _renamed(links):
+    """(class, to): the classes that links between classes (class_a, class_b) join into others, and the smallest of each."""
+    labels = _labels(links.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).where("a <> b"))
     return labels.select(F.col("id").alias("class"), F.col("class").alias("to"))
 
 
@@ -256,38 +274,40 @@ def _apply(rows, renames, name="class"):
 
 def joined(classes, links):
     """``classes`` (id, class) after further links (a, b) between ids: a class is named by its smallest id."""
-    return _apply(classes, _renamed(classes, links))
-
-
-def _ordered_pairs(df, left, right):
-    """Distinct pairs with the smaller id first."""
-    named = df.where(F.col(left) != F.col(right))
-    return named.select(F.least(left, right).alias("a"), F.greatest(left, right).alias("b")).distinct()
+    of = lambda name: classes.select(F.col("id").alias(name), F.col("class").alias(f"class_{name}"))
+    return _apply(classes, _renamed(links.select("a", "b").join(of("a"), "a").join(of("b"), "b")))
 
 
 def _shared_buckets(buckets):
-    """The rows (id, band) of buckets of several texts."""
-    return buckets.join(buckets.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band"), "band")
+    """The rows (id, band) of buckets of several texts, with the number of texts."""
+    return buckets.join(buckets.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "band")
 
 
 def _open_buckets(buckets, classes):
-    """Bucket rows (id, band, class) of buckets that hold several classes, with the number of texts."""
+    """Bucket rows (id, band, n, class) of buckets that hold several classes."""
     known = buckets.join(classes, "id")
-    several = known.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"))
-    return known.join(several.where("low < high").select("band", "n"), "band")
+    several = known.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    return known.join(several.where("low < high").select("band"), "band")
 
 
 def _met(held, seed):
     """A pair for each text with the next one of another class, in one of its buckets; the seed deals the order anew.
 
-    A large bucket is put in order in stretches, so a bucket that many texts share is not one task's work.
+    A large bucket is put in order in stretches, so a bucket that many texts share is not one task's work. Pairs have
+    the smaller id first and come once.
     """
     stretch = F.pmod(F.xxhash64("id", F.lit(seed), F.lit("stretch")), F.ceil(F.col("n") / STRETCH))
     order = Window.partitionBy("band", "_stretch").orderBy(F.xxhash64("id", F.lit(seed)), "id")
     following = F.lead(F.struct("id", "class")).over(order)
     rows = held.withColumn("_stretch", stretch).withColumn("_next", following).where(F.col("_next.class") != F.col("class"))
-    choice = F.min(F.struct(F.xxhash64("band", F.lit(seed)).alias("hash"), F.col("_next.id").alias("id")))
-    return _ordered_pairs(rows.groupBy("id").agg(choice["id"].alias("partner")), "id", "partner")
+    choice = F.min(F.struct(F.xxhash64("band", F.lit(seed)).alias("hash"), F.col("_next").alias("next")))
+    met = rows.groupBy("id").agg(F.first("class").alias("class"), choice["next"].alias("next"))
+    one, two = F.struct("id", "class"), F.struct("next.id", "next.class")
+    low, high = F.least(one, two), F.greatest(one, two)
+    pairs = met.select(low["id"].alias("a"), low["class"].alias("class_a"), high["id"].alias("b"), high["class"].alias("class_b"))
+    # Dealt by ``a`` alone, as the join with the signatures is. A text is the next one in no more than BANDS buckets.
+    near = pairs.groupBy("a", "class_a").agg(F.collect_set(F.struct("b", "class_b")).alias("near"))
+    return near.select("a", "class_a", F.explode("near").alias("other")).select("a", "other.b", "class_a", "other.class_b")
 
 
 def _crossing(rows, key, more=()):
@@ -321,7 +341,7 @@ def _rare_shingles(texts, threshold, length):
                 )
 
     every = texts.select("id", "class", _hashes(F.col("text")).alias("words")).mapInArrow(
-        run, "id long, class long, shingle long, weight long"
+        released(run), "id long, class long, shingle long, weight long"
     )
     every = write_shared(every, "minhash-shingles")
     spread = every.groupBy("shingle").agg(F.count("*").alias("df"), F.min("class").alias("low"), F.max("class").alias("high"))
@@ -336,14 +356,14 @@ def _rare_shingles(texts, threshold, length):
     return rare.where("low < high").select("id", "class", "shingle", (F.col("_before") / F.col("_whole")).alias("share"), F.col("_whole").alias("whole"), "plain")
 
 
-def _distinct_texts(keyed, needed):
-    """A table (id, text) of the texts whose ids are needed, bucketed by id so that joins do not shuffle texts again."""
+def _distinct_texts(keyed, signed, needed):
+    """A table (id, sig, text) of the texts whose ids are needed, bucketed by id so that joins do not shuffle texts again."""
     spark = keyed.sparkSession
     name = f"minhash_texts_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # One row a text and task leaves the map side, however many copies there are.
-    distinct = keyed.groupBy("id").agg(F.first("text").alias("text"))
-    distinct.join(needed, "id", "left_semi").write.bucketBy(buckets, "id").sortBy("id").saveAsTable(name)
+    distinct = keyed.groupBy("id").agg(F.first("text").alias("text")).join(needed, "id", "left_semi")
+    distinct.join(signed.select("id", "sig"), "id").write.bucketBy(buckets, "id").sortBy("id").saveAsTable(name)
     return spark.table(name), name
 
 
@@ -373,7 +393,7 @@ def text_classes(docs, threshold=THRESHOLD, length=SHINGLE):
     buckets = signed.select("id", F.explode("bands").alias("band"))
     shared = write_shared(_shared_buckets(buckets), "minhash-buckets")
     needed = shared.select("id").distinct()
-    texts, name = _distinct_texts(keyed, needed)
+    texts, name = _distinct_texts(keyed, signed, needed)
     try:
         return _linked(signed, shared, texts, threshold, length)
     finally:
@@ -382,12 +402,23 @@ def text_classes(docs, threshold=THRESHOLD, length=SHINGLE):
 
 def _linked(signed, shared, texts, threshold, length):
     """Classes and links of the texts, from their signatures, the rows of shared buckets, and the texts in those."""
-    known, links = signed.select("id", F.col("id").alias("class")), None
+    single = signed.select("id", F.col("id").alias("class"))
+    # Classes of the texts in shared buckets; all others are their own.
+    known, links = write_shared(_few(texts.select("id", F.col("id").alias("class"))), "minhash-classes"), None
     for seed in range(ROUNDS):
-        held = write_shared(_open_buckets(shared, known), "minhash-open")
-        found = write_shared(_verify(_met(held, seed), texts, signed, threshold, length), "minhash-links")
+        pairs = write_shared(_few(_met(shared.join(known, "id"), seed)), "minhash-met")
+        found = _verify(pairs, texts, threshold, length)
         links = found if links is None else links.unionByName(found)
-        known = write_shared(joined(known, found), "minhash-classes")
+        met, joins = pairs.count(), found.count()
+        if joins:
+            hooked = _hooked(found.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")))
+            known = write_shared(_few(_apply(known, hooked.withColumnRenamed("id", "class"))), "minhash-classes")
+        if joins <= LEAST_YIELD * met:
+            break
+    # A text's class so far is one that it reaches; now the smallest of all.
+    steps = known.select(F.col("id").alias("a"), F.col("class").alias("b")).where("a <> b")
+    labels = _labels(links.select("a", "b").unionByName(steps))
+    known = write_shared(_few(_apply(single, labels.select(F.col("id").alias("class"), F.col("class").alias("to")))), "minhash-classes")
 
     held = write_shared(_open_buckets(shared, known), "minhash-open")
     small = held.where(F.col("n") <= SMALL_BUCKET)
@@ -395,16 +426,21 @@ def _linked(signed, shared, texts, threshold, length):
     rare = write_shared(_rare_shingles(large.join(texts, "id"), threshold, length), "minhash-rare")
     near = _crossing(rare, "shingle", ("share", "whole", "plain")).where(_within(threshold))
     own = ["a", "b", "class_a", "class_b"]
-    pairs = write_shared(_crossing(small, "band").select(own).unionByName(near.select(own)).distinct(), "minhash-pairs")
+    pairs = _crossing(small, "band").select(own).unionByName(near.select(own)).distinct()
     # A few pairs of each two classes first: most that can be joined are, and their other pairs need no more looking at.
     by_classes = Window.partitionBy("class_a", "class_b").orderBy(F.xxhash64("a", "b"))
-    few = pairs.withColumn("_n", F.row_number().over(by_classes)).where(F.col("_n") <= FEW).select("a", "b")
-    found = write_shared(_verify(few, texts, signed, threshold, length), "minhash-links")
-    renames = write_shared(_renamed(known, found), "minhash-renames")
-    known, links = write_shared(_apply(known, renames), "minhash-classes"), links.unionByName(found)
-    rest = _apply(_apply(pairs, renames, "class_a"), renames, "class_b").where("class_a <> class_b").select("a", "b")
-    found = write_shared(_verify(rest, texts, signed, threshold, length), "minhash-links")
-    return write_shared(joined(known, found), "minhash-classes"), links.unionByName(found)
+    pairs = write_shared(pairs.withColumn("_few", F.row_number().over(by_classes) <= FEW), "minhash-pairs")
+    for few in (True, False):
+        rest = pairs.where(F.col("_few") == few)
+        if not few:
+            rest = write_shared(_few(_apply(_apply(rest, renames, "class_a"), renames, "class_b").where("class_a <> class_b")), "minhash-rest")
+        if rest.isEmpty():
+            break
+        found = _verify(rest, texts, threshold, length)
+        links = links.unionByName(found)
+        renames = write_shared(_renamed(found), "minhash-renames")
+        known = write_shared(_few(_apply(known, renames)), "minhash-classes")
+    return known, links
 
 
 def dedup_classes(docs, **options):

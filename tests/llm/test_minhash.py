@@ -149,3 +149,23 @@ def test_classes_grow_by_further_links(spark):
             parent[max(root(a), root(b))] = min(root(a), root(b))
         classes = minhash.joined(classes, spark.createDataFrame(links, "a long, b long"))
         assert {row.id: row["class"] for row in classes.collect()} == {i: root(i) for i in ids}
+
+
+def test_rounds_end_when_nothing_joins(spark, monkeypatch):
+    """Texts that only share a passage: their first round joins none, so there is no second."""
+    dice = random.Random(7)
+    word = lambda: "".join(dice.choices("abcdefgh", k=7))
+    passage = [word() for _ in range(60)]
+    rows = [(i, " ".join(passage + [word() for _ in range(25)])) for i in range(40)]
+    seeds, met = [], minhash._met
+    monkeypatch.setattr(minhash, "_met", lambda held, seed: seeds.append(seed) or met(held, seed))
+    assert _found(spark.createDataFrame(rows, "doc_id long, text string")) == _classes(rows)
+    assert seeds == [0]
+
+
+def test_one_step_reaches_only_what_links_reach(spark):
+    links = [(i, i + 1) for i in range(9)] + [(20, 22), (21, 22), (30, 31)]
+    found = {row.id: row.to for row in minhash._hooked(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found.keys() == {i for link in links for i in link}
+    assert all(to <= id and to // 10 == id // 10 for id, to in found.items())
+    assert found[2] == 0 and found[22] == found[20] == 20 and found[31] == 30
