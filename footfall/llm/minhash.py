@@ -20,6 +20,10 @@ Candidates come in three steps, none of which forms all pairs of a group:
    as each term of J is at most 1 / (1 / p + v / q) for shares p and q of the shingle, a concave function of the two. Of
    texts without repeated shingles the sizes X and Y tell more: they share at most O = min(X (1 - u), Y (1 - v)) shingles,
    and J <= O / (X + Y - O). So this finds every pair of the bucket at its first shared shingle, and few others.
+   Near copies of one text are often near to it but not to each other, and by this bound each two of them may be near. So
+   each text first meets a hub, the text of another class with the least share before a shingle of both; that makes one
+   class of text and copies. Then shingles are left out of texts that cannot be near to any text of another class that has
+   them, by the best share and sizes there, and only what remains meets in pairs.
    A few pairs of each two classes are verified first, the others only where that left the classes apart.
 """
 
@@ -38,7 +42,7 @@ from footfall.session import write_shared
 SHINGLE, THRESHOLD = 5, 0.8
 # A pair of similarity 0.8 meets in no bucket with probability (1 - 0.8**5)**26 = 3e-5.
 BANDS, ROWS = 26, 5
-ROUNDS = 6
+ROUNDS, HUB_ROUNDS = 6, 3
 LEAST_YIELD = 0.02  # share of a round's pairs that join classes, for another round
 FEW = 24  # pairs of each two classes
 STRETCH = 1000  # texts of a bucket that are put in order together, about
@@ -206,14 +210,22 @@ def _exact(length):
     return of_batches
 
 
-def _verify(pairs, texts, threshold, length):
+def _verify(pairs, texts, threshold, length, copies=None):
     """Links (a, b, class_a, class_b, similarity) among candidate pairs: screened by signature, then measured on the
-    whole texts. ``texts`` is bucketed by id, so only pairs are shuffled."""
+    whole texts. ``texts`` is bucketed by id, so only pairs are shuffled.
+
+    With ``copies`` (id, copy) of the texts ``b``, which may be in many pairs, pairs name the copy that they meet.
+    """
     names = ["a", "b", "class_a", "class_b"]
-    own = lambda name, column: texts.select(F.col("id").alias(name), F.col(column).alias(f"{column}_{name}"))
-    screened = pairs.select(names).join(own("a", "sig"), "a").join(own("b", "sig"), "b")
-    screened = write_shared(screened.where(_agreement()("sig_a", "sig_b") >= SCREEN).select(names), "minhash-screened")
-    measured = screened.join(own("a", "text"), "a").join(own("b", "text"), "b")
+    keys, others = ["b"], texts
+    if copies is not None:
+        keys, others = ["b", "copy"], texts.join(copies, "id")
+    own = lambda column: texts.select(F.col("id").alias("a"), F.col(column).alias(f"{column}_a"))
+    other = lambda column: others.withColumnRenamed("id", "b").select(*keys, F.col(column).alias(f"{column}_b"))
+    screened = pairs.select("a", "class_a", "class_b", *keys).join(own("sig"), "a").join(other("sig"), keys)
+    screened = screened.where(_agreement()("sig_a", "sig_b") >= SCREEN).select("a", "class_a", "class_b", *keys)
+    screened = write_shared(screened, "minhash-screened")
+    measured = screened.join(own("text"), "a").join(other("text"), keys)
     score = _exact(length)(_hashes(F.col("text_a")), _hashes(F.col("text_b")))
     found = measured.select(*names, score.alias("similarity")).where(F.col("similarity") >= threshold)
     return write_shared(found, "minhash-links")
@@ -316,12 +328,61 @@ def _crossing(rows, key, more=()):
     return side("a").join(side("b"), key).where((F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")))
 
 
+def _share_within(u, v, threshold):
+    return (1 - u) * (1 - v) >= threshold * (1 - u * v) - 1e-9
+
+
 def _within(threshold):
     """Whether a pair may be as similar, from the shares of weight before the first shared shingle, and the sizes."""
     u, v, x, y = (F.col(name) for name in ("share_a", "share_b", "whole_a", "whole_b"))
     most = F.least(x * (1 - u), y * (1 - v)) * (1 + threshold) >= threshold * (x + y) - 1e-6
-    general = (1 - u) * (1 - v) >= threshold * (1 - u * v) - 1e-9
-    return general & (most | ~(F.col("plain_a") & F.col("plain_b")))
+    return _share_within(u, v, threshold) & (most | ~(F.col("plain_a") & F.col("plain_b")))
+
+
+def _hubs(rare, threshold):
+    """A pair (a, class_a, b, class_b, copy) for each text with its hub ``b``, and copies (id, copy) of the hubs.
+
+    The hub of a shingle is the text with the least share before it, or the next such one of another class; of a text's
+    shingles the one with the least share of its hub counts. A hub of a shingle that many texts have is copied, a copy
+    for each stretch of them, so that no task meets them all.
+    """
+    row = F.struct("share", F.xxhash64("id").alias("hash"), "id", "class", "whole", "plain")
+    one = rare.groupBy("shingle").agg(F.count("*").alias("n"), F.min(row).alias("one"))
+    two = rare.join(one, "shingle").where(F.col("class") != F.col("one.class")).groupBy("shingle").agg(F.min(row).alias("two"))
+    hub = F.when(F.col("class") != F.col("one.class"), F.col("one")).otherwise(F.col("two"))
+    known = rare.join(one.join(two, "shingle"), "shingle").withColumn("hub", hub)
+    sides = known.select(
+        "id", "class", "n", "hub", *[F.col(c).alias(f"{c}_a") for c in ("share", "whole", "plain")],
+        *[F.col(f"hub.{c}").alias(f"{c}_b") for c in ("share", "whole", "plain")],
+    )
+    met = sides.where(_within(threshold)).groupBy("id").agg(F.first("class").alias("class"), F.min(F.struct("hub", "n")).alias("best"))
+    parts = F.ceil(F.col("best.n") / STRETCH)
+    pairs = met.select(
+        F.col("id").alias("a"), F.col("class").alias("class_a"), F.col("best.hub.id").alias("b"),
+        F.col("best.hub.class").alias("class_b"), F.pmod(F.xxhash64("id", F.lit("copy")), parts).alias("copy"),
+    )
+    pairs = write_shared(_few(pairs), "minhash-hubs")
+    return pairs, pairs.select(F.col("b").alias("id"), "copy").distinct()
+
+
+def _viable(rows, threshold):
+    """The rows of ``rows`` (as ``_rare_shingles`` gives them) that may be in a pair of ``_within``, and few others.
+
+    A row is held against the best values under its shingle outside its class: the least share, and of texts without
+    repeated shingles the least size and the greatest size that a partner may have, for X + Y <= (1 + 1 / J) X (1 - u).
+    """
+    u, x = F.col("share"), F.col("whole")
+    reach = F.when(F.col("plain"), x * ((1 + threshold) / threshold * (1 - u) - 1) + 1e-5).otherwise(F.lit(float("inf")))
+    sized = rows.withColumn("size", F.when(F.col("plain"), x.cast("double")).otherwise(F.lit(float("-inf")))).withColumn("reach", reach)
+    best = {"share": F.min, "size": F.min, "reach": F.max}
+    classes = sized.groupBy("shingle", "class").agg(*[pick(c).alias(c) for c, pick in best.items()])
+    first = classes.groupBy("shingle").agg(*[pick(F.struct(c, "class")).alias(f"first_{c}") for c, pick in best.items()])
+    beside = lambda c: F.col("class") != F.col(f"first_{c}.class")
+    second = classes.join(first, "shingle").groupBy("shingle").agg(*[pick(F.when(beside(c), F.col(c))).alias(f"second_{c}") for c, pick in best.items()])
+    other = {c: F.when(beside(c), F.col(f"first_{c}.{c}")).otherwise(F.col(f"second_{c}")) for c in best}
+    # Without another class under the shingle the values are null.
+    viable = _share_within(u, other["share"], threshold) & (other["size"] <= F.col("reach")) & (F.col("size") <= other["reach"])
+    return sized.join(first.join(second, "shingle"), "shingle").where(viable).select(*rows.columns)
 
 
 def _rare_shingles(texts, threshold, length):
@@ -421,11 +482,26 @@ def _linked(signed, shared, texts, threshold, length):
     known = write_shared(_few(_apply(single, labels.select(F.col("id").alias("class"), F.col("class").alias("to")))), "minhash-classes")
 
     held = write_shared(_open_buckets(shared, known), "minhash-open")
-    small = held.where(F.col("n") <= SMALL_BUCKET)
     large = held.where(F.col("n") > SMALL_BUCKET).select("id", "class").distinct()
     rare = write_shared(_rare_shingles(large.join(texts, "id"), threshold, length), "minhash-rare")
-    near = _crossing(rare, "shingle", ("share", "whole", "plain")).where(_within(threshold))
     own = ["a", "b", "class_a", "class_b"]
+    for _ in range(HUB_ROUNDS):
+        pairs, copies = _hubs(rare, threshold)
+        met = pairs.count()
+        if not met:
+            break
+        found = _verify(pairs, texts, threshold, length, copies)
+        joins = found.count()
+        if joins:
+            low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+            links = links.unionByName(found.select(low, high, "class_a", "class_b", "similarity"))
+            known = write_shared(_few(_apply(known, write_shared(_renamed(found), "minhash-renames"))), "minhash-classes")
+            rare = write_shared(rare.drop("class").join(known, "id"), "minhash-rare")
+        if joins <= LEAST_YIELD * met:
+            break
+    small = _open_buckets(held.where(F.col("n") <= SMALL_BUCKET).select("id", "band", "n"), known)
+    viable = write_shared(_viable(rare, threshold), "minhash-viable")
+    near = _crossing(viable, "shingle", ("share", "whole", "plain")).where(_within(threshold))
     pairs = _crossing(small, "band").select(own).unionByName(near.select(own)).distinct()
     # A few pairs of each two classes first: most that can be joined are, and their other pairs need no more looking at.
     by_classes = Window.partitionBy("class_a", "class_b").orderBy(F.xxhash64("a", "b"))

@@ -169,3 +169,52 @@ def test_one_step_reaches_only_what_links_reach(spark):
     assert found.keys() == {i for link in links for i in link}
     assert all(to <= id and to // 10 == id // 10 for id, to in found.items())
     assert found[2] == 0 and found[22] == found[20] == 20 and found[31] == 30
+
+
+def test_copies_of_one_text_meet_at_a_hub(spark, monkeypatch):
+    """Near copies of one text that are not near to each other: pairs in proportion to the texts, not to their square."""
+    dice = random.Random(11)
+    word = lambda: "".join(dice.choices("abcdefgh", k=7))
+    base = [word() for _ in range(60)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 181):
+        words = list(base)
+        for _ in range(1 + (i > 140)):
+            words[dice.randrange(5, 55)] = word()
+        rows.append((i, " ".join(words)))
+    crossed, crossing = [], minhash._crossing
+
+    def counted(rows, key, more=()):
+        pairs = crossing(rows, key, more)
+        if more:
+            crossed.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(minhash, "_crossing", counted)
+    assert _found(spark.createDataFrame(rows, "doc_id long, text string")) == _classes(rows)
+    assert len(crossed) == 1 and crossed[0] < 10 * len(rows), crossed
+
+
+def test_viable_rows_keep_every_pair(spark):
+    dice = random.Random(12)
+    rows = []
+    for id in range(150):
+        whole, plain, own = dice.randint(5, 60), dice.random() < 0.7, dice.randrange(40)
+        rows += [(id, own, shingle, dice.choice([0.0, dice.random() * 0.2]), whole, plain) for shingle in dice.sample(range(60), 4)]
+    rare = spark.createDataFrame(rows, "id long, class long, shingle long, share double, whole long, plain boolean")
+    viable = minhash._viable(rare, 0.8)
+    pairs = lambda rows: Counter(minhash._crossing(rows, "shingle", ("share", "whole", "plain")).where(minhash._within(0.8)).collect())
+    assert pairs(viable) == pairs(rare) and pairs(rare)
+    assert viable.count() < rare.count()
+
+
+def test_copies_of_a_hub(spark, monkeypatch):
+    """A hub of many texts is copied; each text meets one copy, whatever the number."""
+    rows = [(id, id, 1, 0.0 if id == 3 else 0.05, 60, True) for id in range(50)]
+    rare = spark.createDataFrame(rows, "id long, class long, shingle long, share double, whole long, plain boolean")
+    monkeypatch.setattr(minhash, "STRETCH", 10)
+    pairs, copies = minhash._hubs(rare, 0.8)
+    found = pairs.collect()
+    assert sorted(row.a for row in found) == list(range(50)) and all(row.b == 3 for row in found if row.a != 3)
+    assert {row.copy for row in found if row.b == 3} == set(range(5))
+    assert {(row.b, row.copy) for row in found} == {tuple(row) for row in copies.collect()}
