@@ -8,7 +8,7 @@ long text may hold a few toxic lines. A logistic curve, fitted on labelled texts
 these into a score.
 """
 
-import uuid
+import pickle
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,7 @@ FOLDS = 3
 START, END = 1, 2
 PART_ROWS, PART_WORDS = 2000, 300_000  # of texts that are scored together; one longer text is a part of its own
 GAIN_WORDS = 20_000  # different words whose grams are held at a time
+HASHED = 1 << 18  # letters that are hashed at a time
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -70,13 +71,14 @@ class Grams:
         """Go on to hashes of one letter more."""
         n = 1 if self.before is None else self.n + 1
         self.n, self.before = n, self.ends
-        reach = np.flatnonzero(self.place >= n - 1)
         self.ends = np.zeros(len(self.codes), np.uint64)
         with np.errstate(over="ignore"):
-            x = self.before[reach] * STEP + self.codes[reach - (n - 1)].astype(np.uint64) + np.uint64(n)
-            x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-            x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-            self.ends[reach] = x ^ (x >> np.uint64(31))
+            for start in range(0, len(self.codes), HASHED):
+                reach = start + np.flatnonzero(self.place[start:start + HASHED] >= n - 1)
+                x = self.before[reach] * STEP + self.codes[reach - (n - 1)].astype(np.uint64) + np.uint64(n)
+                x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+                x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+                self.ends[reach] = x ^ (x >> np.uint64(31))
 
 
 class Models:
@@ -91,12 +93,20 @@ class Models:
         for n in range(1, ORDER + 1):
             grams.longer()
             own = np.flatnonzero(grams.at >= n - 1)
-            found, first, of = np.unique(grams.ends[grams.letters[own]], return_index=True, return_inverse=True)
-            totals = np.stack([np.bincount(of, counts[word[own], c], len(found)) for c in (0, 1)], 1)
-            first = own[first]
+            keys = grams.ends[grams.letters[own]]
+            order = np.argsort(keys, kind="stable")
+            keys, own = keys[order], own[order]
+            del order
+            new = np.ones(len(keys), bool)
+            new[1:] = keys[1:] != keys[:-1]
+            starts = np.flatnonzero(new)
+            found, first, of = keys[starts], own[starts], word[own]
+            del keys, new, own
+            # Sums of whole numbers, so their order does not matter.
+            totals = np.stack([np.add.reduceat(counts[:, c][of], starts) if len(starts) else np.zeros(0) for c in (0, 1)], 1)
             there = grams.letters[first]
             one = found, grams.at[first] == n - 1, totals, grams.before[there - 1], grams.before[there]
-            del own, of, first, there
+            del of, first, there, starts
             if n == 2:
                 self.letters = held[0]
                 either = np.bincount(np.searchsorted(self.letters, one[4]), minlength=len(self.letters)) + 1.0
@@ -213,38 +223,43 @@ def train(docs, labels, sample=SAMPLE):
     each = rows.select("toxic", "fold", F.explode(F.array_distinct("words")).alias("word"))
     texts = [F.count_if((F.col("toxic") == toxic) & (F.col("fold") == fold)) for fold in range(FOLDS) for toxic in (1, 0)]
     named = [column.alias(f"n{i}") for i, column in enumerate(texts)]
-    # The different words of the bounded sample. The driver only passes their counts on: whoever scores makes the model.
+    # The different words of the bounded sample. The driver only passes on their counts, and the final model that one task
+    # makes of them: making a model takes twenty times its own size, which not every scoring worker should need.
     table = each.groupBy("word").agg(*named).orderBy("word").toArrow()
     if not table.num_rows:
         return None
     counts = np.column_stack([table.column(f"n{i}").to_numpy() for i in range(2 * FOLDS)]).astype(float).reshape(-1, FOLDS, 2)
-    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, table.column("word").combine_chunks(), counts))
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast((table.column("word").combine_chunks(), counts))
 
     def run(of_fold):
         fold = of_fold.column("fold")[0].as_py()
-        found = model_of(shared, fold).features(of_fold.column("words"))
+        found = _model(shared, fold).features(of_fold.column("words"))
         rows = pa.array(list(found), pa.list_(pa.float64()))
+        release()
         return pa.table({"toxic": of_fold.column("toxic").cast(pa.int32()), "x": rows})
 
+    def make(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(_model(shared))], pa.binary())], names=["model"])
+
     # A group is a fold of the bounded sample, and each needs one model.
     found = rows.select("words", "toxic", "fold").groupBy("fold").applyInArrow(run, "toxic int, x array<double>").collect()
     found = sorted(found, key=lambda row: (row.toxic, row.x))
-    return shared, _logistic(np.array([row.x for row in found]), np.array([row.toxic for row in found], float))
-
+    curve = _logistic(np.array([row.x for row in found]), np.array([row.toxic for row in found], float))
+    made = spark.range(0, 1, 1, 1).mapInArrow(released(make), "model binary").head().model
+    shared.unpersist()
+    return spark.sparkContext.broadcast(pickle.loads(made)), curve
 
-_made = {}
 
-
-def model_of(shared, fold=None):
-    """The models of all folds but one, or of all, made once by each Python worker from the broadcast words and counts."""
-    name, words, counts = shared.value
-    if (name, fold) not in _made:
-        _made.clear()  # one at a time is held
-        texts = counts.sum(axis=1) - (0 if fold is None else counts[:, fold])
-        held = texts.sum(axis=1) > 0
-        _made[name, fold] = Models(words.filter(pa.array(held)).to_pylist(), texts[held])
-        release()
-    return _made[name, fold]
+def _model(shared, fold=None):
+    """The model of all folds but one, or of all, from the broadcast words and counts."""
+    words, counts = shared.value
+    texts = counts.sum(axis=1) - (0 if fold is None else counts[:, fold])
+    held = texts.sum(axis=1) > 0
+    model = Models(words.filter(pa.array(held)).to_pylist(), texts[held])
+    release()
+    return model
 
 
 def score(docs, scorer, name="score"):
@@ -254,14 +269,14 @@ def score(docs, scorer, name="score"):
     """
     if scorer is None:
         return docs.withColumn(name, F.lit(0.0))
-    shared, (mean, spread, weights) = scorer
+    model, (mean, spread, weights) = scorer
 
     def run(batches):
         for batch in batches:
             words = batch.column("_words")
             parts = parts_of(pc.list_value_length(words).to_numpy(zero_copy_only=False), PART_ROWS, PART_WORDS)
             for start, end in zip(parts, parts[1:]):
-                x = (model_of(shared).features(words.slice(start, end - start)) - mean) / spread
+                x = (model.value.features(words.slice(start, end - start)) - mean) / spread
                 found = 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -500, 500)))
                 yield pa.RecordBatch.from_arrays([batch.column("_doc").slice(start, end - start), pa.array(found)], names=["_doc", "_found"])
 

@@ -62,6 +62,31 @@ def test_gains_in_parts(monkeypatch):
     assert (models.gains(asked) == whole).all() and len(models.gains([])) == 0
 
 
+def test_hashes_in_parts(monkeypatch):
+    words = ["ab", "", "abcdefgh", "žluťoučký", "漢字"]
+    found = []
+    for part in (1 << 18, 3):
+        monkeypatch.setattr(toxicity, "HASHED", part)
+        grams = toxicity.Grams(words)
+        found.append([])
+        for _ in range(toxicity.ORDER):
+            grams.longer()
+            found[-1].append(grams.ends.tolist())
+    assert found[0] == found[1]
+
+
+def test_scoring_workers_get_the_finished_model(docs, labels, monkeypatch):
+    """One task makes the model that scores; no scoring worker needs the memory for making it."""
+    (model, _) = scorer = toxicity.train(docs, labels)
+    assert isinstance(model.value, toxicity.Models)
+
+    def refused(*args):
+        raise AssertionError("made again")
+
+    monkeypatch.setattr(toxicity, "_model", refused)
+    assert toxicity.score(docs, scorer).where("score between 0 and 1").count() == docs.count()
+
+
 def test_phrase_tasks_release(spark, docs, monkeypatch):
     wrapped = []
     monkeypatch.setattr(collocations, "released", lambda run: wrapped.append(run) or run)
