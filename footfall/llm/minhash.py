@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from footfall.llm.common import few as _few
 from footfall.llm.common import nested, parts_of, release, released, words
 from footfall.session import write_shared
 
@@ -231,11 +232,6 @@ def _verify(pairs, texts, threshold, length, copies=None):
     return write_shared(found, "minhash-links")
 
 
-def _few(df):
-    """``df``, narrow rows of which there are few beside the texts, in no more parts than the cluster has cores."""
-    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def _hooked(links):
     """(id, to): every id of links (a, b) and one that it reaches, no larger: the smallest neighbour's, if that is smaller.
 

@@ -10,7 +10,7 @@ Everything is built of DataFrame expressions.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import bind, nested, words
+from footfall.llm.common import bind, few, nested, words
 from footfall.session import write_shared
 
 ALPHA, DELTA = 0.05, 0.05
@@ -116,8 +116,9 @@ def learn(stats, labels, stratum="lang", alpha=ALPHA, delta=DELTA):
     """
     bins = len(GRID)
     names = F.array(*map(F.lit, RULES))
+    grid = F.array(*map(F.lit, GRID))
     # The number of cutoffs that a value exceeds.
-    above = lambda value: F.size(F.filter(F.array(*map(F.lit, GRID)), lambda cutoff: value > cutoff))
+    above = lambda value: F.size(F.filter(grid, lambda cutoff: value > cutoff))
     known = labels.where(F.col("quality").isNotNull()).select("doc_id", "quality")
     held = (
         stats.where(~base_failed()).join(known, "doc_id")
@@ -126,25 +127,24 @@ def learn(stats, labels, stratum="lang", alpha=ALPHA, delta=DELTA):
         .groupBy("stratum", "rule", above(F.col("value")).alias("bin"))
         .agg(F.sum((F.col("quality") == 1).cast("long")).alias("good"), F.sum((F.col("quality") == 0).cast("long")).alias("bad"))
     )
-    groups = held.select("stratum", "rule").distinct()
-    cutoffs = F.posexplode(F.array(*map(F.lit, GRID))).alias("step", "cutoff")
-    grid = groups.select("stratum", "rule", cutoffs)
+    # Rows of a stratum: at most one for each rule and number of cutoffs exceeded. They are written, and then dealt by
+    # stratum once, which all that follows keeps to: the driver plans and follows no further shuffle or broadcast.
+    held = write_shared(few(held), "quality-counts")
+    strata = held.select(F.count_distinct("stratum")).head()[0]
+    # Every number of cutoffs exceeded, also those that no document has.
+    none = held.select("stratum", "rule", F.explode(F.sequence(F.lit(0), F.lit(bins))).alias("bin"), F.lit(0).alias("good"), F.lit(0).alias("bad"))
+    counts = held.unionByName(none).repartition("stratum").groupBy("stratum", "rule", "bin").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
     by = Window.partitionBy("stratum", "rule")
-    # Rows of a group: one for each number of cutoffs exceeded, so at most len(GRID) + 1.
-    filled = grid.select("stratum", "rule", "cutoff", (F.col("step") + 1).alias("bin"))
-    none = groups.select("stratum", "rule", F.lit(None).cast("double").alias("cutoff"), F.lit(0).alias("bin"))
-    counts = filled.unionByName(none).join(held, ["stratum", "rule", "bin"], "left").fillna(0, ["good", "bad"])
     upward = by.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
     whole = by.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     tested = counts.select(
-        "stratum", "rule", "cutoff", "bin",
+        "stratum", "rule", F.get(grid, F.col("bin") - 1).alias("cutoff"),
         F.sum("good").over(upward).alias("false_rejections"), F.sum("bad").over(upward).alias("hits"),
         F.sum("good").over(whole).alias("n"),
     ).where("cutoff is not null")
-    strata = groups.select(F.count_distinct("stratum").alias("strata"))
-    level = F.lit(delta) / (F.col("strata") * len(RULES) * bins)
+    level = F.lit(delta / (max(strata, 1) * len(RULES) * bins))
     tail = binomial_tail(F.col("false_rejections"), F.col("n"), F.lit(alpha / len(RULES)))
-    certified = tested.join(F.broadcast(strata)).where((F.col("hits") > 0) & (tail <= level))  # strata is one row
+    certified = tested.where((F.col("hits") > 0) & (tail <= level))
     best = certified.groupBy("stratum", "rule").agg(F.max(F.struct("hits", "cutoff"))["cutoff"].alias("cutoff"))
     by_rule = best.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("found"))
     order = F.sequence(F.lit(0), F.size(names) - 1)

@@ -87,6 +87,17 @@ def test_quality_certificate_is_exact(spark):
     assert best and found["en"][quality.RULES.index("symbols")] == best[1]
 
 
+def test_quality_learns_with_one_shuffle(spark):
+    """Beyond the counts of each bin the driver follows one shuffle and no broadcast, whatever the number of strata."""
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, text + " *" * (i % 40), f"l{i % 3}") for i in range(600)], "doc_id long, text string, lang string")
+    marks = docs.select("doc_id", (F.col("doc_id") % 40 < 30).cast("int").alias("quality"))
+    found = quality.learn(quality.statistics(docs), marks)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan, plan
+    assert quality.learn(quality.statistics(docs.limit(0)), marks).count() == 0
+
+
 # Toxicity
 
 
