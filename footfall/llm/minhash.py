@@ -52,6 +52,7 @@ SMALL_BUCKET = 12
 # below the threshold at 130 components.
 SCREEN = 0.52
 PART_ROWS, PART_WORDS = 500, 1_000_000  # of texts that are shingled together; one longer text is a part of its own
+BUCKET_WORDS = 1_000_000  # of a bucket of the table of texts, about
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -150,7 +151,7 @@ def _cut(batch):
 
 
 def _bands(texts, length):
-    """(id, bands: array of keys, sig: signature as bytes of 16-bit values) of rows (id, words)."""
+    """(id, bands: array of keys, sig: signature as bytes of 16-bit values, words: their number) of rows (id, text)."""
     size = BANDS * ROWS
 
     def run(batches):
@@ -167,9 +168,11 @@ def _bands(texts, length):
                     pa.array(np.append(0, np.cumsum(filled * BANDS)).astype(np.int32)), pa.array(keys[filled].ravel().view(np.int64))
                 )
                 sig = [row.tobytes() for row in (found & np.uint64(0xFFFF)).astype("<u2")]
-                yield pa.RecordBatch.from_arrays([part.column("id"), lists, pa.array(sig, pa.binary())], names=["id", "bands", "sig"])
+                number = pa.array(np.diff(bounds))
+                yield pa.RecordBatch.from_arrays([part.column("id"), lists, pa.array(sig, pa.binary()), number], names=["id", "bands", "sig", "words"])
 
-    return texts.select("id", _hashes(F.col("text")).alias("words")).mapInArrow(released(run), "id long, bands array<long>, sig binary")
+    schema = "id long, bands array<long>, sig binary, words long"
+    return texts.select("id", _hashes(F.col("text")).alias("words")).mapInArrow(released(run), schema)
 
 
 def _agreement():
@@ -225,11 +228,12 @@ def _verify(pairs, texts, threshold, length, copies=None):
     other = lambda column: others.withColumnRenamed("id", "b").select(*keys, F.col(column).alias(f"{column}_b"))
     screened = pairs.select("a", "class_a", "class_b", *keys).join(own("sig"), "a").join(other("sig"), keys)
     screened = screened.where(_agreement()("sig_a", "sig_b") >= SCREEN).select("a", "class_a", "class_b", *keys)
-    screened = write_shared(screened, "minhash-screened")
+    screened = write_shared(_few(screened), "minhash-screened")
     measured = screened.join(own("text"), "a").join(other("text"), keys)
     score = _exact(length)(_hashes(F.col("text_a")), _hashes(F.col("text_b")))
     found = measured.select(*names, score.alias("similarity")).where(F.col("similarity") >= threshold)
-    return write_shared(found, "minhash-links")
+    # Pairs that name a copy are not dealt as the buckets are.
+    return write_shared(found if copies is None else _few(found), "minhash-links")
 
 
 def _hooked(links):
@@ -255,9 +259,9 @@ def _labels(links):
     labels = write_shared(_few(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("id"), F.least("a", "b").alias("class"))), "labels")
     while True:
         near = (
-            both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("class").alias("near"))
+            _few(both.join(labels, both["b"] == labels["id"]).select("a", "class")).groupBy("a").agg(F.min("class").alias("near"))
         )
-        lowered = labels.join(near, labels["id"] == near["a"]).select("id", "class", F.least("class", "near").alias("to"))
+        lowered = _few(labels.join(near, labels["id"] == near["a"]).select("id", "class", F.least("class", "near").alias("to")))
         of = labels.select(F.col("id").alias("to"), F.col("class").alias("further"))
         moved = lowered.join(of, "to").select("id", F.least("to", "further").alias("new"), "class")
         moved = write_shared(_few(moved), "labels")
@@ -293,7 +297,7 @@ def _shared_buckets(buckets):
 
 def _open_buckets(buckets, classes):
     """Bucket rows (id, band, n, class) of buckets that hold several classes."""
-    known = buckets.join(classes, "id")
+    known = _few(buckets.join(classes, "id"))
     several = known.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high"))
     return known.join(several.where("low < high").select("band"), "band")
 
@@ -307,9 +311,9 @@ def _met(held, seed):
     stretch = F.pmod(F.xxhash64("id", F.lit(seed), F.lit("stretch")), F.ceil(F.col("n") / STRETCH))
     order = Window.partitionBy("band", "_stretch").orderBy(F.xxhash64("id", F.lit(seed)), "id")
     following = F.lead(F.struct("id", "class")).over(order)
-    rows = held.withColumn("_stretch", stretch).withColumn("_next", following).where(F.col("_next.class") != F.col("class"))
+    rows = _few(held).withColumn("_stretch", stretch).withColumn("_next", following).where(F.col("_next.class") != F.col("class"))
     choice = F.min(F.struct(F.xxhash64("band", F.lit(seed)).alias("hash"), F.col("_next").alias("next")))
-    met = rows.groupBy("id").agg(F.first("class").alias("class"), choice["next"].alias("next"))
+    met = _few(_few(rows).groupBy("id").agg(F.first("class").alias("class"), choice["next"].alias("next")))
     one, two = F.struct("id", "class"), F.struct("next.id", "next.class")
     low, high = F.least(one, two), F.greatest(one, two)
     pairs = met.select(low["id"].alias("a"), low["class"].alias("class_a"), high["id"].alias("b"), high["class"].alias("class_b"))
@@ -344,21 +348,23 @@ def _hubs(rare, threshold):
     """
     row = F.struct("share", F.xxhash64("id").alias("hash"), "id", "class", "whole", "plain")
     one = rare.groupBy("shingle").agg(F.count("*").alias("n"), F.min(row).alias("one"))
-    two = rare.join(one, "shingle").where(F.col("class") != F.col("one.class")).groupBy("shingle").agg(F.min(row).alias("two"))
+    # Dealt anew for the aggregate, so that a shingle that many texts have is joined in several tasks.
+    others = _few(rare.join(one, "shingle").where(F.col("class") != F.col("one.class")).select(*rare.columns))
+    two = others.groupBy("shingle").agg(F.min(row).alias("two"))
     hub = F.when(F.col("class") != F.col("one.class"), F.col("one")).otherwise(F.col("two"))
     known = rare.join(one.join(two, "shingle"), "shingle").withColumn("hub", hub)
     sides = known.select(
         "id", "class", "n", "hub", *[F.col(c).alias(f"{c}_a") for c in ("share", "whole", "plain")],
         *[F.col(f"hub.{c}").alias(f"{c}_b") for c in ("share", "whole", "plain")],
     )
-    met = sides.where(_within(threshold)).groupBy("id").agg(F.first("class").alias("class"), F.min(F.struct("hub", "n")).alias("best"))
+    met = _few(sides.where(_within(threshold))).groupBy("id").agg(F.first("class").alias("class"), F.min(F.struct("hub", "n")).alias("best"))
     parts = F.ceil(F.col("best.n") / STRETCH)
     pairs = met.select(
         F.col("id").alias("a"), F.col("class").alias("class_a"), F.col("best.hub.id").alias("b"),
         F.col("best.hub.class").alias("class_b"), F.pmod(F.xxhash64("id", F.lit("copy")), parts).alias("copy"),
     )
     pairs = write_shared(_few(pairs), "minhash-hubs")
-    return pairs, pairs.select(F.col("b").alias("id"), "copy").distinct()
+    return pairs, _few(pairs.select(F.col("b").alias("id"), "copy").distinct())
 
 
 def _viable(rows, threshold):
@@ -371,7 +377,7 @@ def _viable(rows, threshold):
     reach = F.when(F.col("plain"), x * ((1 + threshold) / threshold * (1 - u) - 1) + 1e-5).otherwise(F.lit(float("inf")))
     sized = rows.withColumn("size", F.when(F.col("plain"), x.cast("double")).otherwise(F.lit(float("-inf")))).withColumn("reach", reach)
     best = {"share": F.min, "size": F.min, "reach": F.max}
-    classes = sized.groupBy("shingle", "class").agg(*[pick(c).alias(c) for c, pick in best.items()])
+    classes = _few(sized.groupBy("shingle", "class").agg(*[pick(c).alias(c) for c, pick in best.items()]))
     first = classes.groupBy("shingle").agg(*[pick(F.struct(c, "class")).alias(f"first_{c}") for c, pick in best.items()])
     beside = lambda c: F.col("class") != F.col(f"first_{c}.class")
     second = classes.join(first, "shingle").groupBy("shingle").agg(*[pick(F.when(beside(c), F.col(c))).alias(f"second_{c}") for c, pick in best.items()])
@@ -403,7 +409,7 @@ def _rare_shingles(texts, threshold, length):
     every = write_shared(every, "minhash-shingles")
     spread = every.groupBy("shingle").agg(F.count("*").alias("df"), F.min("class").alias("low"), F.max("class").alias("high"))
     # A shingle of one class alone joins no classes, but counts in the order of its texts.
-    known = every.join(spread, "shingle")
+    known = _few(every.join(spread, "shingle"))
     order = Window.partitionBy("id").orderBy("df", "shingle")
     before = F.coalesce(F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     whole = F.sum("weight").over(Window.partitionBy("id"))
@@ -413,14 +419,27 @@ def _rare_shingles(texts, threshold, length):
     return rare.where("low < high").select("id", "class", "shingle", (F.col("_before") / F.col("_whole")).alias("share"), F.col("_whole").alias("whole"), "plain")
 
 
+def _bucket_count(words, partitions, cores):
+    """Buckets for texts of so many words: no more than partitions, and for few texts not many more than cores."""
+    wanted = max(cores, -(-words // BUCKET_WORDS))
+    # A writer of one partition fills one bucket if there are as many; if there are fewer, each writer fills all.
+    return partitions if 2 * wanted > partitions else wanted
+
+
 def _distinct_texts(keyed, signed, needed):
-    """A table (id, sig, text) of the texts whose ids are needed, bucketed by id so that joins do not shuffle texts again."""
+    """A table (id, sig, text) of the texts whose ids are needed, bucketed by id so that joins do not shuffle texts again.
+
+    Each join with it has a task for each bucket, and there are dozens; so buckets follow the words, not the setting.
+    """
     spark = keyed.sparkSession
     name = f"minhash_texts_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    words = signed.agg(F.sum("words")).first()[0] or 0
+    buckets = _bucket_count(words, partitions, spark.sparkContext.defaultParallelism)
     # One row a text and task leaves the map side, however many copies there are.
     distinct = keyed.groupBy("id").agg(F.first("text").alias("text")).join(needed, "id", "left_semi")
-    distinct.join(signed.select("id", "sig"), "id").write.bucketBy(buckets, "id").sortBy("id").saveAsTable(name)
+    rows = distinct.join(signed.select("id", "sig"), "id").coalesce(buckets)
+    rows.write.bucketBy(buckets, "id").sortBy("id").saveAsTable(name)
     return spark.table(name), name
 
 
@@ -446,9 +465,9 @@ def text_classes(docs, threshold=THRESHOLD, length=SHINGLE):
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = numbered_texts(docs.select("text")).select(F.col("_text").alias("id"), text.alias("text"))
-    signed = write_shared(_bands(keyed, length).dropDuplicates(["id"]), "minhash-signatures")
+    signed = write_shared(_few(_bands(keyed, length).dropDuplicates(["id"])), "minhash-signatures")
     buckets = signed.select("id", F.explode("bands").alias("band"))
-    shared = write_shared(_shared_buckets(buckets), "minhash-buckets")
+    shared = write_shared(_few(_shared_buckets(buckets)), "minhash-buckets")
     needed = shared.select("id").distinct()
     texts, name = _distinct_texts(keyed, signed, needed)
     try:
@@ -477,9 +496,9 @@ def _linked(signed, shared, texts, threshold, length):
     labels = _labels(links.select("a", "b").unionByName(steps))
     known = write_shared(_few(_apply(single, labels.select(F.col("id").alias("class"), F.col("class").alias("to")))), "minhash-classes")
 
-    held = write_shared(_open_buckets(shared, known), "minhash-open")
-    large = held.where(F.col("n") > SMALL_BUCKET).select("id", "class").distinct()
-    rare = write_shared(_rare_shingles(large.join(texts, "id"), threshold, length), "minhash-rare")
+    held = write_shared(_few(_open_buckets(shared, known)), "minhash-open")
+    large = _few(held.where(F.col("n") > SMALL_BUCKET).select("id", "class").distinct())
+    rare = write_shared(_few(_rare_shingles(large.join(texts, "id"), threshold, length)), "minhash-rare")
     own = ["a", "b", "class_a", "class_b"]
     for _ in range(HUB_ROUNDS):
         pairs, copies = _hubs(rare, threshold)
@@ -492,16 +511,16 @@ def _linked(signed, shared, texts, threshold, length):
             low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
             links = links.unionByName(found.select(low, high, "class_a", "class_b", "similarity"))
             known = write_shared(_few(_apply(known, write_shared(_renamed(found), "minhash-renames"))), "minhash-classes")
-            rare = write_shared(rare.drop("class").join(known, "id"), "minhash-rare")
+            rare = write_shared(_few(rare.drop("class").join(known, "id")), "minhash-rare")
         if joins <= LEAST_YIELD * met:
             break
-    small = _open_buckets(held.where(F.col("n") <= SMALL_BUCKET).select("id", "band", "n"), known)
-    viable = write_shared(_viable(rare, threshold), "minhash-viable")
-    near = _crossing(viable, "shingle", ("share", "whole", "plain")).where(_within(threshold))
-    pairs = _crossing(small, "band").select(own).unionByName(near.select(own)).distinct()
+    small = write_shared(_few(_open_buckets(held.where(F.col("n") <= SMALL_BUCKET).select("id", "band", "n"), known)), "minhash-small")
+    viable = write_shared(_few(_viable(rare, threshold)), "minhash-viable")
+    near = _few(_crossing(viable, "shingle", ("share", "whole", "plain")).where(_within(threshold)).select(own))
+    pairs = _few(_few(_crossing(small, "band").select(own)).unionByName(near).distinct())
     # A few pairs of each two classes first: most that can be joined are, and their other pairs need no more looking at.
     by_classes = Window.partitionBy("class_a", "class_b").orderBy(F.xxhash64("a", "b"))
-    pairs = write_shared(pairs.withColumn("_few", F.row_number().over(by_classes) <= FEW), "minhash-pairs")
+    pairs = write_shared(_few(pairs.withColumn("_few", F.row_number().over(by_classes) <= FEW)), "minhash-pairs")
     for few in (True, False):
         rest = pairs.where(F.col("_few") == few)
         if not few:
@@ -523,7 +542,7 @@ def dedup_classes(docs, **options):
     """
     found, _ = text_classes(docs, **options)
     rows = numbered_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select("doc_id", "_text")
-    narrow = rows.join(found.select(F.col("id").alias("_text"), "class"), "_text").select("doc_id", "class")
+    narrow = _few(rows.join(found.select(F.col("id").alias("_text"), "class"), "_text").select("doc_id", "class"))
     heads = narrow.groupBy("class").agg(F.min("doc_id").alias("class_id"))
     kept = F.col("doc_id").eqNullSafe(F.col("class_id"))
     return narrow.join(heads, "class").select("doc_id", "class_id", kept.alias("is_kept"))
@@ -535,8 +554,8 @@ def keep(docs, **options):
     known = found.select(F.col("id").alias("_text"), "class")
     keys = numbered_texts(docs.select("doc_id", "text")).select("_text", "doc_id")
     head = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_text"))
-    heads = keys.join(known, "_text").groupBy("class").agg(head.alias("_head")).select("_head.doc_id", "_head._text")
-    heads = write_shared(heads.select(F.col("_text").alias("_kept_text"), F.col("doc_id").alias("_kept_id")), "minhash-heads")
+    heads = _few(keys.join(known, "_text")).groupBy("class").agg(head.alias("_head")).select("_head.doc_id", "_head._text")
+    heads = write_shared(_few(heads.select(F.col("_text").alias("_kept_text"), F.col("doc_id").alias("_kept_id"))), "minhash-heads")
     rows = nested(docs, doc_id=F.col("doc_id"), _text=_number(F.col("text")))
     kept = rows.join(heads, (rows["_text"] == heads["_kept_text"]) & rows["doc_id"].eqNullSafe(heads["_kept_id"]), "left_semi")
     return kept.dropDuplicates(["_text", "doc_id"]).select("_doc.*")

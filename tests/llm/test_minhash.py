@@ -218,3 +218,42 @@ def test_copies_of_a_hub(spark, monkeypatch):
     assert sorted(row.a for row in found) == list(range(50)) and all(row.b == 3 for row in found if row.a != 3)
     assert {row.copy for row in found if row.b == 3} == set(range(5))
     assert {(row.b, row.copy) for row in found} == {tuple(row) for row in copies.collect()}
+
+
+def test_buckets_follow_the_words():
+    """Few texts get few buckets, whatever the number of partitions; many get one for each partition."""
+    assert minhash._bucket_count(0, 211, 6) == 6
+    assert minhash._bucket_count(20 * minhash.BUCKET_WORDS - 1, 211, 6) == 20
+    assert minhash._bucket_count(106 * minhash.BUCKET_WORDS, 211, 6) == 211
+    assert minhash._bucket_count(10**12, 211, 6) == 211
+    assert minhash._bucket_count(5, 8, 6) == 8 and minhash._bucket_count(5, 4, 64) == 4
+
+
+def test_small_tables_run_in_few_tasks(spark):
+    """Of the many shuffles between rounds, each is followed by about as many tasks as there are cores, not partitions."""
+    dice = random.Random(13)
+    word = lambda: "".join(dice.choices("abcdefgh", k=7))
+    passage, base = [word() for _ in range(60)], [word() for _ in range(120)]
+    rows = [(i, " ".join(passage + [word() for _ in range(25)])) for i in range(60)]
+    for i in range(60, 120):
+        words = list(base)
+        for _ in range(2):
+            words[dice.randrange(len(words))] = word()
+        rows.append((i, " ".join(words)))
+    many = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in many}
+    context = spark.sparkContext
+    try:
+        for key, value in many.items():
+            spark.conf.set(key, value)
+        context.setJobGroup("minhash-tasks", "")
+        assert _found(spark.createDataFrame(rows, "doc_id long, text string")) == _classes(rows)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(id) for id in tracker.getJobIdsForGroup("minhash-tasks")]
+    stages = [tracker.getStageInfo(id) for id in sorted({id for job in jobs for id in job.stageIds})]
+    sizes = [stage.numTasks for stage in stages if stage is not None]
+    assert len(sizes) > 50 and sum(n >= 61 for n in sizes) < 0.1 * len(sizes), Counter(sizes)
